@@ -1,0 +1,128 @@
+"""Landed documents to bronze, bronze to silver, and the full run."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rallymart.functions.rules import AWAY, HOME
+from rallymart.operators import reshape
+from rallymart.plans.registry import MARTS, run_gold
+from rallymart.sources.landing import ENTITIES, read_landed
+from rallymart.sources.tables import export_tables, read_table, write_table
+
+# Names before -> names after, where the general renaming is not enough.
+RENAMES = {
+    "countries": {"code": "country_code", "name": "country_name", "logo": "country_logo"},
+    "leagues": {"id": "league_id", "logo": "league_logo", "name": "league_name"},
+    "matches": {
+        "id": "match_id",
+        "logo": "league_logo",
+        "week": "match_week",
+        "date": "match_date",
+    },
+    "teams": {"id": "team_id", "logo": "team_logo", "name": "team_name"},
+    "team_stats": {"leagueId": "league_id", "leagueName": "league_name"},
+    "standings": {
+        "name": "season_name",
+        "leagueName": "league_name",
+        "gamesPlayed": "games_played",
+        "scoredPoints": "scored_points",
+        "receivedPoints": "received_points",
+        "position": "standing_position",
+    },
+}
+
+# Score text column -> prefix of its two number columns.
+SCORE_COLUMNS = {
+    "current": "current",
+    "firstSet": "firstSet",
+    "secondSet": "second_set",
+    "thirdSet": "third_set",
+    "fourthSet": "fourth_set",
+    "fifthSet": "fifth_set",
+}
+MATCH_LEFTOVERS = (*SCORE_COLUMNS, "leagueId", "season")
+
+SEASON_LIST = T.ArrayType(T.StructType([T.StructField("season", T.LongType())]))
+
+
+def to_bronze(documents: DataFrame) -> DataFrame:
+    return reshape.nested_to_text(reshape.flatten_structs(documents))
+
+
+def silver_matches(bronze: DataFrame) -> DataFrame:
+    table = reshape.rename_columns(bronze, RENAMES["matches"])
+    for text, prefix in SCORE_COLUMNS.items():
+        if text not in table.columns:
+            table = table.withColumn(text, F.lit(None).cast("string"))
+        table = reshape.split_column(
+            table, text, f"{prefix}_{HOME}_team_score", f"{prefix}_{AWAY}_team_score"
+        )
+    return reshape.cast_by_name(reshape.drop_columns(table, MATCH_LEFTOVERS))
+
+
+def silver_leagues(bronze: DataFrame) -> DataFrame:
+    seasons = reshape.explode_json(bronze, "seasons", SEASON_LIST)
+    return reshape.cast_by_name(reshape.rename_columns(seasons, RENAMES["leagues"]))
+
+
+def silver_standings(
+    bronze: DataFrame, schema: T.DataType | None = None
+) -> DataFrame:
+    """One row per league, season, group and team. Without a schema it is read off the text."""
+    groups = reshape.explode_json(bronze, "data.groups", schema)
+    rows = reshape.explode_json(groups, "standings")
+    return reshape.cast_by_name(reshape.rename_columns(rows, RENAMES["standings"]))
+
+
+def _plain(entity: str) -> Callable[[DataFrame], DataFrame]:
+    def silver(bronze: DataFrame) -> DataFrame:
+        return reshape.cast_by_name(reshape.rename_columns(bronze, RENAMES[entity]))
+
+    return silver
+
+
+TO_SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "leagues": silver_leagues,
+    "matches": silver_matches,
+    "teams": _plain("teams"),
+    "team_stats": _plain("team_stats"),
+    "standings": silver_standings,
+    "countries": _plain("countries"),
+}
+
+# Matches are read by season range, so they are laid out by season.
+SILVER_LAYOUT = {"matches": ("league_season",)}
+
+
+def run_bronze(spark: SparkSession, landed: str, root: str, lines: bool = False) -> dict[str, int]:
+    """Flatten every landed entity into a stored table."""
+    return {
+        entity: write_table(to_bronze(read_landed(spark, landed, entity, lines=lines)), root, entity)
+        for entity in ENTITIES
+    }
+
+
+def run_silver(spark: SparkSession, bronze: str, root: str) -> dict[str, int]:
+    return {
+        entity: write_table(
+            TO_SILVER[entity](read_table(spark, bronze, entity)),
+            root,
+            entity,
+            SILVER_LAYOUT.get(entity, ()),
+        )
+        for entity in ENTITIES
+    }
+
+
+def run_all(spark: SparkSession, landed: str, root: str, lines: bool = False) -> dict[str, int]:
+    """Landed JSON to exported marts; returns the rows of each exported table."""
+    run_bronze(spark, landed, f"{root}/bronze", lines)
+    run_silver(spark, f"{root}/bronze", f"{root}/silver")
+    silver = {name: read_table(spark, f"{root}/silver", name) for name in ENTITIES}
+    run_gold(spark, silver, f"{root}/gold")
+    return export_tables(spark, f"{root}/gold", f"{root}/export", tuple(MARTS))
