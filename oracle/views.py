@@ -5,14 +5,9 @@ from __future__ import annotations
 from rallymart.functions.rules import SETS
 from rallymart.sources import derived
 
-_TABLES = {"orders": "orders", "customer": "customer", "nation": "nation", "matches": "matches"}
-
 SILVER = {
-    "matches": derived.MATCHES.format(**_TABLES),
-    "leagues": derived.LEAGUES.format(**_TABLES),
-    "teams": derived.TEAMS.format(**_TABLES),
-    "countries": derived.COUNTRIES.format(**_TABLES),
-    "team_stats": derived.TEAM_STATS.format(**_TABLES),
+    name: text.format(**{source: source for source in sources})
+    for name, (text, sources) in derived.VIEWS.items()
 }
 
 _homes = ", ".join(f"{name}_home_team_score" for name in SETS)

@@ -1,17 +1,12 @@
-"""Column expressions for the domain rules shared by the marts.
+"""SQL expressions for the domain rules shared by the marts.
 
-Everything here returns an unevaluated Column, so the rules fold into whatever scan or
-aggregate uses them and stay inside whole-stage codegen.
+Every rule is the text of a Spark SQL expression, for `selectExpr`, `filter` and `F.expr`. The
+text is parsed once by Spark, folds into whatever scan or aggregate uses it and stays inside
+whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Names and words the source data uses.
 SETS = ("firstSet", "second_set", "third_set", "fourth_set", "fifth_set")
 CONTINENTS = ("Europe", "South America", "North America", "Africa", "Oceania")
@@ -32,60 +27,68 @@ STRENGTH_NAMES = {
 }
 
 HOME, AWAY = "home", "away"
+SIDES = (HOME, AWAY)
 
 
 def rival(side: str) -> str:
     return AWAY if side == HOME else HOME
 
 
-def flag(condition: Column) -> Column:
+def named(columns: dict[str, str]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in columns.items()]
+
+
+def _words(words: tuple[str, ...]) -> str:
+    return ", ".join(f"'{word}'" for word in words)
+
+
+def flag(condition: str) -> str:
     """1 where the condition holds, 0 where it is false or unknown."""
-    return F.when(condition, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return f"if({condition}, 1L, 0L)"
 
 
-def total(columns) -> Column:
-    return reduce(add, columns)
+def holds(condition: str) -> str:
+    """The condition as a boolean that is never NULL."""
+    return f"coalesce({condition}, false)"
 
 
-def key_of(*columns: Column) -> Column:
+def key_of(*parts: str) -> str:
     """Surrogate key `a_b`; a missing part counts as the empty string."""
-    parts = []
-    for column in columns:
-        parts += [F.lit("_"), F.coalesce(column.cast("string"), F.lit(""))]
-    return F.concat(*parts[1:])
+    texts = [f"coalesce(CAST({part} AS STRING), '')" for part in parts]
+    return "concat(" + ", '_', ".join(texts) + ")"
 
 
-def season_text(column: Column | None = None) -> Column:
-    return F.trim((F.col("league_season") if column is None else column).cast("string"))
+def season_text(season: str = "league_season") -> str:
+    return f"trim(CAST({season} AS STRING))"
 
 
-def season_key() -> Column:
-    return key_of(F.col("league_id"), season_text())
+def season_key() -> str:
+    return key_of("league_id", season_text())
 
 
-def minute_text(column: Column) -> Column:
-    return F.date_format(column, "yyyy-MM-dd HH:mm")
+def minute_text(time: str) -> str:
+    return f"date_format({time}, 'yyyy-MM-dd HH:mm')"
 
 
-def mentions(column: Column, *words: str) -> Column:
+def mentions(text: str, *words: str) -> str:
     """Case-blind "contains any of" test."""
-    return reduce(or_, [column.ilike(f"%{word}%") for word in words])
+    return "(" + " OR ".join(f"{text} ILIKE '%{word}%'" for word in words) + ")"
 
 
-def without_women(name: Column) -> Column:
-    return F.trim(F.replace(name, F.lit("Women"), F.lit("")))
+def without_women(name: str) -> str:
+    return f"trim(replace({name}, 'Women', ''))"
 
 
-def without_category(name: Column) -> Column:
-    return F.trim(F.replace(F.replace(name, F.lit("Women"), F.lit("")), F.lit("Men"), F.lit("")))
+def without_category(name: str) -> str:
+    return f"trim(replace(replace({name}, 'Women', ''), 'Men', ''))"
 
 
-def naipe_of(name: Column, words: tuple[str, ...] = WOMEN_WORDS) -> Column:
+def naipe_of(name: str, words: tuple[str, ...] = WOMEN_WORDS) -> str:
     """Sex category read off a league or team name."""
-    return F.when(mentions(name, *words), "Women").otherwise("Men")
+    return f"if({mentions(name, *words)}, 'Women', 'Men')"
 
 
-def narrow_naipe_of(name: Column) -> Column:
+def narrow_naipe_of(name: str) -> str:
     """The two-way variant that knows the English word only."""
     return naipe_of(name, WOMEN_WORDS[:1])
 
@@ -93,124 +96,132 @@ def narrow_naipe_of(name: Column) -> Column:
 # --- scopes -----------------------------------------------------------------------------
 
 
-def is_finished() -> Column:
-    return F.col("description") == FINISHED
+def is_finished() -> str:
+    return f"description = '{FINISHED}'"
+
+
+def in_world_leagues(name: str) -> str:
+    return f"{without_women(name)} IN ({_words(WORLD_LEAGUES)})"
 
 
-def in_world_leagues(name: Column) -> Column:
-    return without_women(name).isin(*WORLD_LEAGUES)
+def real_country(name: str) -> str:
+    return f"{name} NOT IN ({_words(NOT_COUNTRIES)})"
 
 
-def world_scope() -> Column:
-    """Finished matches of the three world competitions, played under the World flag."""
-    return is_finished() & (F.col("country_name") == "World") & in_world_leagues(F.col("league_name"))
+def world_leagues_scope() -> str:
+    """Finished matches of the three world competitions."""
+    return f"{is_finished()} AND {in_world_leagues('league_name')}"
 
 
-def domestic_scope() -> Column:
+def world_scope() -> str:
+    """The same, played under the World flag."""
+    return f"{world_leagues_scope()} AND country_name = 'World'"
+
+
+def domestic_scope() -> str:
     """Finished matches outside the continents whose country code is not World."""
     return (
-        is_finished()
-        & ~F.col("country_name").isin(*CONTINENTS)
-        & (F.col("country_code") != "World")
+        f"{is_finished()} AND country_name NOT IN ({_words(CONTINENTS)}) "
+        "AND country_code <> 'World'"
     )
 
 
-def real_country(name: Column) -> Column:
-    return ~name.isin(*NOT_COUNTRIES)
+def country_scope() -> str:
+    """Finished matches in real countries."""
+    return f"{is_finished()} AND {real_country('country_name')}"
 
 
 # --- phases -----------------------------------------------------------------------------
 
 
-def phase_of(week: Column) -> Column:
+def phase_of(week: str) -> str:
     """`Finals` for finals of any kind and third-place matches.
 
     The test ignores case, so semi-finals and quarter-finals are inside too.
     """
-    return F.when(mentions(week, "Final", "3rd place"), "Finals").otherwise("Preliminary")
+    return f"if({mentions(week, 'Final', '3rd place')}, 'Finals', 'Preliminary')"
 
 
-def broad_phase_of(week: Column) -> Column:
-    return F.when(mentions(week, "Final", "3rd place", "Quarter", "Semi"), "Finals").otherwise(
-        "Preliminary"
-    )
+def in_broad_finals(week: str) -> str:
+    return mentions(week, "Final", "3rd place", "Quarter", "Semi")
 
 
-def is_real_final(week: Column) -> Column:
-    return mentions(week, "Final") & ~mentions(week, "Semi", "Quarter")
+def is_real_final(week: str) -> str:
+    return f"({mentions(week, 'Final')} AND NOT {mentions(week, 'Semi', 'Quarter')})"
 
 
 # --- scores -----------------------------------------------------------------------------
+# The set rules read `gap_1` to `gap_5`, home minus away points, see sides.with_gaps.
+
+GAPS = tuple(f"gap_{number}" for number in range(1, len(SETS) + 1))
 
 
-def current_score(side: str) -> Column:
-    return F.col(f"current_{side}_team_score")
+def current_score(side: str) -> str:
+    return f"current_{side}_team_score"
 
 
-def set_score(name: str, side: str) -> Column:
-    return F.col(f"{name}_{side}_team_score")
+def set_score(name: str, side: str) -> str:
+    return f"{name}_{side}_team_score"
 
 
-def set_gap(name: str) -> Column:
-    return F.abs(set_score(name, HOME) - set_score(name, AWAY))
+def won_match(side: str) -> str:
+    return f"{current_score(side)} > {current_score(rival(side))}"
 
 
-def took_set(name: str, side: str) -> Column:
-    return set_score(name, side) > set_score(name, rival(side))
+def lost_match(side: str) -> str:
+    return f"{current_score(side)} < {current_score(rival(side))}"
 
 
-def won_match(side: str) -> Column:
-    return current_score(side) > current_score(rival(side))
+def result_letter(side: str) -> str:
+    """`W` only for a strict win: a tie or a missing score is `L` for both sides."""
+    return f"if({won_match(side)}, 'W', 'L')"
 
 
-def lost_match(side: str) -> Column:
-    return current_score(side) < current_score(rival(side))
+def winner_id() -> str:
+    """The home team on a strict home win, the away team in every other case."""
+    return f"if({won_match(HOME)}, homeTeam_id, awayTeam_id)"
 
 
-def result_letter(side: str) -> Column:
-    """`W` only for a strict win: a tie or a missing score is `L` for both sides."""
-    return F.when(won_match(side), "W").otherwise("L")
+def took_set(gap: str, side: str) -> str:
+    return f"{gap} > 0" if side == HOME else f"{gap} < 0"
 
 
-def winner_id() -> Column:
-    """The home team on a strict home win, the away team in every other case."""
-    return F.when(won_match(HOME), F.col("homeTeam_id")).otherwise(F.col("awayTeam_id"))
+def sets_won(side: str) -> str:
+    return "(" + " + ".join(flag(took_set(gap, side)) for gap in GAPS) + ")"
 
 
-def sets_won(side: str) -> Column:
-    return total(flag(took_set(name, side)) for name in SETS)
+def sets_lost(side: str) -> str:
+    return sets_won(rival(side))
 
 
-def sets_played() -> Column:
-    return total(flag(set_score(name, HOME).isNotNull()) for name in SETS)
+def sets_played() -> str:
+    return "(" + " + ".join(flag(f"{set_score(name, HOME)} IS NOT NULL") for name in SETS) + ")"
 
 
-def tight_sets() -> Column:
-    return total(flag(set_gap(name) <= TIGHT_MARGIN) for name in SETS)
+def tight_sets() -> str:
+    tests = [f"{gap} BETWEEN -{TIGHT_MARGIN} AND {TIGHT_MARGIN}" for gap in GAPS]
+    return "(" + " + ".join(flag(test) for test in tests) + ")"
 
 
-def tight_sets_won(side: str) -> Column:
-    return total(flag((set_gap(name) <= TIGHT_MARGIN) & took_set(name, side)) for name in SETS)
+def tight_sets_won(side: str) -> str:
+    low, high = (1, TIGHT_MARGIN) if side == HOME else (-TIGHT_MARGIN, -1)
+    return "(" + " + ".join(flag(f"{gap} BETWEEN {low} AND {high}") for gap in GAPS) + ")"
 
 
-def match_points(side: str) -> Column:
+def match_points(side: str) -> str:
     """3 for a win in fewer than five sets, 2 for one in five, 1 for a loss in five, else 0."""
-    five = set_score(SETS[-1], HOME).isNotNull()
+    five = f"{set_score(SETS[-1], HOME)} IS NOT NULL"
     return (
-        F.when(won_match(side), F.when(five, 2).otherwise(3))
-        .when(lost_match(side) & five, 1)
-        .otherwise(0)
-        .cast("bigint")
+        f"CASE WHEN {won_match(side)} THEN if({five}, 2L, 3L) "
+        f"WHEN {lost_match(side)} AND {five} THEN 1L ELSE 0L END"
     )
 
 
-def ratio(won: Column, lost: Column) -> Column:
+def ratio(won: str, lost: str) -> str:
     """Double-precision quotient, NULL when nothing was lost."""
-    return won.cast("double") / F.nullif(lost.cast("double"), F.lit(0.0))
+    return f"CAST({won} AS DOUBLE) / nullif(CAST({lost} AS DOUBLE), 0D)"
 
 
-def strength_name(level: Column, names: dict[int, str] = STRENGTH_NAMES) -> Column:
-    expr = F.when(level == F.lit(1), names[1])
-    for number in sorted(names)[1:]:
-        expr = expr.when(level == F.lit(number), names[number])
-    return expr
+def strength_name(level: str, names: dict[int, str] = STRENGTH_NAMES) -> str:
+    cases = " ".join(f"WHEN {number} THEN '{name}'" for number, name in names.items())
+    return f"CASE {level} {cases} END"

@@ -54,13 +54,13 @@ def row_numbers(
 
 
 def group_totals(
-    df: DataFrame, keys: list[str], totals: dict[str, Column], hot: bool
+    df: DataFrame, keys: list[str], totals: dict[str, str], hot: bool
 ) -> DataFrame:
-    """Add group sums to every row of the group."""
+    """Add group sums of SQL expressions to every row of the group."""
     if not hot:
-        window = Window.partitionBy(*keys)
-        return df.select("*", *[F.sum(c).over(window).alias(n) for n, c in totals.items()])
-    sums = df.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in totals.items()])
+        over = f"OVER (PARTITION BY {', '.join(keys)})"
+        return df.selectExpr("*", *[f"sum({text}) {over} AS {n}" for n, text in totals.items()])
+    sums = df.groupBy(*keys).agg(*[F.expr(f"sum({text}) AS {n}") for n, text in totals.items()])
     return join_null_safe(df, sums, keys)
 
 

@@ -4,34 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from rallymart.functions.rules import AWAY, HOME
+from rallymart.functions.rules import AWAY, GAPS, HOME, SETS, SIDES, named, set_score
 
-SideColumns = dict[str, Callable[[str], Column]]
+SideColumns = dict[str, Callable[[str], str]]
 
 
-def team_id(side: str) -> Column:
-    return F.col(f"{side}Team_id")
+def team_id(side: str) -> str:
+    return f"{side}Team_id"
 
 
-def team_name(side: str) -> Column:
-    return F.col(f"{side}Team_name")
+def team_name(side: str) -> str:
+    return f"{side}Team_name"
 
 
-def melt_sides(matches: DataFrame, keep: dict[str, Column], per_side: SideColumns) -> DataFrame:
+def side_name(side: str) -> str:
+    return f"'{side}'"
+
+
+def with_gaps(matches: DataFrame) -> DataFrame:
+    """Add home minus away points of each set, NULL where the set was not played.
+
+    All set rules read these five numbers, which keeps the generated code of a mart small.
+    """
+    gaps = {gap: f"{set_score(s, HOME)} - {set_score(s, AWAY)}" for gap, s in zip(GAPS, SETS)}
+    return matches.selectExpr("*", *named(gaps))
+
+
+def melt_sides(matches: DataFrame, keep: dict[str, str], per_side: SideColumns) -> DataFrame:
     """Turn each match into a home row and an away row.
 
     `keep` is repeated on both rows; `per_side` maps a column name to a function of the side.
-    Only what is named here is computed and carried.
+    Both give SQL expressions. Only what is named here is computed and carried.
     """
-    sides = F.array(
-        *[
-            F.struct(*[build(side).alias(name) for name, build in per_side.items()])
-            for side in (HOME, AWAY)
-        ]
-    )
-    return matches.select(
-        *[column.alias(name) for name, column in keep.items()], F.inline(sides)
-    )
+    rows = []
+    for side in SIDES:
+        fields = ", ".join(f"'{name}', {build(side)}" for name, build in per_side.items())
+        rows.append(f"named_struct({fields})")
+    return matches.selectExpr(*named(keep), f"inline(array({', '.join(rows)}))")

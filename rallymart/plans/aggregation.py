@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 
+# Mean of pre-summed parts, exact for whole numbers.
+MEAN = "CAST(sum(part_total) AS DOUBLE) / nullif(sum(part_rows), 0L)"
 
-def _mean(total: str, rows: str):
-    return F.sum(total).cast("double") / F.nullif(F.sum(rows), F.lit(0))
+
+def _parts(column: str) -> list:
+    return [F.expr(f"sum({column}) AS part_total"), F.expr(f"count({column}) AS part_rows")]
 
 
 def fct_aggregation(
@@ -20,57 +23,51 @@ def fct_aggregation(
     fct_intern_standings: DataFrame,
     fct_national_standings: DataFrame,
 ) -> DataFrame:
-    seasons = dim_season.select(F.col("League_season_id").alias("season_key"), "league_id")
+    leagues = dim_leagues.selectExpr(
+        "League_id AS league_id", "league_naipe", "country_id AS league_country"
+    )
     # Left, as everywhere here: a season without a known league keeps its row.
-    season_league = seasons.join(
-        dim_leagues.select(
-            F.col("League_id").alias("league_id"),
-            "league_naipe",
-            F.col("country_id").alias("league_country"),
-        ),
-        "league_id",
-        "left",
+    season_league = dim_season.selectExpr("League_season_id AS season_key", "league_id").join(
+        leagues, "league_id", "left"
     )
+    key = ["country_id", "league_naipe"]
 
     # Facts are summed up to the join key before they meet a dimension.
     strength = (
-        fct_intern_standings.select(
-            F.col("League_season_id").alias("season_key"), "Team_id", "strength_level"
+        fct_intern_standings.selectExpr(
+            "League_season_id AS season_key", "Team_id", "strength_level"
         )
         .join(season_league, "season_key", "left")
         .groupBy("Team_id", "league_naipe")
-        .agg(F.sum("strength_level").alias("total"), F.count("strength_level").alias("rows"))
+        .agg(*_parts("strength_level"))
         .join(dim_teams.select("Team_id", "country_id"), "Team_id", "left")
-        .groupBy("country_id", "league_naipe")
-        .agg(_mean("total", "rows").alias("strength"))
+        .groupBy(*key)
+        .agg(F.expr(f"{MEAN} AS strength"))
     )
     clubs = (
-        fct_national_standings.select(
-            F.col("League_season_id").alias("season_key"), F.col("Team_id").alias("club")
-        )
+        fct_national_standings.selectExpr("League_season_id AS season_key", "Team_id AS club")
         .join(season_league, "season_key", "left")
-        .groupBy(F.col("league_country").alias("country_id"), "league_naipe")
+        .groupBy(F.expr("league_country AS country_id"), "league_naipe")
         .agg(
             F.countDistinct("league_id").alias("qtd_national_leagues"),
             F.countDistinct("club").alias("qtd_clubs"),
         )
     )
     tight = (
-        fct_national_matches.groupBy(F.col("league_season_id").alias("season_key"))
-        .agg(F.sum("n_tight_sets").alias("total"), F.count("n_tight_sets").alias("rows"))
+        fct_national_matches.groupBy(F.expr("league_season_id AS season_key"))
+        .agg(*_parts("n_tight_sets"))
         .join(season_league, "season_key", "left")
-        .groupBy(F.col("league_country").alias("country_id"), "league_naipe")
-        .agg(_mean("total", "rows").alias("avg_tight_sets"))
+        .groupBy(F.expr("league_country AS country_id"), "league_naipe")
+        .agg(F.expr(f"{MEAN} AS avg_tight_sets"))
     )
-    key = ["country_id", "league_naipe"]
     return (
         clubs.join(tight, key, "left")
         .join(strength, key, "left")
-        .select(
-            rules.key_of(F.col("country_id"), F.col("league_naipe")).alias("country_naipe_id"),
+        .selectExpr(
+            f"{rules.key_of('country_id', 'league_naipe')} AS country_naipe_id",
             "country_id",
             "league_naipe",
-            F.coalesce("strength", F.lit(8.0)).alias("nat_team_strenght"),
+            "coalesce(strength, 8D) AS nat_team_strenght",
             "qtd_national_leagues",
             "qtd_clubs",
             "avg_tight_sets",

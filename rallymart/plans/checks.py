@@ -6,15 +6,16 @@ league-season of the full tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
 from rallymart.operators.ranking import has_hot_group, row_numbers
-from rallymart.operators.sides import melt_sides, team_id
+from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
 from rallymart.plans import dims, pipeline, standings
+from rallymart.plans.matches import has_hot_team, recency_order, team_seasons
+from rallymart.sources.staging import stage
 
 Views = dict[str, DataFrame]
 
@@ -23,83 +24,73 @@ Views = dict[str, DataFrame]
 
 
 def rule_points(views: Views) -> DataFrame:
-    return melt_sides(
-        views["matches"],
-        {"match_id": F.col("match_id")},
-        {"team_side": F.lit, "match_points": rules.match_points},
-    )
+    per_side = {"team_side": side_name, "match_points": rules.match_points}
+    return melt_sides(views["matches"], {"match_id": "match_id"}, per_side)
 
 
 def rule_set_flags(views: Views) -> DataFrame:
-    flags = [
-        rules.flag(rules.took_set(name, side)).alias(f"{side}_set_{i}")
-        for i, name in enumerate(rules.SETS, start=1)
-        for side in (rules.HOME, rules.AWAY)
-    ]
-    return views["matches"].select(
-        "match_id",
-        *flags,
-        rules.sets_won(rules.HOME).alias("home_sets"),
-        rules.sets_won(rules.AWAY).alias("away_sets"),
-    )
+    flags = {
+        f"{side}_set_{i}": rules.flag(rules.took_set(gap, side))
+        for i, gap in enumerate(rules.GAPS, start=1)
+        for side in rules.SIDES
+    }
+    counts = {f"{side}_sets": rules.sets_won(side) for side in rules.SIDES}
+    return with_gaps(views["matches"]).selectExpr("match_id", *rules.named(flags | counts))
 
 
 def rule_tight_sets(views: Views) -> DataFrame:
-    return views["matches"].select(
-        "match_id",
-        rules.tight_sets().alias("n_tight_sets"),
-        rules.tight_sets_won(rules.HOME).alias("home_tight_sets"),
-        rules.tight_sets_won(rules.AWAY).alias("away_tight_sets"),
+    counts = {f"{side}_tight_sets": rules.tight_sets_won(side) for side in rules.SIDES}
+    return with_gaps(views["matches"]).selectExpr(
+        "match_id", f"{rules.tight_sets()} AS n_tight_sets", *rules.named(counts)
     )
 
 
 def rule_winner(views: Views) -> DataFrame:
-    return views["matches"].select("match_id", rules.winner_id().alias("match_winner"))
+    return views["matches"].selectExpr("match_id", f"{rules.winner_id()} AS match_winner")
 
 
 def rule_total_sets(views: Views) -> DataFrame:
-    return views["matches"].select("match_id", rules.sets_played().alias("total_sets"))
+    return views["matches"].selectExpr("match_id", f"{rules.sets_played()} AS total_sets")
 
 
 def rule_phase(views: Views) -> DataFrame:
-    week = F.col("match_week")
-    return views["matches"].select(
+    return views["matches"].selectExpr(
         "match_id",
-        rules.phase_of(week).alias("phase"),
-        rules.broad_phase_of(week).alias("broad_phase"),
-        rules.flag(rules.is_real_final(week)).alias("real_final"),
+        f"{rules.phase_of('match_week')} AS phase",
+        f"if({rules.in_broad_finals('match_week')}, 'Finals', 'Preliminary') AS broad_phase",
+        f"{rules.flag(rules.is_real_final('match_week'))} AS real_final",
     )
 
 
 def rule_category(views: Views) -> DataFrame:
-    name = F.col("league_name")
-    return views["matches"].select(
+    return views["matches"].selectExpr(
         "match_id",
-        rules.naipe_of(name).alias("naipe"),
-        rules.narrow_naipe_of(name).alias("narrow_naipe"),
-        rules.without_women(name).alias("plain_name"),
+        f"{rules.naipe_of('league_name')} AS naipe",
+        f"{rules.narrow_naipe_of('league_name')} AS narrow_naipe",
+        f"{rules.without_women('league_name')} AS plain_name",
     )
 
 
 def rule_strength(views: Views) -> DataFrame:
-    teams = standings.world_teams(views["matches"])
-    level = F.col("strength_level")
-    return standings.rank_world(teams, has_hot_group(teams, [standings.SEASON])).select(
+    teams = stage(standings.world_teams(views["matches"]), "world-teams")
+    hot = has_hot_group(teams, [standings.SEASON])
+    return standings.rank_world(teams, hot).selectExpr(
         standings.SEASON,
         "team_id",
         "prelim_position",
-        level,
-        rules.strength_name(level).alias("strength_cluster"),
+        "strength_level",
+        f"{rules.strength_name('strength_level')} AS strength_cluster",
     )
 
 
 def rule_series_rank(views: Views) -> DataFrame:
-    teams = standings.domestic_teams(views["matches"])
-    return standings.rank_domestic(teams, has_hot_group(teams, [standings.SEASON])).select(
+    teams = stage(standings.domestic_teams(views["matches"]), "domestic-teams")
+    hot = has_hot_group(teams, [standings.SEASON])
+    return standings.rank_domestic(teams, hot).selectExpr(
         standings.SEASON,
         "team_id",
-        F.when(F.col("in_final"), F.col("_final")).alias("final_pos"),
-        F.when(F.col("in_bronze"), F.col("_bronze")).alias("bronze_pos"),
+        "if(in_final, final_place, NULL) AS final_pos",
+        "if(in_bronze, bronze_place, NULL) AS bronze_pos",
         "finalist_bucket",
     )
 
@@ -108,18 +99,13 @@ def rule_eligible(views: Views) -> DataFrame:
     return standings.eligible_teams(views["matches"], views["countries"])
 
 
-def _domestic_finished(views: Views) -> DataFrame:
-    return views["matches"].filter(
-        rules.is_finished() & rules.real_country(F.col("country_name"))
-    )
-
-
 def rule_single_match_seasons(views: Views) -> DataFrame:
     return (
-        _domestic_finished(views)
-        .groupBy(rules.season_key().alias("league_season_id"))
+        views["matches"]
+        .filter(rules.country_scope())
+        .groupBy(F.expr(f"{rules.season_key()} AS league_season_id"))
         .agg(F.count(F.lit(1)).alias("n_matches"))
-        .filter(F.col("n_matches") == 1)
+        .filter("n_matches = 1")
     )
 
 
@@ -132,37 +118,34 @@ def scope_national_a(views: Views) -> DataFrame:
 
 
 def scope_national_b(views: Views) -> DataFrame:
-    return _domestic_finished(views).select("match_id", "country_name")
+    return views["matches"].filter(rules.country_scope()).select("match_id", "country_name")
 
 
 def scope_national_c(views: Views) -> DataFrame:
     """Finished matches with the number of domestic catalogue rows of their league."""
     repeats = (
         views["leagues"]
-        .filter(rules.real_country(F.col("country_name")))
+        .filter(rules.real_country("country_name"))
         .groupBy("league_id")
         .agg(F.count(F.lit(1)).alias("catalogue_rows"))
     )
-    return (
-        views["matches"]
-        .filter(rules.is_finished())
-        .select("match_id", "league_id")
-        .join(repeats, "league_id")
-    )
+    finished = views["matches"].filter(rules.is_finished()).select("match_id", "league_id")
+    return finished.join(repeats, "league_id")
 
 
 # --- operators --------------------------------------------------------------------------
 
 
-def const_rows(views: Views, spark: SparkSession) -> DataFrame:
-    """The constant category table beside the teams of each category."""
+def const_rows(views: Views) -> DataFrame:
+    """The constant category table beside the number of teams of each category."""
     teams = dims.dim_teams(
         views["matches"], views["countries"], views["leagues"], views["teams"]
     )
+    counts = teams.groupBy("team_naipe").agg(F.count(F.lit(1)).alias("n_teams"))
     return (
-        dims.dim_naipe(spark)
-        .join(teams.groupBy("team_naipe").agg(F.count(F.lit(1)).alias("n_teams")), "team_naipe", "left")
-        .select("naipe_id", "team_naipe", F.coalesce("n_teams", F.lit(0)).alias("n_teams"))
+        dims.dim_naipe(teams.sparkSession)
+        .join(counts, "team_naipe", "left")
+        .selectExpr("naipe_id", "team_naipe", "coalesce(n_teams, 0L) AS n_teams")
     )
 
 
@@ -176,54 +159,53 @@ def join_grid(views: Views) -> DataFrame:
 def join_anti(views: Views) -> DataFrame:
     single = rule_single_match_seasons(views).select("league_season_id")
     return (
-        _domestic_finished(views)
-        .select("match_id", rules.season_key().alias("league_season_id"))
+        views["matches"]
+        .filter(rules.country_scope())
+        .selectExpr("match_id", f"{rules.season_key()} AS league_season_id")
         .join(single, "league_season_id", "left_anti")
     )
 
 
 def join_two_keys(views: Views) -> DataFrame:
     """Matches with the name their league has in the catalogue of that season."""
-    catalogue = views["leagues"].select(
-        "league_id", "league_season", F.col("league_name").alias("catalogue_name")
+    catalogue = views["leagues"].selectExpr(
+        "league_id", "league_season", "league_name AS catalogue_name"
     )
-    return views["matches"].select("match_id", "league_id", "league_season").join(
-        catalogue, ["league_id", "league_season"]
+    return (
+        views["matches"]
+        .select("match_id", "league_id", "league_season")
+        .join(catalogue, ["league_id", "league_season"])
     )
 
 
 def join_left_filtered(views: Views) -> DataFrame:
     """Teams with the real country of their name, NULL where there is none."""
-    real = views["countries"].filter(rules.real_country(F.col("country_name"))).select(
-        F.col("country_name").alias("plain_name"), "country_code"
+    real = (
+        views["countries"]
+        .filter(rules.real_country("country_name"))
+        .selectExpr("country_name AS plain_name", "country_code")
     )
     return (
         views["teams"]
-        .select("team_id", rules.without_women(F.col("team_name")).alias("plain_name"))
+        .selectExpr("team_id", f"{rules.without_women('team_name')} AS plain_name")
         .join(real, "plain_name", "left")
     )
 
 
 def agg_any_flag(views: Views) -> DataFrame:
-    return dims.league_seasons(views["leagues"], views["matches"]).select(
-        "league_id", "league_season", "season_start_date", "last_match_date", "has_final"
-    )
+    return dims.league_seasons(views["leagues"], views["matches"])
 
 
 def agg_ratio(views: Views) -> DataFrame:
     sides = melt_sides(
-        views["matches"],
+        with_gaps(views["matches"]),
         {"league_season_id": rules.season_key()},
-        {
-            "team_id": team_id,
-            "won": rules.sets_won,
-            "lost": lambda side: rules.sets_won(rules.rival(side)),
-        },
+        {"team_id": team_id, "won": rules.sets_won, "lost": rules.sets_lost},
     )
     return sides.groupBy("league_season_id", "team_id").agg(
-        F.sum("won").alias("sets_won"),
-        F.sum("lost").alias("sets_lost"),
-        rules.ratio(F.sum("won"), F.sum("lost")).alias("set_ratio"),
+        F.expr("sum(won) AS sets_won"),
+        F.expr("sum(lost) AS sets_lost"),
+        F.expr(f"{rules.ratio('sum(won)', 'sum(lost)')} AS set_ratio"),
     )
 
 
@@ -243,34 +225,27 @@ def agg_count_distinct(views: Views) -> DataFrame:
 
 
 def win_recency(views: Views) -> DataFrame:
-    matches = views["matches"]
+    keep = ("match_id", "league_id", "league_season", "match_date")
     sides = melt_sides(
-        matches,
-        {
-            "match_id": F.col("match_id"),
-            "league_id": F.col("league_id"),
-            "league_season": F.col("league_season"),
-            "match_date": F.col("match_date"),
-        },
-        {"team_id": team_id, "team_side": F.lit},
-    )
-    return row_numbers(
-        sides,
-        [F.col("match_date").desc(), F.col("match_id").asc(), F.col("team_side").asc()],
-        {
-            "order_general": ["team_id"],
-            "order_season": ["team_id", "league_id", "league_season"],
-        },
-        ["team_id"],
-        has_hot_group(melt_sides(matches, {}, {"team_id": team_id}), ["team_id"]),
-    ).select("team_id", "match_id", "team_side", "order_general", "order_season")
+        views["matches"],
+        {name: name for name in keep},
+        {"team_id": team_id, "team_side": side_name},
+    )
+    numbers = {
+        "order_general": ["team_id"],
+        "order_season": ["team_id", "league_id", "league_season"],
+    }
+    hot = has_hot_team(views["matches"])
+    return row_numbers(sides, recency_order(), numbers, ["team_id"], hot).select(
+        "team_id", "match_id", "team_side", *numbers
+    )
 
 
 def win_partition_max(views: Views) -> DataFrame:
     """Each league-season beside the newest of its league; seasons of a league are few."""
     seasons = views["matches"].select("league_id", "league_season").distinct()
-    return seasons.withColumn(
-        "max_season", F.max("league_season").over(Window.partitionBy("league_id"))
+    return seasons.selectExpr(
+        "*", "max(league_season) OVER (PARTITION BY league_id) AS max_season"
     )
 
 
@@ -291,25 +266,26 @@ def win_group_count(views: Views) -> DataFrame:
 
 def set_union_distinct(views: Views) -> DataFrame:
     """Distinct team and season pairs of two overlapping match sets."""
-    def pairs(scope):
-        return melt_sides(
-            views["matches"].filter(scope), {"league_season_id": rules.season_key()}, {"team_id": team_id}
-        )
+    finished = team_seasons(views["matches"], rules.is_finished())
+    return finished.union(team_seasons(views["matches"], rules.domestic_scope())).distinct()
+
 
-    return pairs(rules.is_finished()).union(pairs(rules.domestic_scope())).distinct()
+def team_by_season(views: Views) -> DataFrame:
+    """dim_team_by_season from the match sides alone, without numbering them first."""
+    return dims.dim_team_by_season(
+        team_seasons(views["matches"], rules.world_scope()),
+        team_seasons(views["matches"], rules.domestic_scope()),
+    )
 
 
 def melt(views: Views) -> DataFrame:
-    return melt_sides(
-        views["matches"],
-        {"match_id": F.col("match_id")},
-        {"team_id": team_id, "team_side": F.lit, "score": rules.current_score},
-    )
+    per_side = {"team_id": team_id, "team_side": side_name, "score": rules.current_score}
+    return melt_sides(views["matches"], {"match_id": "match_id"}, per_side)
 
 
 def key_concat_nulls(views: Views) -> DataFrame:
-    return views["matches"].select(
-        "match_id", rules.key_of(F.col("match_week"), F.col("league_season")).alias("week_key")
+    return views["matches"].selectExpr(
+        "match_id", f"{rules.key_of('match_week', 'league_season')} AS week_key"
     )
 
 
@@ -318,32 +294,30 @@ def key_concat_nulls(views: Views) -> DataFrame:
 
 def match_documents(views: Views) -> DataFrame:
     """The matches as the nested documents a results feed delivers."""
-    def team(side: str):
-        return F.struct(
-            team_id(side).alias("id"), F.col(f"{side}Team_name").alias("name")
-        ).alias(f"{side}Team")
-
-    def score(prefix: str):
-        sides = [F.col(f"{prefix}_{side}_team_score") for side in (rules.HOME, rules.AWAY)]
-        return F.when(sides[0].isNotNull(), F.concat_ws(" - ", *[s.cast("string") for s in sides]))
-
-    return views["matches"].select(
-        F.col("match_id").alias("id"),
-        F.date_format("match_date", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
-        F.col("match_week").alias("week"),
-        F.col("league_id").alias("leagueId"),
-        F.col("league_season").alias("season"),
-        F.struct(F.col("country_code").alias("code"), F.col("country_name").alias("name")).alias("country"),
-        F.struct(F.col("league_id").alias("id"), F.col("league_name").alias("name")).alias("league"),
-        team(rules.HOME),
-        team(rules.AWAY),
-        F.struct(
-            F.col("description"),
-            F.struct(
-                *[score(prefix).alias(text) for text, prefix in pipeline.SCORE_COLUMNS.items()]
-            ).alias("score"),
-        ).alias("state"),
-    )
+
+    def struct(**fields: str) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {text}" for n, text in fields.items()) + ")"
+
+    def score(prefix: str) -> str:
+        home, away = (f"{prefix}_{side}_team_score" for side in rules.SIDES)
+        return f"if({home} IS NOT NULL, concat_ws(' - ', {home}, {away}), NULL)"
+
+    scores = struct(**{text: score(prefix) for text, prefix in pipeline.SCORE_COLUMNS.items()})
+    teams = {
+        f"{side}Team": struct(id=team_id(side), name=team_name(side)) for side in rules.SIDES
+    }
+    documents = {
+        "id": "match_id",
+        "date": "date_format(match_date, \"yyyy-MM-dd'T'HH:mm:ss\")",
+        "week": "match_week",
+        "leagueId": "league_id",
+        "season": "league_season",
+        "country": struct(code="country_code", name="country_name"),
+        "league": struct(id="league_id", name="league_name"),
+        **teams,
+        "state": struct(description="description", score=scores),
+    }
+    return views["matches"].selectExpr(*rules.named(documents))
 
 
 def bronze_flatten(views: Views) -> DataFrame:
@@ -354,18 +328,14 @@ def bronze_flatten(views: Views) -> DataFrame:
 
 def bronze_json_text(views: Views) -> DataFrame:
     """Set scores as a list, written as JSON text."""
-    listed = views["matches"].select(
-        "match_id",
-        F.array(*[rules.set_score(name, rules.HOME) for name in rules.SETS]).alias("home_sets"),
-    )
+    scores = ", ".join(rules.set_score(name, rules.HOME) for name in rules.SETS)
+    listed = views["matches"].selectExpr("match_id", f"array({scores}) AS home_sets")
     return reshape.nested_to_text(listed)
 
 
 def bronze_event_props(events: DataFrame) -> DataFrame:
     """JSON text of the events, parsed and flattened to dotted paths."""
-    parsed = events.select(
-        "event_id", F.from_json("props", "STRUCT<k: BIGINT>").alias("props")
-    )
+    parsed = events.selectExpr("event_id", "from_json(props, 'k BIGINT') AS props")
     flat = reshape.flatten_structs(parsed)
     return flat.toDF(*[name.replace(".", "_") for name in flat.columns])
 
@@ -377,11 +347,9 @@ def silver_matches(views: Views) -> DataFrame:
 
 
 def silver_split_scores(views: Views) -> DataFrame:
-    texts = views["matches"].select(
+    texts = views["matches"].selectExpr(
         "match_id",
-        F.concat_ws(
-            " - ", F.col("current_home_team_score"), F.col("current_away_team_score")
-        ).alias("current"),
+        "concat_ws(' - ', current_home_team_score, current_away_team_score) AS current",
     )
     halves = reshape.split_column(texts, "current", "home_score", "away_score")
     return reshape.cast_by_name(reshape.drop_columns(halves, ("current",)))
@@ -389,10 +357,9 @@ def silver_split_scores(views: Views) -> DataFrame:
 
 def silver_explode_seasons(views: Views) -> DataFrame:
     """Season lists per league as JSON text, and back to one row per season."""
-    listed = views["leagues"].groupBy("league_id", "league_name").agg(
-        # A league has few seasons, and the set is built before and after the shuffle.
-        F.collect_set(F.struct(F.col("league_season").alias("season"))).alias("seasons")
-    )
+    # A league has few seasons, and the set is built before and after the shuffle.
+    seasons = F.expr("collect_set(named_struct('season', league_season)) AS seasons")
+    listed = views["leagues"].groupBy("league_id", "league_name").agg(seasons)
     return reshape.explode_json(
         reshape.nested_to_text(listed), "seasons", pipeline.SEASON_LIST
     )
@@ -400,17 +367,17 @@ def silver_explode_seasons(views: Views) -> DataFrame:
 
 def silver_cast_rules(lineitem: DataFrame) -> DataFrame:
     """Text columns typed by name: numbers, ids, dates, and averages that are dropped."""
-    texts = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("string").alias("line_number"),
-        F.concat(F.lit(" "), F.col("l_quantity").cast("string")).alias("quantity_score"),
-        F.col("l_discount").cast("string").alias("discount_score"),
-        F.col("l_returnflag").alias("flag_score"),
-        F.col("l_linestatus").alias("status_type"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"),
-        F.col("l_linestatus").alias("bad_date"),
-        F.col("l_tax").alias("avg_tax"),
-        F.col("l_tax").alias("tax_percent"),
+    texts = lineitem.selectExpr(
+        "l_orderkey AS order_id",
+        "CAST(l_linenumber AS STRING) AS line_number",
+        "concat(' ', CAST(l_quantity AS STRING)) AS quantity_score",
+        "CAST(l_discount AS STRING) AS discount_score",
+        "l_returnflag AS flag_score",
+        "l_linestatus AS status_type",
+        "date_format(l_shipdate, 'yyyy-MM-dd') AS ship_date",
+        "l_linestatus AS bad_date",
+        "l_tax AS avg_tax",
+        "l_tax AS tax_percent",
     )
     return reshape.cast_by_name(texts)
 
@@ -421,7 +388,7 @@ def upsert_last_wins(views: Views) -> DataFrame:
         "homeTeam_id", "league_id", "league_season", "match_id", "match_date", "description"
     )
     return ingest.upsert(
-        documents.filter(~rules.is_finished()),
+        documents.filter(f"NOT {rules.is_finished()}"),
         documents.filter(rules.is_finished()),
         ("homeTeam_id", "league_id", "league_season"),
         ("match_date", "match_id"),
@@ -436,8 +403,9 @@ def incremental_pending(views: Views) -> DataFrame:
 
 
 def incremental_leagues(views: Views) -> DataFrame:
+    """Leagues that have no final among their matches."""
     return ingest.pending_leagues(
-        views["leagues"], views["matches"].filter(F.col("match_week") == "Final")
+        views["leagues"], views["matches"].filter("match_week = 'Final'")
     )
 
 
@@ -450,7 +418,7 @@ def first_day_by_league(views: Views) -> DataFrame:
 
 
 def stamp_batch(views: Views) -> DataFrame:
-    """Statistics of one source league filter, stamped with constants."""
+    """Team statistics stamped with the constants of a load."""
     return ingest.stamp(
         views["team_stats"].select("team_id", "league_id", "league_season"),
         source="results",
@@ -459,8 +427,8 @@ def stamp_batch(views: Views) -> DataFrame:
 
 
 def latest_match(views: Views) -> DataFrame:
-    """First-match lookup by id: the newest match of all tables, as one row."""
-    newest = views["matches"].agg(F.max(F.struct("match_date", "match_id"))["match_id"]).scalar()
+    """First-match lookup: the match whose id belongs to the newest date of all matches."""
+    newest = views["matches"].agg(F.expr("max(struct(match_date, match_id)).match_id")).scalar()
     return ingest.first_match(
         views["matches"].select("match_id", "league_id", "league_name"), F.col("match_id") == newest
     )

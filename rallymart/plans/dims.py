@@ -13,17 +13,18 @@ NAIPES = ((1, "Men"), (2, "Women"))
 
 
 def dim_naipe(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NAIPES, "naipe_id bigint, team_naipe string")
+    rows = ", ".join(f"({number}L, '{name}')" for number, name in NAIPES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS naipes(naipe_id, team_naipe)")
 
 
 def dim_countries(countries: DataFrame) -> DataFrame:
-    naipes = F.array(*[F.lit(name) for _, name in NAIPES])
+    naipes = ", ".join(f"'{name}'" for _, name in NAIPES)
     return (
-        countries.filter(rules.real_country(F.col("country_name")))
-        .select("country_code", "country_name", "country_logo", F.explode(naipes).alias("naipe"))
-        .select(
-            rules.key_of(F.col("country_code"), F.col("naipe")).alias("country_naipe_id"),
-            F.col("country_code").alias("Country_id"),
+        countries.filter(rules.real_country("country_name"))
+        .selectExpr("country_code", "country_name", "country_logo", f"explode(array({naipes})) AS naipe")
+        .selectExpr(
+            f"{rules.key_of('country_code', 'naipe')} AS country_naipe_id",
+            "country_code AS Country_id",
             "country_name",
             "country_logo",
         )
@@ -32,39 +33,36 @@ def dim_countries(countries: DataFrame) -> DataFrame:
 
 def dim_leagues(leagues: DataFrame, matches: DataFrame) -> DataFrame:
     home_country = (
-        matches.filter(rules.real_country(F.col("country_name")))
+        matches.filter(rules.real_country("country_name"))
         .groupBy("league_id")
-        .agg(F.max("country_code").alias("home_code"))
+        .agg(F.expr("coalesce(max(country_code), 'World') AS home_code"))
     )
-    named = leagues.select(
+    catalogue = leagues.selectExpr(
         "league_id",
-        rules.without_women(F.col("league_name")).alias("league_name"),
-        rules.naipe_of(F.col("league_name")).alias("league_naipe"),
+        f"{rules.without_women('league_name')} AS league_name",
+        f"{rules.naipe_of('league_name')} AS league_naipe",
     ).distinct()
-    country = F.coalesce(F.col("home_code"), F.lit("World"))
-    domestic = country != "World"
     return (
-        named.join(home_country, "league_id", "left")
-        .filter(domestic | F.col("league_name").isin(*rules.WORLD_LEAGUES))
-        .select(
-            F.col("league_id").alias("League_id"),
+        catalogue.join(home_country, "league_id", "left")
+        .selectExpr("*", "coalesce(home_code, 'World') AS country_id")
+        .filter(f"country_id <> 'World' OR {rules.in_world_leagues('league_name')}")
+        .selectExpr(
+            "league_id AS League_id",
             "league_name",
-            F.when(domestic, "National").otherwise("International").alias("geo_aggreg"),
+            "if(country_id = 'World', 'International', 'National') AS geo_aggreg",
             "league_naipe",
-            country.alias("country_id"),
+            "country_id",
         )
     )
 
 
 def dim_logos(teams: DataFrame, countries: DataFrame) -> DataFrame:
-    cleaned = teams.select(
-        "team_id", "team_logo", rules.without_category(F.col("team_name")).alias("country_name")
+    cleaned = teams.selectExpr(
+        "team_id", "team_logo", f"{rules.without_category('team_name')} AS country_name"
     ).distinct()
-    return cleaned.join(
-        countries.select("country_name", "country_logo"), "country_name", "left"
-    ).select(
-        F.col("team_id").alias("Team_id"),
-        F.coalesce("country_logo", "team_logo").alias("logo_final"),
+    logos = countries.select("country_name", "country_logo")
+    return cleaned.join(logos, "country_name", "left").selectExpr(
+        "team_id AS Team_id", "coalesce(country_logo, team_logo) AS logo_final"
     )
 
 
@@ -73,7 +71,7 @@ def league_seasons(leagues: DataFrame, matches: DataFrame) -> DataFrame:
     played = matches.groupBy("league_id", "league_season").agg(
         F.min("match_date").alias("season_start_date"),
         F.max("match_date").alias("last_match_date"),
-        F.max(rules.flag(rules.is_real_final(F.col("match_week")))).alias("has_final"),
+        F.expr(f"max({rules.flag(rules.is_real_final('match_week'))}) AS has_final"),
     )
     return played.join(leagues, ["league_id", "league_season"], "left_semi")
 
@@ -83,15 +81,18 @@ def dim_season(leagues: DataFrame, matches: DataFrame) -> DataFrame:
     # Being older than the league's newest season implies being older than the newest season
     # of all, so the second test covers both and no per-league window is needed.
     newest = seasons.agg(F.max("league_season")).scalar()
-    over = (F.col("has_final") == 1) | (F.col("league_season") < newest)
-    end = F.when(over, F.col("last_match_date"))
-    return seasons.select(
-        rules.key_of(F.col("league_id"), F.col("league_season")).alias("League_season_id"),
-        "league_id",
-        "league_season",
-        "season_start_date",
-        end.alias("season_end_date"),
-        F.when(end.isNotNull(), "Finished").otherwise("Not Finished").alias("season_status"),
+    return (
+        seasons.withColumn("newest", newest)
+        .selectExpr(
+            f"{rules.key_of('league_id', 'league_season')} AS League_season_id",
+            "league_id",
+            "league_season",
+            "season_start_date",
+            "if(has_final = 1 OR league_season < newest, last_match_date, NULL) AS season_end_date",
+        )
+        .selectExpr(
+            "*", "if(season_end_date IS NULL, 'Not Finished', 'Finished') AS season_status"
+        )
     )
 
 
@@ -99,22 +100,22 @@ def team_countries(matches: DataFrame, countries: DataFrame, leagues: DataFrame)
     """Largest domestic country code per team, and the league name that goes with it."""
     presences = melt_sides(
         matches,
-        keep={"league_id": F.col("league_id"), "country_code": F.col("country_code")},
+        keep={"league_id": "league_id", "country_code": "country_code"},
         per_side={"team_id": team_id},
     ).distinct()
     real_codes = (
-        countries.filter(rules.real_country(F.col("country_name")))
-        .select("country_code", F.col("country_code").alias("real_code"))
+        countries.filter(rules.real_country("country_name"))
+        .selectExpr("country_code", "country_code AS real_code")
         .distinct()
     )
     names = leagues.groupBy("league_id").agg(F.max("league_name").alias("league_name"))
-    order = F.struct(F.coalesce("real_code", F.lit("")), F.col("league_name"))
     return (
         presences.join(real_codes, "country_code", "left")
         .join(names, "league_id", "left")
         .groupBy("team_id")
         .agg(
-            F.max_by("league_name", order).alias("league_name"),
+            # The coalesce ranks a missing code lowest; plain max_by would skip it.
+            F.expr("max_by(league_name, struct(coalesce(real_code, ''), league_name)) AS league_name"),
             F.max("real_code").alias("country_code"),
         )
     )
@@ -123,34 +124,31 @@ def team_countries(matches: DataFrame, countries: DataFrame, leagues: DataFrame)
 def dim_teams(
     matches: DataFrame, countries: DataFrame, leagues: DataFrame, teams: DataFrame
 ) -> DataFrame:
-    own_country = countries.filter(rules.real_country(F.col("country_name"))).select(
-        F.col("country_name").alias("team_name"), F.col("country_code").alias("own_code")
+    own_country = countries.filter(rules.real_country("country_name")).selectExpr(
+        "country_name AS team_name", "country_code AS own_code"
     )
-    played = team_countries(matches, countries, leagues)
-    country = F.coalesce("own_code", "country_code")
-    naipe = rules.naipe_of(F.col("league_name"))
     return (
-        teams.select("team_id", rules.without_women(F.col("team_name")).alias("team_name"))
-        .join(played, "team_id", "left")
+        teams.selectExpr("team_id", f"{rules.without_women('team_name')} AS team_name")
+        .join(team_countries(matches, countries, leagues), "team_id", "left")
         .join(own_country, "team_name", "left")
-        .filter(country.isNotNull())
-        .select(
-            rules.key_of(country, naipe).alias("country_naipe_id"),
-            F.col("team_id").alias("Team_id"),
+        .selectExpr(
+            "team_id AS Team_id",
             "team_name",
-            naipe.alias("team_naipe"),
-            F.when(F.col("own_code").isNotNull(), "National Team").otherwise("Club").alias("team_type"),
-            country.alias("country_id"),
+            f"{rules.naipe_of('league_name')} AS team_naipe",
+            "if(own_code IS NOT NULL, 'National Team', 'Club') AS team_type",
+            "coalesce(own_code, country_code) AS country_id",
         )
+        .filter("country_id IS NOT NULL")
+        .selectExpr(f"{rules.key_of('country_id', 'team_naipe')} AS country_naipe_id", "*")
     )
 
 
 def dim_team_by_season(
     fct_intern_matches_melted_by_team: DataFrame, fct_national_matches_melted_by_team: DataFrame
 ) -> DataFrame:
-    pair = ("league_season_id", F.col("Team_id").alias("team_id"))
+    pair = ("league_season_id", "Team_id AS team_id")
     return (
-        fct_intern_matches_melted_by_team.select(*pair)
-        .union(fct_national_matches_melted_by_team.select(*pair))
+        fct_intern_matches_melted_by_team.selectExpr(*pair)
+        .union(fct_national_matches_melted_by_team.selectExpr(*pair))
         .distinct()
     )

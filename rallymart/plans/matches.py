@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators.ranking import has_hot_group, row_numbers
-from rallymart.operators.sides import melt_sides, team_id
+from rallymart.operators.sides import melt_sides, side_name, team_id, with_gaps
 
 COUNTRY = ("country_name", "country_code")
 
 
-def _match_facts(matches: DataFrame, scope: Column, country: tuple[str, ...] = ()) -> DataFrame:
-    return matches.filter(scope).select(
-        F.col("match_id").alias("Match_id"),
-        rules.season_key().alias("league_season_id"),
+def _match_facts(matches: DataFrame, scope: str, country: tuple[str, ...] = ()) -> DataFrame:
+    return with_gaps(matches.filter(scope)).selectExpr(
+        "match_id AS Match_id",
+        f"{rules.season_key()} AS league_season_id",
         "match_week",
         *country,
-        rules.minute_text(F.col("match_date")).alias("match_date"),
+        f"{rules.minute_text('match_date')} AS match_date",
         "homeTeam_id",
         "awayTeam_id",
-        rules.winner_id().alias("match_winner"),
-        F.col("description").alias("match_status"),
-        rules.current_score(rules.HOME),
-        rules.current_score(rules.AWAY),
-        *[rules.set_score(name, side) for name in rules.SETS for side in (rules.HOME, rules.AWAY)],
-        rules.sets_played().alias("total_sets"),
-        rules.tight_sets().alias("n_tight_sets"),
+        f"{rules.winner_id()} AS match_winner",
+        "description AS match_status",
+        *[rules.current_score(side) for side in rules.SIDES],
+        *[rules.set_score(name, side) for name in rules.SETS for side in rules.SIDES],
+        f"{rules.sets_played()} AS total_sets",
+        f"{rules.tight_sets()} AS n_tight_sets",
     )
 
 
 def fct_intern_matches(matches: DataFrame) -> DataFrame:
-    return _match_facts(matches, rules.is_finished() & rules.in_world_leagues(F.col("league_name")))
+    return _match_facts(matches, rules.world_leagues_scope())
 
 
 def fct_national_matches(matches: DataFrame) -> DataFrame:
@@ -43,55 +42,72 @@ def fct_national_matches(matches: DataFrame) -> DataFrame:
 SIDE_SET_SCORES = ("first", "second", "third", "fourth", "fifth")
 
 
+def recency_order() -> list:
+    """Newest match first, then match id; the side settles a team meeting itself."""
+    return [F.desc("match_date"), F.asc("match_id"), F.asc("team_side")]
+
+
+def has_hot_team(matches: DataFrame) -> bool:
+    """Whether one team has too many of these matches for one task.
+
+    Reads the two team ids only, and counts before the shuffle.
+    """
+    return has_hot_group(melt_sides(matches, {}, {"team_id": team_id}), ["team_id"])
+
+
+def team_seasons(matches: DataFrame, scope: str) -> DataFrame:
+    """Team and league-season of every side in scope, repeats included."""
+    return melt_sides(
+        matches.filter(scope), {"league_season_id": rules.season_key()}, {"team_id": team_id}
+    )
+
+
 def _side_facts(
-    matches: DataFrame, scope: Column, tight_name: str, country: tuple[str, ...] = ()
+    matches: DataFrame, scope: str, tight_name: str, country: tuple[str, ...] = ()
 ) -> DataFrame:
     in_scope = matches.filter(scope)
     set_scores = {
         f"{short}_set_score": (lambda side, name=name: rules.set_score(name, side))
         for short, name in zip(SIDE_SET_SCORES, rules.SETS)
     }
-    week = F.col("match_week")
     sides = melt_sides(
-        in_scope,
+        with_gaps(in_scope),
         keep={
-            "match_id": F.col("match_id"),
-            "league_id": F.col("league_id"),
-            "league_season": F.col("league_season"),
-            "match_week": week,
-            **{name: F.col(name) for name in country},
-            "champ_phase": rules.phase_of(week),
-            "match_date": rules.minute_text(F.col("match_date")),
-            "match_status": F.col("description"),
+            "match_id": "match_id",
+            "league_id": "league_id",
+            "league_season": "league_season",
+            "match_week": "match_week",
+            **{name: name for name in country},
+            "champ_phase": rules.phase_of("match_week"),
+            "match_date": rules.minute_text("match_date"),
+            "match_status": "description",
         },
         per_side={
             "team_id": team_id,
-            "team_side": F.lit,
+            "team_side": side_name,
             "current_score": rules.current_score,
             **set_scores,
             "team_result": rules.result_letter,
             "sets_won": rules.sets_won,
-            "sets_lost": lambda side: rules.sets_won(rules.rival(side)),
+            "sets_lost": rules.sets_lost,
             tight_name: rules.tight_sets_won,
         },
     )
-    # Sizes come from the team ids alone: a narrow read, combined before the shuffle.
-    hot = has_hot_group(melt_sides(in_scope, {}, {"team_id": team_id}), ["team_id"])
     season = ["team_id", "league_id", "league_season"]
     ranked = row_numbers(
         sides,
-        order=[F.col("match_date").desc(), F.col("match_id").asc(), F.col("team_side").asc()],
+        order=recency_order(),
         numbers={
             "match_order_general": ["team_id"],
             "match_order_champ": season,
-            "_order_in_phase": [*season, "champ_phase"],
+            "order_in_phase": [*season, "champ_phase"],
         },
         within=["team_id"],
-        hot=hot,
+        hot=has_hot_team(in_scope),
     )
-    return ranked.select(
-        F.col("team_id").alias("Team_id"),
-        rules.key_of(F.col("league_id"), F.col("league_season")).alias("league_season_id"),
+    return ranked.selectExpr(
+        "team_id AS Team_id",
+        f"{rules.key_of('league_id', 'league_season')} AS league_season_id",
         *country,
         "match_id",
         "team_side",
@@ -104,7 +120,7 @@ def _side_facts(
         "team_result",
         "match_order_general",
         "match_order_champ",
-        F.when(F.col("champ_phase") == "Finals", F.col("_order_in_phase")).alias("match_order_finals"),
+        "if(champ_phase = 'Finals', order_in_phase, NULL) AS match_order_finals",
         "sets_won",
         "sets_lost",
         tight_name,

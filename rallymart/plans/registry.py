@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,21 +55,23 @@ def run_order(names: Iterable[str] | None = None) -> list[str]:
     return list(TopologicalSorter(graph).static_order())
 
 
-def build(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+def build(spark: SparkSession, name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """A mart over the given tables; marts it needs that are not given are built first."""
-    tables = dict(tables)
+    built: dict[str, DataFrame] = {}
     for step in run_order([name]):
-        if step not in tables or step == name:
-            given = {i: tables[i] for i in inputs_of(step)}
-            if "spark" in inspect.signature(MARTS[step]).parameters:
-                given["spark"] = spark
-            tables[step] = MARTS[step](**given)
-    return tables[name]
+        if step in tables and step != name:
+            built[step] = tables[step]
+            continue
+        given = {i: built[i] if i in built else tables[i] for i in inputs_of(step)}
+        if "spark" in inspect.signature(MARTS[step]).parameters:
+            given["spark"] = spark
+        built[step] = MARTS[step](**given)
+    return built[name]
 
 
 def run_gold(
     spark: SparkSession,
-    silver: dict[str, DataFrame],
+    silver: Mapping[str, DataFrame],
     root: str,
     names: Iterable[str] | None = None,
 ) -> dict[str, int]:

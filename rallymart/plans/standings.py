@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators.ranking import group_totals, has_hot_group, row_numbers
-from rallymart.operators.sides import melt_sides, team_id, team_name
+from rallymart.operators.sides import melt_sides, team_id, team_name, with_gaps
 from rallymart.sources.staging import stage
 
 SEASON = "league_season_id"
@@ -24,57 +24,58 @@ DOMESTIC_NAMES = {
 }
 
 
-def standing_sides(matches: DataFrame, keep: dict[str, Column]) -> DataFrame:
+def standing_sides(matches: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Result, points and sets of each side, with the stage flags of the match."""
-    week = F.col("match_week")
     return melt_sides(
-        matches,
+        with_gaps(matches),
         keep={
             SEASON: rules.season_key(),
-            **keep,
-            "in_finals": rules.broad_phase_of(week) == "Finals",
-            "real_final": F.coalesce(rules.is_real_final(week), F.lit(False)),
-            "for_bronze": F.coalesce(rules.mentions(week, "3rd place"), F.lit(False)),
-            "quarter": F.coalesce(rules.mentions(week, "Quarter"), F.lit(False)),
+            **{name: name for name in keep},
+            "in_finals": rules.holds(rules.in_broad_finals("match_week")),
+            "real_final": rules.holds(rules.is_real_final("match_week")),
+            "for_bronze": rules.holds(rules.mentions("match_week", "3rd place")),
+            "quarter": rules.holds(rules.mentions("match_week", "Quarter")),
         },
         per_side={
             "team_id": team_id,
             "has_won": lambda side: rules.flag(rules.won_match(side)),
             "points": rules.match_points,
             "won": rules.sets_won,
-            "lost": lambda side: rules.sets_won(rules.rival(side)),
+            "lost": rules.sets_lost,
         },
     )
 
 
-def _sum_where(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
+def _sum_where(condition: str, value: str) -> str:
+    return f"sum(if({condition}, {value}, 0L))"
 
 
-def _group_stage() -> dict[str, Column]:
-    """Aggregates over group-stage rows, on the columns of `standing_sides`."""
-    group = ~F.col("in_finals")
+# Aggregates over group-stage rows, on the columns of `standing_sides`.
+GROUP_STAGE = {
+    "group_games": "count_if(NOT in_finals)",
+    "games_won": _sum_where("NOT in_finals", "has_won"),
+    "match_points": _sum_where("NOT in_finals", "points"),
+    "sets_won": _sum_where("NOT in_finals", "won"),
+    "sets_lost": _sum_where("NOT in_finals", "lost"),
+}
+
+
+def _series(name: str, played: str) -> dict[str, str]:
     return {
-        "group_games": F.count_if(group),
-        "games_won": _sum_where(group, F.col("has_won")),
-        "match_points": _sum_where(group, F.col("points")),
-        "sets_won": _sum_where(group, F.col("won")),
-        "sets_lost": _sum_where(group, F.col("lost")),
+        f"{name}_games": f"count_if({played})",
+        f"{name}_wins": _sum_where(played, "has_won"),
+        f"{name}_points": _sum_where(played, "points"),
+        f"{name}_balance": _sum_where(played, "won - lost"),
     }
 
 
-def _named(aggregates: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in aggregates.items()]
+def _aggregates(columns: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
 
 def table_order() -> list[Column]:
     """League-table order; the team id settles full ties."""
-    return [
-        F.col("games_won").desc(),
-        F.col("match_points").desc(),
-        F.col("set_ratio").desc(),
-        F.col("team_id").asc(),
-    ]
+    return [F.desc("games_won"), F.desc("match_points"), F.desc("set_ratio"), F.asc("team_id")]
 
 
 # --- domestic leagues -------------------------------------------------------------------
@@ -82,43 +83,29 @@ def table_order() -> list[Column]:
 
 def domestic_teams(matches: DataFrame) -> DataFrame:
     """Group-stage and series totals per team and league-season."""
-    in_scope = matches.filter(rules.is_finished() & rules.real_country(F.col("country_name")))
-    sides = standing_sides(
-        in_scope,
-        keep={
-            "league_id": F.col("league_id"),
-            "league_name": F.col("league_name"),
-            "country_code": F.col("country_code"),
-            "league_season": rules.season_text(),
-        },
-    )
-    series = {}
-    for name, played in (("final", F.col("real_final")), ("bronze", F.col("for_bronze"))):
-        series |= {
-            f"{name}_games": F.count_if(played),
-            f"{name}_wins": _sum_where(played, F.col("has_won")),
-            f"{name}_points": _sum_where(played, F.col("points")),
-            f"{name}_balance": _sum_where(played, F.col("won") - F.col("lost")),
-        }
+    league = ("league_id", "league_name", "country_code", "league_season")
+    sides = standing_sides(matches.filter(rules.country_scope()), league)
+    totals = {
+        **GROUP_STAGE,
+        **_series("final", "real_final"),
+        **_series("bronze", "for_bronze"),
+        "quarter_games": "count_if(quarter)",
+        "side_rows": "count(1)",
+    }
     return (
-        sides.groupBy("team_id", "league_id", "league_name", "country_code", "league_season", SEASON)
-        .agg(
-            *_named(_group_stage()),
-            *_named(series),
-            F.count_if("quarter").alias("quarter_games"),
-            F.count(F.lit(1)).alias("side_rows"),
-        )
-        .withColumn("set_ratio", rules.ratio(F.col("sets_won"), F.col("sets_lost")))
+        sides.groupBy("team_id", *league, SEASON)
+        .agg(*_aggregates(totals))
+        .withColumn("set_ratio", F.expr(rules.ratio("sets_won", "sets_lost")))
     )
 
 
 def _series_order(name: str) -> list[Column]:
     return [
-        F.col(f"{name}_wins").desc(),
-        F.col(f"{name}_points").desc(),
-        F.col(f"{name}_balance").desc(),
-        F.col("prelim_position").asc(),
-        F.col("team_id").asc(),
+        F.desc(f"{name}_wins"),
+        F.desc(f"{name}_points"),
+        F.desc(f"{name}_balance"),
+        F.asc("prelim_position"),
+        F.asc("team_id"),
     ]
 
 
@@ -127,59 +114,54 @@ def rank_domestic(teams: DataFrame, hot: bool) -> DataFrame:
     teams = group_totals(
         teams,
         [SEASON],
-        {
-            "season_sides": F.col("side_rows"),
-            "total_teams_this_season": rules.flag(F.col("group_games") > 0),
-        },
+        {"season_sides": "side_rows", "total_teams_this_season": rules.flag("group_games > 0")},
         hot,
     )
     # Two side rows make one match, and a season with one match is no league.
-    teams = (
-        teams.filter(F.col("season_sides") != 2)
-        .withColumn("in_table", F.col("group_games") > 0)
-        .withColumn("in_final", F.col("final_games") > 0)
-        .withColumn("in_bronze", F.col("bronze_games") > 0)
+    teams = teams.filter("season_sides <> 2").selectExpr(
+        "*",
+        "group_games > 0 AS in_table",
+        "final_games > 0 AS in_final",
+        "bronze_games > 0 AS in_bronze",
     )
     teams = row_numbers(
-        teams, table_order(), {"_table": [SEASON, "in_table"]}, [SEASON], hot
-    ).withColumn("prelim_position", F.when(F.col("in_table"), F.col("_table")))
+        teams, table_order(), {"table_place": [SEASON, "in_table"]}, [SEASON], hot
+    ).withColumn("prelim_position", F.expr("if(in_table, table_place, NULL)"))
     for name in ("final", "bronze"):
-        teams = row_numbers(
-            teams, _series_order(name), {f"_{name}": [SEASON, f"in_{name}"]}, [SEASON], hot
-        )
+        place = {f"{name}_place": [SEASON, f"in_{name}"]}
+        teams = row_numbers(teams, _series_order(name), place, [SEASON], hot)
     bucket = (
-        F.when(F.col("in_final") & (F.col("_final") <= 2), F.col("_final"))
-        .when(F.col("in_bronze") & (F.col("_bronze") <= 2), F.col("_bronze") + 2)
-        .when(F.col("quarter_games") > 0, F.lit(5))
-        .cast("bigint")
+        "CASE WHEN in_final AND final_place <= 2 THEN final_place "
+        "WHEN in_bronze AND bronze_place <= 2 THEN bronze_place + 2 "
+        "WHEN quarter_games > 0 THEN 5L END"
+    )
+    teams = teams.filter("in_table").selectExpr(
+        "*", f"{bucket} AS finalist_bucket", f"coalesce({bucket}, 6L) AS strength_level"
     )
-    teams = teams.withColumn("finalist_bucket", bucket).filter("in_table")
-    order = [F.coalesce("finalist_bucket", F.lit(6)).asc(), F.col("prelim_position").asc()]
+    order = [F.asc("strength_level"), F.asc("prelim_position")]
     return row_numbers(teams, order, {"final_rank": [SEASON]}, [SEASON], hot)
 
 
 def fct_national_standings(matches: DataFrame) -> DataFrame:
     teams = stage(domestic_teams(matches), "domestic-teams")
-    ranked = rank_domestic(teams, has_hot_group(teams, [SEASON]))
-    level = F.coalesce("finalist_bucket", F.lit(6).cast("bigint"))
-    return ranked.select(
-        F.col(SEASON).alias("League_season_id"),
+    return rank_domestic(teams, has_hot_group(teams, [SEASON])).selectExpr(
+        f"{SEASON} AS League_season_id",
         "league_id",
-        F.col("country_code").alias("Country_id"),
-        F.col("team_id").alias("Team_id"),
-        "league_season",
+        "country_code AS Country_id",
+        "team_id AS Team_id",
+        f"{rules.season_text()} AS league_season",
         "prelim_position",
         "total_teams_this_season",
         "games_won",
-        (F.col("group_games") - F.col("games_won")).alias("games_lost"),
+        "group_games - games_won AS games_lost",
         "match_points",
         "sets_won",
         "sets_lost",
         "set_ratio",
         "final_rank",
         "finalist_bucket",
-        level.alias("strength_level"),
-        rules.strength_name(level, DOMESTIC_NAMES).alias("strength_cluster"),
+        "strength_level",
+        f"{rules.strength_name('strength_level', DOMESTIC_NAMES)} AS strength_cluster",
     )
 
 
@@ -188,45 +170,35 @@ def fct_national_standings(matches: DataFrame) -> DataFrame:
 
 def world_teams(matches: DataFrame) -> DataFrame:
     """Group-stage totals and medal counts per team and edition."""
-    sides = standing_sides(matches.filter(rules.world_scope()), keep={})
-    won = F.col("has_won") == 1
+    totals = {
+        **GROUP_STAGE,
+        "finals_games": "count_if(in_finals)",
+        "finals_won": "count_if(real_final AND has_won = 1)",
+        "finals_lost": "count_if(real_final AND has_won = 0)",
+        "bronzes_won": "count_if(for_bronze AND has_won = 1)",
+        "bronzes_lost": "count_if(for_bronze AND has_won = 0)",
+        "quarter_games": "count_if(quarter)",
+    }
     return (
-        sides.groupBy(SEASON, "team_id")
-        .agg(
-            *_named(_group_stage()),
-            F.count_if("in_finals").alias("finals_games"),
-            F.count_if(F.col("real_final") & won).alias("finals_won"),
-            F.count_if(F.col("real_final") & ~won).alias("finals_lost"),
-            F.count_if(F.col("for_bronze") & won).alias("bronzes_won"),
-            F.count_if(F.col("for_bronze") & ~won).alias("bronzes_lost"),
-            F.count_if("quarter").alias("quarter_games"),
-        )
-        .withColumn("set_ratio", rules.ratio(F.col("sets_won"), F.col("sets_lost")))
+        standing_sides(matches.filter(rules.world_scope()))
+        .groupBy(SEASON, "team_id")
+        .agg(*_aggregates(totals))
+        .withColumn("set_ratio", F.expr(rules.ratio("sets_won", "sets_lost")))
     )
 
 
-def medal_level() -> Column:
-    """1 gold to 7, on the columns of `rank_world`."""
-    # The top half of n teams is the integer half.
-    upper_half = F.col("elim_rank") <= F.expr("n_elim div 2")
-    return (
-        F.when(F.col("finals_won") > 0, 1)
-        .when(F.col("finals_lost") > 0, 2)
-        .when(F.col("bronzes_won") > 0, 3)
-        .when(F.col("bronzes_lost") > 0, 4)
-        .when(F.col("quarter_games") > 0, 5)
-        .when((F.col("finals_games") == 0) & upper_half, 6)
-        .otherwise(7)
-        .cast("bigint")
-    )
+# 1 gold to 7, on the columns of `rank_world`. The top half of n teams is the integer half.
+MEDAL_LEVEL = (
+    "CASE WHEN finals_won > 0 THEN 1L WHEN finals_lost > 0 THEN 2L "
+    "WHEN bronzes_won > 0 THEN 3L WHEN bronzes_lost > 0 THEN 4L WHEN quarter_games > 0 THEN 5L "
+    "WHEN eliminated AND elim_rank <= n_elim div 2 THEN 6L ELSE 7L END"
+)
 
 
 def rank_world(teams: DataFrame, hot: bool) -> DataFrame:
     """Group-table position and strength level of the teams that played group matches."""
-    teams = teams.filter(F.col("group_games") > 0).withColumn(
-        "eliminated", F.col("finals_games") == 0
-    )
-    teams = group_totals(teams, [SEASON], {"n_elim": rules.flag(F.col("eliminated"))}, hot)
+    teams = teams.filter("group_games > 0").selectExpr("*", "finals_games = 0 AS eliminated")
+    teams = group_totals(teams, [SEASON], {"n_elim": rules.flag("eliminated")}, hot)
     teams = row_numbers(
         teams,
         table_order(),
@@ -234,25 +206,25 @@ def rank_world(teams: DataFrame, hot: bool) -> DataFrame:
         [SEASON],
         hot,
     )
-    return teams.withColumn("strength_level", medal_level())
+    return teams.withColumn("strength_level", F.expr(MEDAL_LEVEL))
 
 
 def eligible_teams(matches: DataFrame, countries: DataFrame) -> DataFrame:
     """National teams whose country has a domestic league of the same category."""
     league_homes = (
-        matches.filter(rules.real_country(F.col("country_name")))
-        .select("country_code", rules.narrow_naipe_of(F.col("league_name")).alias("naipe"))
+        matches.filter(rules.real_country("country_name"))
+        .selectExpr("country_code", f"{rules.narrow_naipe_of('league_name')} AS naipe")
         .distinct()
     )
-    named = melt_sides(matches, {}, {"team_id": team_id, "name": team_name}).distinct()
-    real = countries.filter(rules.real_country(F.col("country_name"))).select(
-        F.col("country_name").alias("plain_name"), "country_code"
+    names = melt_sides(matches, {}, {"team_id": team_id, "name": team_name}).distinct()
+    real = countries.filter(rules.real_country("country_name")).selectExpr(
+        "country_name AS plain_name", "country_code"
     )
     return (
-        named.select(
+        names.selectExpr(
             "team_id",
-            rules.narrow_naipe_of(F.col("name")).alias("naipe"),
-            rules.without_women(F.col("name")).alias("plain_name"),
+            f"{rules.narrow_naipe_of('name')} AS naipe",
+            f"{rules.without_women('name')} AS plain_name",
         )
         .join(real, "plain_name")
         .join(league_homes, ["country_code", "naipe"], "left_semi")
@@ -264,9 +236,8 @@ def eligible_teams(matches: DataFrame, countries: DataFrame) -> DataFrame:
 def editions(matches: DataFrame) -> DataFrame:
     return (
         matches.filter(rules.world_scope())
-        .select(
-            rules.season_key().alias(SEASON),
-            rules.naipe_of(F.col("league_name")).alias("naipe"),
+        .selectExpr(
+            f"{rules.season_key()} AS {SEASON}", f"{rules.naipe_of('league_name')} AS naipe"
         )
         .distinct()
     )
@@ -278,11 +249,8 @@ def expected_entries(teams: DataFrame, tournaments: DataFrame) -> DataFrame:
     There are only two categories, so the teams are spread over slots and the editions, few
     next to them, are repeated per slot; no task holds a whole category.
     """
-    slots = F.sequence(F.lit(0), F.lit(GRID_SLOTS - 1))
-    spread = teams.withColumn(
-        "slot", F.pmod(F.xxhash64("team_id"), F.lit(GRID_SLOTS)).cast("int")
-    )
-    repeated = tournaments.withColumn("slot", F.explode(slots))
+    spread = teams.selectExpr("*", f"CAST(pmod(xxhash64(team_id), {GRID_SLOTS}) AS INT) AS slot")
+    repeated = tournaments.selectExpr("*", f"explode(sequence(0, {GRID_SLOTS - 1})) AS slot")
     return spread.join(repeated, ["naipe", "slot"]).select("team_id", SEASON)
 
 
@@ -290,16 +258,16 @@ def fct_intern_standings(matches: DataFrame, countries: DataFrame) -> DataFrame:
     teams = stage(world_teams(matches), "world-teams")
     ranked = rank_world(teams, has_hot_group(teams, [SEASON]))
     entries = expected_entries(eligible_teams(matches, countries), editions(matches))
-    level = F.coalesce("strength_level", F.lit(8).cast("bigint"))
-    return entries.join(ranked, ["team_id", SEASON], "left").select(
-        F.col(SEASON).alias("League_season_id"),
-        F.col("team_id").alias("Team_id"),
-        F.col("prelim_position").alias("rank_position"),
+    level = "coalesce(strength_level, 8L)"
+    return entries.join(ranked, ["team_id", SEASON], "left").selectExpr(
+        f"{SEASON} AS League_season_id",
+        "team_id AS Team_id",
+        "prelim_position AS rank_position",
         *[
-            F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
+            f"coalesce({name}, 0L) AS {name}"
             for name in ("games_won", "match_points", "sets_won", "sets_lost")
         ],
         "set_ratio",
-        level.alias("strength_level"),
-        rules.strength_name(level).alias("strength_cluster"),
+        f"{level} AS strength_level",
+        f"{rules.strength_name(level)} AS strength_cluster",
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.sides import melt_sides, team_id
+from rallymart.operators.sides import melt_sides, team_id, with_gaps
 
 # Stage counted by exact name -> output column.
 STAGE_COLUMNS = {
@@ -17,30 +17,24 @@ STAGE_COLUMNS = {
 }
 MIN_TIGHT_SETS = 3
 
-
-def _side_counts() -> dict[str, Column]:
-    """What one match adds to its team's season, over the columns of `_team_sides`."""
-    won = F.col("won")
-    return {
-        **{
-            column: rules.flag(F.col("match_week") == stage)
-            for stage, column in STAGE_COLUMNS.items()
-        },
-        "total_games_5_sets": rules.flag(F.col("fifth_score").isNotNull()),
-        "n_3_x_0_wins": rules.flag(won & F.col("fourth_score").isNull()),
-        **{f"set_{i}_win": F.col(f"took_{i}") for i in range(1, len(rules.SETS) + 1)},
-        "n_tight_games_won": rules.flag(won & (F.col("n_tight") >= MIN_TIGHT_SETS)),
-    }
+# What one match adds to its team's season, over the columns of `_team_sides`.
+SIDE_COUNTS = {
+    **{name: rules.flag(f"match_week = '{stage}'") for stage, name in STAGE_COLUMNS.items()},
+    "total_games_5_sets": rules.flag("fifth_score IS NOT NULL"),
+    "n_3_x_0_wins": rules.flag("won AND fourth_score IS NULL"),
+    **{f"set_{i}_win": f"took_{i}" for i in range(1, len(rules.SETS) + 1)},
+    "n_tight_games_won": rules.flag(f"won AND n_tight >= {MIN_TIGHT_SETS}"),
+}
 
 
 def _team_sides(matches: DataFrame) -> DataFrame:
     fourth, fifth = rules.SETS[3], rules.SETS[4]
     return melt_sides(
-        matches,
+        with_gaps(matches),
         keep={
-            "league_id": F.col("league_id"),
+            "league_id": "league_id",
             "league_season": rules.season_text(),
-            "match_week": F.col("match_week"),
+            "match_week": "match_week",
             "n_tight": rules.tight_sets(),
         },
         per_side={
@@ -49,8 +43,8 @@ def _team_sides(matches: DataFrame) -> DataFrame:
             "fourth_score": lambda side: rules.set_score(fourth, side),
             "fifth_score": lambda side: rules.set_score(fifth, side),
             **{
-                f"took_{i}": (lambda side, name=name: rules.flag(rules.took_set(name, side)))
-                for i, name in enumerate(rules.SETS, start=1)
+                f"took_{i}": (lambda side, gap=gap: rules.flag(rules.took_set(gap, side)))
+                for i, gap in enumerate(rules.GAPS, start=1)
             },
         },
     )
@@ -61,34 +55,33 @@ def _team_stats(
 ) -> DataFrame:
     if scope_join not in ("inner", "semi"):
         raise ValueError(f"scope_join is inner or semi, not {scope_join!r}")
-    counts = _side_counts()
     per_league = (
         _team_sides(in_scope)
         .groupBy("league_id", "team_id", "league_season")
-        .agg(*[F.sum(c).alias(name) for name, c in counts.items()])
+        .agg(*[F.expr(f"sum({text}) AS {name}") for name, text in SIDE_COUNTS.items()])
     )
     # A match meets every catalogue row of its league. Multiplying sums by the number of
     # rows gives the same counts without repeating the matches.
-    repeats = leagues.groupBy("league_id").agg(F.count(F.lit(1)).alias("repeats"))
-    times = F.col("repeats") if scope_join == "inner" else F.lit(1)
+    times = "count(1)" if scope_join == "inner" else "1L"
+    repeats = leagues.groupBy("league_id").agg(F.expr(f"{times} AS repeats"))
     per_team = (
         per_league.join(repeats, "league_id")
         .groupBy("team_id", "league_season")
-        .agg(*[F.sum(F.col(name) * times).alias(name) for name in counts])
+        .agg(*[F.expr(f"sum({name} * repeats) AS {name}") for name in SIDE_COUNTS])
     )
-    stats = team_stats.withColumn("league_season", rules.season_text())
-    return stats.join(per_team, ["team_id", "league_season"], "left").select(
-        F.col("team_id").alias("Team_id"),
-        rules.key_of(F.col("league_id"), F.col("league_season")).alias("league_season_id"),
+    stats = team_stats.withColumn("league_season", F.expr(rules.season_text()))
+    return stats.join(per_team, ["team_id", "league_season"], "left").selectExpr(
+        "team_id AS Team_id",
+        f"{rules.key_of('league_id', 'league_season')} AS league_season_id",
         "league_id",
         "league_season",
-        F.col("total_games_played").alias("season_games_played"),
-        F.col("total_games_wins").alias("season_games_won"),
-        F.col("total_games_loses").alias("season_games_lost"),
-        F.col("total_points_scored").alias("points_scored"),
-        F.col("total_points_received").alias("points_received"),
-        (F.col("total_points_scored") - F.col("total_points_received")).alias("points_delta"),
-        *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in counts],
+        "total_games_played AS season_games_played",
+        "total_games_wins AS season_games_won",
+        "total_games_loses AS season_games_lost",
+        "total_points_scored AS points_scored",
+        "total_points_received AS points_received",
+        "total_points_scored - total_points_received AS points_delta",
+        *[f"coalesce({name}, 0L) AS {name}" for name in SIDE_COUNTS],
     )
 
 
@@ -99,7 +92,7 @@ def fct_intern_team_stats(
 
     `scope_join="inner"` counts a match once per catalogue row of its league, `"semi"` once.
     """
-    in_scope = matches.filter(rules.is_finished() & rules.in_world_leagues(F.col("league_name")))
+    in_scope = matches.filter(rules.world_leagues_scope())
     return _team_stats(in_scope, leagues, team_stats, scope_join)
 
 
@@ -107,5 +100,5 @@ def fct_national_team_stats(
     matches: DataFrame, leagues: DataFrame, team_stats: DataFrame, scope_join: str = "inner"
 ) -> DataFrame:
     """As above, with the scope tested on the country of the catalogue row."""
-    domestic = leagues.filter(rules.real_country(F.col("country_name")))
+    domestic = leagues.filter(rules.real_country("country_name"))
     return _team_stats(matches.filter(rules.is_finished()), domestic, team_stats, scope_join)

@@ -8,61 +8,79 @@ DataFrames here and with view names there.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rallymart.functions.rules import SETS
 
 
+_TOPS = (25, 25, 25, 25, 15)
+
+
+def _set_numbers() -> str:
+    """Per set: the loser's score, and whether the home side takes it."""
+    columns = []
+    for number, top in enumerate(_TOPS, start=1):
+        columns.append(f"coalesce({top} - (2 + (k * {number + 2}) % 7), 0) AS low_{number}")
+        columns.append(f"(hw = 1) = ({number} > p - 3) AS home_{number}")
+    return ",\n    ".join(columns)
+
+
 def _set_columns() -> str:
     columns = []
-    for number, name in enumerate(SETS, start=1):
-        top = 15 if number == 5 else 25
-        low = f"{top} - (2 + (k * {number + 2}) % 7)"
-        unplayed = f"aband = 1 OR {number} > p"
-        home_takes = f"(hw = 1) = ({number} > p - 3)"
-        for side, takes in (("home", home_takes), ("away", f"NOT ({home_takes})")):
+    for number, (name, top) in enumerate(zip(SETS, _TOPS), start=1):
+        for side, takes in (("home", f"home_{number}"), ("away", f"NOT home_{number}")):
             columns.append(
-                f"CAST(CASE WHEN {unplayed} THEN NULL WHEN {takes} THEN {top} ELSE {low} END AS BIGINT)"
-                f" AS {name}_{side}_team_score"
+                f"CASE WHEN {number} > played THEN NULL WHEN {takes} THEN CAST({top} AS BIGINT)"
+                f" ELSE low_{number} END AS {name}_{side}_team_score"
             )
     return ",\n  ".join(columns)
 
 
+# Built in layers so that no one expression grows large: scope is 0 world, 1 continent,
+# 2 national; `played` is 0 for an abandoned match.
 MATCHES = f"""
 SELECT
   CAST(k AS STRING) AS match_id,
-  CASE WHEN sc = 'W' THEN CAST(900 + 2 * (k % 3) + g AS STRING)
-       WHEN sc = 'E' THEN '990'
-       WHEN k % 499 = 7 THEN CAST(10000 + k AS STRING)
-       ELSE CAST(2 * n + g AS STRING) END AS league_id,
-  CASE WHEN sc = 'W' THEN
-         CASE k % 3 WHEN 0 THEN 'Nations League' WHEN 1 THEN 'World Championship' ELSE 'Olympic Games' END
-         || CASE WHEN g = 1 THEN ' Women' ELSE '' END
-       WHEN sc = 'E' THEN 'Champions League'
+  CAST(league AS STRING) AS league_id,
+  CASE WHEN scope = 0 THEN
+         CASE cup WHEN 0 THEN 'Nations League' WHEN 1 THEN 'World Championship' ELSE 'Olympic Games' END
+         || women
+       WHEN scope = 1 THEN 'Champions League'
        ELSE 'Liga ' || CAST(n AS STRING)
-         || CASE WHEN g = 0 THEN '' WHEN n % 4 = 0 THEN ' Women' WHEN n % 4 = 1 THEN ' Femenina'
-                 WHEN n % 4 = 2 THEN ' Female' ELSE ' Feminina' END
+         || CASE WHEN g = 0 THEN '' WHEN n4 = 0 THEN ' Women' WHEN n4 = 1 THEN ' Femenina'
+                 WHEN n4 = 2 THEN ' Female' ELSE ' Feminina' END
        END AS league_name,
   y AS league_season,
-  CASE sc WHEN 'W' THEN 'World' WHEN 'E' THEN 'Europe' ELSE 'C' || CAST(n AS STRING) END AS country_code,
-  CASE sc WHEN 'W' THEN 'World' WHEN 'E' THEN 'Europe' ELSE home_nation END AS country_name,
-  CASE k % 11 WHEN 0 THEN 'Final' WHEN 1 THEN 'Semi-finals' WHEN 2 THEN 'Quarter-finals'
-              WHEN 3 THEN '3rd place' WHEN 4 THEN NULL ELSE CAST(k % 11 AS STRING) END AS match_week,
+  CASE scope WHEN 0 THEN 'World' WHEN 1 THEN 'Europe' ELSE 'C' || CAST(n AS STRING) END AS country_code,
+  CASE scope WHEN 0 THEN 'World' WHEN 1 THEN 'Europe' ELSE home_nation END AS country_name,
+  CASE week WHEN 0 THEN 'Final' WHEN 1 THEN 'Semi-finals' WHEN 2 THEN 'Quarter-finals'
+            WHEN 3 THEN '3rd place' WHEN 4 THEN NULL ELSE CAST(week AS STRING) END AS match_week,
   d AS match_date,
   CASE WHEN st = 'O' THEN 'Not started' ELSE 'Finished' END AS description,
-  CASE WHEN sc = 'W' THEN CAST(5000 + 2 * n + g AS STRING)
-       ELSE CAST(1000 + 16 * n + 8 * g + a AS STRING) END AS homeTeam_id,
-  CASE WHEN sc = 'W' THEN CAST(5000 + 2 * n2 + g AS STRING)
-       ELSE CAST(1000 + 16 * n + 8 * g + (a + 1 + k % 7) % 8 AS STRING) END AS awayTeam_id,
-  CASE WHEN sc = 'W' THEN home_nation || CASE WHEN g = 1 THEN ' Women' ELSE '' END
-       ELSE 'Club ' || CAST(1000 + 16 * n + 8 * g + a AS STRING) END AS homeTeam_name,
-  CASE WHEN sc = 'W' THEN away_nation || CASE WHEN g = 1 THEN ' Women' ELSE '' END
-       ELSE 'Club ' || CAST(1000 + 16 * n + 8 * g + (a + 1 + k % 7) % 8 AS STRING) END AS awayTeam_name,
-  CAST(CASE WHEN aband = 1 THEN 0 WHEN hw = 1 THEN 3 ELSE p - 3 END AS BIGINT) AS current_home_team_score,
-  CAST(CASE WHEN aband = 1 THEN 0 WHEN hw = 1 THEN p - 3 ELSE 3 END AS BIGINT) AS current_away_team_score,
+  CAST(home_id AS STRING) AS homeTeam_id,
+  CAST(away_id AS STRING) AS awayTeam_id,
+  CASE WHEN scope = 0 THEN home_nation || women ELSE 'Club ' || CAST(home_id AS STRING) END AS homeTeam_name,
+  CASE WHEN scope = 0 THEN away_nation || women ELSE 'Club ' || CAST(away_id AS STRING) END AS awayTeam_name,
+  CASE WHEN played = 0 THEN CAST(0 AS BIGINT) WHEN hw = 1 THEN CAST(3 AS BIGINT) ELSE p - 3 END
+    AS current_home_team_score,
+  CASE WHEN played = 0 THEN CAST(0 AS BIGINT) WHEN hw = 1 THEN p - 3 ELSE CAST(3 AS BIGINT) END
+    AS current_away_team_score,
   {_set_columns()}
 FROM (
-  SELECT b.*, m.n_name AS away_nation
+  SELECT
+    k, n, g, y, d, st, p, hw, scope, week, home_nation, m.n_name AS away_nation,
+    coalesce(k % 3, 0) AS cup,
+    coalesce(n % 4, 0) AS n4,
+    CASE WHEN g = 1 THEN ' Women' ELSE '' END AS women,
+    CASE WHEN k % 97 = 0 THEN 0 ELSE p END AS played,
+    coalesce(CASE WHEN scope = 0 THEN 900 + 2 * (k % 3) + g WHEN scope = 1 THEN 990
+                  WHEN k % 499 = 7 THEN 10000 + k ELSE 2 * n + g END, 0) AS league,
+    CASE WHEN scope = 0 THEN 5000 + 2 * n + g ELSE 1000 + 16 * n + 8 * g + a END AS home_id,
+    coalesce(CASE WHEN scope = 0 THEN 5000 + 2 * n2 + g
+                  ELSE 1000 + 16 * n + 8 * g + (a + 1 + k % 7) % 8 END, 0) AS away_id,
+    {_set_numbers()}
   FROM (
     SELECT
       o.o_orderkey AS k,
@@ -71,16 +89,17 @@ FROM (
       CAST(year(o.o_orderdate) AS BIGINT) AS y,
       o.o_orderdate AS d,
       o.o_orderstatus AS st,
-      o.o_custkey % 2 AS g,
-      CASE WHEN o.o_orderkey % 4 = 0 THEN 'W' WHEN o.o_orderkey % 17 = 1 THEN 'E' ELSE 'N' END AS sc,
-      CAST(floor(o.o_custkey / 2) AS BIGINT) % 8 AS a,
-      (c.c_nationkey + 1 + o.o_orderkey % 24) % 25 AS n2,
-      3 + (o.o_custkey + o.o_orderkey) % 3 AS p,
-      CAST(floor((o.o_orderkey + o.o_custkey) / 3) AS BIGINT) % 2 AS hw,
-      CASE WHEN o.o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS aband
+      coalesce(o.o_custkey % 2, 0) AS g,
+      CASE WHEN o.o_orderkey % 4 = 0 THEN 0 WHEN o.o_orderkey % 17 = 1 THEN 1 ELSE 2 END AS scope,
+      coalesce(o.o_orderkey % 11, 0) AS week,
+      coalesce(CAST(floor(o.o_custkey / 2) AS BIGINT) % 8, 0) AS a,
+      coalesce((c.c_nationkey + 1 + o.o_orderkey % 24) % 25, 0) AS n2,
+      coalesce(3 + (o.o_custkey + o.o_orderkey) % 3, 3) AS p,
+      coalesce(CAST(floor((o.o_orderkey + o.o_custkey) / 3) AS BIGINT) % 2, 0) AS hw
     FROM {{orders}} o
     JOIN {{customer}} c ON o.o_custkey = c.c_custkey
     JOIN {{nation}} h ON c.c_nationkey = h.n_nationkey
+    WHERE o.o_orderkey IS NOT NULL
   ) b
   JOIN {{nation}} m ON b.n2 = m.n_nationkey
 ) s
@@ -137,21 +156,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def matches_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("orders", "customer", "nation")
-    return spark.sql(MATCHES, **{name: read(spark, sf_dir, name) for name in names})
+class SilverViews(Mapping):
+    """The silver tables by name, each planned when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            text, sources = VIEWS[name]
+            inputs = {
+                source: self[source] if source in VIEWS else self._read(source)
+                for source in sources
+            }
+            self._planned[name] = self._spark.sql(text, **inputs)
+        return self._planned[name]
+
+    def _read(self, table: str) -> DataFrame:
+        return read(self._spark, self._sf_dir, table)
 
+    def __iter__(self) -> Iterator[str]:
+        return iter(VIEWS)
 
-def views_over(spark: SparkSession, matches: DataFrame, nation: DataFrame) -> dict[str, DataFrame]:
-    """The five silver tables the marts read, given `matches`."""
-    return {
-        "matches": matches,
-        "leagues": spark.sql(LEAGUES, matches=matches),
-        "teams": spark.sql(TEAMS, matches=matches),
-        "countries": spark.sql(COUNTRIES, nation=nation),
-        "team_stats": spark.sql(TEAM_STATS, matches=matches),
-    }
+    def __len__(self) -> int:
+        return len(VIEWS)
 
 
-def silver_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return views_over(spark, matches_view(spark, sf_dir), read(spark, sf_dir, "nation"))
+VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "matches": (MATCHES, ("orders", "customer", "nation")),
+    "leagues": (LEAGUES, ("matches",)),
+    "teams": (TEAMS, ("matches",)),
+    "countries": (COUNTRIES, ("nation",)),
+    "team_stats": (TEAM_STATS, ("matches",)),
+}

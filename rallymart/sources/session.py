@@ -7,6 +7,9 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Methods beyond the JVM's limit for compilation run interpreted; Spark then does better
+    # with one generated method per operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Split a hot join key even where that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
