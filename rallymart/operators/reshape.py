@@ -97,12 +97,23 @@ def is_average(name: str) -> bool:
     return any(word in name for word in ("avg", "average", "percent"))
 
 
-def whole_number(value: Column) -> Column:
+# Number text that is parsed; anything else is NULL. Testing the shape first is far cheaper
+# than a failed parse on every row.
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def whole_number(value: Column, kind: T.DataType) -> Column:
     """Text or number as bigint; `2.0` is 2, fractions and other text are NULL."""
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint")
+    if isinstance(kind, (T.FractionalType, T.BooleanType)):
+        number = value.cast("double")
+        return F.when(number == F.floor(number), number.try_cast("bigint"))
     text = F.trim(value.cast("string"))
-    number = text.try_cast("double")
-    return F.coalesce(
-        text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint"))
+    number = F.when(text.rlike(NUMBER_PATTERN), text.cast("double"))
+    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint")).when(
+        number == F.floor(number), number.try_cast("bigint")
     )
 
 
@@ -111,10 +122,10 @@ def wall_clock(value: Column) -> Column:
     return value.try_cast("timestamp").try_cast("timestamp_ntz")
 
 
-def _typed(name: str) -> Column:
+def _typed(name: str, kind: T.DataType) -> Column:
     value = column(name)
     if "score" in name or "number" in name:
-        return whole_number(value).alias(name)
+        return whole_number(value, kind).alias(name)
     if name.endswith("name") or any(word in name for word in ("type", "category", "id")):
         return value.cast("string").alias(name)
     if "date" in name:
@@ -127,9 +138,9 @@ def cast_by_name(df: DataFrame, keep_averages: bool = False) -> DataFrame:
     averages = [name for name in df.columns if is_average(name)]
     return df.select(
         *[
-            column(name) if name in averages else _typed(name)
-            for name in df.columns
-            if keep_averages or name not in averages
+            column(f.name) if f.name in averages else _typed(f.name, f.dataType)
+            for f in df.schema
+            if keep_averages or f.name not in averages
         ]
     )
 
@@ -156,5 +167,20 @@ def rename_columns(df: DataFrame, overrides: dict[str, str] | None = None) -> Da
 
 def split_column(df: DataFrame, name: str, first: str, second: str, separator: str = "-") -> DataFrame:
     """Add the two halves of a text column; a half that is not there is NULL."""
-    parts = F.split(column(name), re.escape(separator))
-    return df.withColumns({first: F.get(parts, F.lit(0)), second: F.get(parts, F.lit(1))})
+    return split_columns(df, {name: (first, second)}, separator)
+
+
+def split_columns(
+    df: DataFrame, halves: dict[str, tuple[str, str]], separator: str = "-"
+) -> DataFrame:
+    """Split several text columns, each in two, splitting every text once."""
+    parts = {f"_parts_{name}": F.split(column(name), re.escape(separator)) for name in halves}
+    kept = df.columns
+    named = {}
+    for name, pair in halves.items():
+        for place, half in enumerate(pair):
+            named[half] = F.get(column(f"_parts_{name}"), F.lit(place))
+    return df.withColumns(parts).select(
+        *[column(name) for name in kept if name not in named],
+        *[value.alias(half) for half, value in named.items()],
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rallymart.functions.rules import AWAY, HOME
+from rallymart.functions.rules import SIDES
 from rallymart.operators import reshape
 from rallymart.plans.registry import MARTS, run_gold
 from rallymart.sources.landing import ENTITIES, read_landed
@@ -56,12 +56,13 @@ def to_bronze(documents: DataFrame) -> DataFrame:
 
 def silver_matches(bronze: DataFrame) -> DataFrame:
     table = reshape.rename_columns(bronze, RENAMES["matches"])
-    for text, prefix in SCORE_COLUMNS.items():
-        if text not in table.columns:
-            table = table.withColumn(text, F.lit(None).cast("string"))
-        table = reshape.split_column(
-            table, text, f"{prefix}_{HOME}_team_score", f"{prefix}_{AWAY}_team_score"
-        )
+    missing = [text for text in SCORE_COLUMNS if text not in table.columns]
+    table = table.withColumns({text: F.lit(None).cast("string") for text in missing})
+    halves = {
+        text: tuple(f"{prefix}_{side}_team_score" for side in SIDES)
+        for text, prefix in SCORE_COLUMNS.items()
+    }
+    table = reshape.split_columns(table, halves)
     return reshape.cast_by_name(reshape.drop_columns(table, MATCH_LEFTOVERS))
 
 

@@ -9,10 +9,13 @@ DataFrames here and with view names there.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rallymart.functions.rules import SETS
+from rallymart.sources.staging import staging_path
 
 
 _TOPS = (25, 25, 25, 25, 15)
@@ -159,9 +162,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 class SilverViews(Mapping):
     """The silver tables by name, each planned when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, given: dict[str, DataFrame] | None = None
+    ) -> None:
         self._spark, self._sf_dir = spark, sf_dir
-        self._planned: dict[str, DataFrame] = {}
+        self._planned: dict[str, DataFrame] = dict(given or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._planned:
@@ -190,3 +195,32 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "countries": (COUNTRIES, ("nation",)),
     "team_stats": (TEAM_STATS, ("matches",)),
 }
+
+
+@lru_cache(maxsize=32)
+def silver_views(spark: SparkSession, sf_dir: str) -> SilverViews:
+    """Views computed from the order tables whenever they are read. Holds plans, no data."""
+    return SilverViews(spark, sf_dir)
+
+
+_stored_matches: dict[tuple[str, str], str] = {}
+
+
+def stored_views(spark: SparkSession, sf_dir: str) -> SilverViews:
+    """The same over a match table written once per session, for jobs that read it often.
+
+    Each read of the view joins orders with customers; each read of the table is a pruned
+    Parquet scan.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    matches = silver_views(spark, sf_dir)["matches"]
+    if key in _stored_matches:
+        try:
+            stored = spark.read.schema(matches.schema).parquet(_stored_matches[key])
+            return SilverViews(spark, sf_dir, {"matches": stored})
+        except AnalysisException:  # the folder was cleared meanwhile
+            del _stored_matches[key]
+    path = staging_path(spark, "matches")
+    matches.write.parquet(path)
+    _stored_matches[key] = path
+    return stored_views(spark, sf_dir)

@@ -30,6 +30,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, so a lost executor costs no recomputation of what came before, and
     later readers still get column pruning and pushed filters.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
