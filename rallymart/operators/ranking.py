@@ -1,14 +1,15 @@
 """Row numbers and group totals that hold when one group has most of the rows.
 
 A window function sends each group to one task. That is the cheapest plan while groups are
-small, so group sizes are checked first: up to `spark.rallymart.hotGroupRows` rows the plain
-window is used, beyond it the rows are range-partitioned on group and order, so a large group
-spreads over many tasks and its row numbers are put together from per-block counts. Both give
-the same numbers.
+small, so group sizes are checked first: while all have up to `spark.rallymart.hotGroupRows`
+rows the plain window is used, beyond that the rows are range-partitioned on group and order
+into blocks of about that size, so a large group spreads over many tasks and its row numbers
+are put together from per-block counts. Both give the same numbers.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
@@ -19,17 +20,23 @@ from rallymart.sources.staging import stage
 
 HOT_ROWS_SETTING = "spark.rallymart.hotGroupRows"
 HOT_ROWS_DEFAULT = 5_000_000
+MOST_BLOCKS = 20_000  # blocks only grow beyond this
 
 _BLOCK = "_block"
 _ROWS = "_rows"
 
 
-def has_hot_group(df: DataFrame, keys: list[str]) -> bool:
-    """Whether any group is too large for one task. One number reaches the driver."""
+def blocks_needed(df: DataFrame, keys: list[str]) -> int:
+    """0 if every group fits one task, else the number of blocks to spread the rows over.
+
+    Sizes are counted before the shuffle; two numbers reach the driver.
+    """
     limit = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    largest = sizes.agg(F.max(_ROWS)).first()[0]
-    return largest is not None and largest > limit
+    largest, rows = sizes.agg(F.max(_ROWS), F.sum(_ROWS)).first()
+    if largest is None or largest <= limit:
+        return 0
+    return min(max(2, math.ceil(rows / limit)), MOST_BLOCKS)
 
 
 def row_numbers(
@@ -37,16 +44,16 @@ def row_numbers(
     order: list[Column],
     numbers: dict[str, list[str]],
     within: list[str],
-    hot: bool,
+    blocks: int,
 ) -> DataFrame:
     """Add row numbers that share one order.
 
     `numbers` maps each new column to the columns it is numbered within; every such list
     contains the columns of `within`, so one exchange on `within` serves them all. `order`
-    must be a total order inside each group.
+    must be a total order inside each group. `blocks` comes from `blocks_needed`.
     """
-    if hot:
-        return _numbers_by_range(df, order, numbers, within)
+    if blocks:
+        return _numbers_by_range(df, order, numbers, within, blocks)
     for name, keys in numbers.items():
         window = Window.partitionBy(*keys).orderBy(*order)
         df = df.withColumn(name, F.row_number().over(window).cast("bigint"))
@@ -54,10 +61,10 @@ def row_numbers(
 
 
 def group_totals(
-    df: DataFrame, keys: list[str], totals: dict[str, str], hot: bool
+    df: DataFrame, keys: list[str], totals: dict[str, str], blocks: int
 ) -> DataFrame:
     """Add group sums of SQL expressions to every row of the group."""
-    if not hot:
+    if not blocks:
         over = f"OVER (PARTITION BY {', '.join(keys)})"
         return df.selectExpr("*", *[f"sum({text}) {over} AS {n}" for n, text in totals.items()])
     sums = df.groupBy(*keys).agg(*[F.expr(f"sum({text}) AS {n}") for n, text in totals.items()])
@@ -72,17 +79,17 @@ def join_null_safe(df: DataFrame, other: DataFrame, keys: list[str], how: str =
 
 
 def _numbers_by_range(
-    df: DataFrame, order: list[Column], numbers: dict[str, list[str]], within: list[str]
+    df: DataFrame,
+    order: list[Column],
+    numbers: dict[str, list[str]],
+    within: list[str],
+    blocks: int,
 ) -> DataFrame:
     columns = df.columns
+    ranges = df.repartitionByRange(blocks, *[F.col(key) for key in within], *order)
     # The block ids must be the same for everyone who reads them, hence the written table.
-    blocks = stage(
-        df.repartitionByRange(*[F.col(key) for key in within], *order).withColumn(
-            _BLOCK, F.spark_partition_id()
-        ),
-        "rank-blocks",
-    )
-    result = blocks
+    placed = stage(ranges.withColumn(_BLOCK, F.spark_partition_id()), "rank-blocks")
+    result = placed
     for name, keys in numbers.items():
         local = Window.partitionBy(_BLOCK, *keys).orderBy(*order)
         result = result.withColumn(name, F.row_number().over(local).cast("bigint"))
@@ -95,7 +102,7 @@ def _numbers_by_range(
         )
         offset = f"_before_{name}"
         offsets = (
-            blocks.groupBy(*keys, _BLOCK)
+            placed.groupBy(*keys, _BLOCK)
             .agg(F.count(F.lit(1)).alias(_ROWS))
             .withColumn(offset, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)))
             .drop(_ROWS)

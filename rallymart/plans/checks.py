@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
-from rallymart.operators.ranking import has_hot_group, row_numbers
+from rallymart.operators.ranking import blocks_needed, row_numbers
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
 from rallymart.plans import dims, pipeline, standings
-from rallymart.plans.matches import has_hot_team, recency_order, team_seasons
+from rallymart.plans.matches import team_blocks, recency_order, team_seasons
 from rallymart.sources.staging import stage
 
 Views = dict[str, DataFrame]
@@ -73,8 +73,8 @@ def rule_category(views: Views) -> DataFrame:
 
 def rule_strength(views: Views) -> DataFrame:
     teams = stage(standings.world_teams(views["matches"]), "world-teams")
-    hot = has_hot_group(teams, [standings.SEASON])
-    return standings.rank_world(teams, hot).selectExpr(
+    blocks = blocks_needed(teams, [standings.SEASON])
+    return standings.rank_world(teams, blocks).selectExpr(
         standings.SEASON,
         "team_id",
         "prelim_position",
@@ -85,8 +85,8 @@ def rule_strength(views: Views) -> DataFrame:
 
 def rule_series_rank(views: Views) -> DataFrame:
     teams = stage(standings.domestic_teams(views["matches"]), "domestic-teams")
-    hot = has_hot_group(teams, [standings.SEASON])
-    return standings.rank_domestic(teams, hot).selectExpr(
+    blocks = blocks_needed(teams, [standings.SEASON])
+    return standings.rank_domestic(teams, blocks).selectExpr(
         standings.SEASON,
         "team_id",
         "if(in_final, final_place, NULL) AS final_pos",
@@ -235,8 +235,8 @@ def win_recency(views: Views) -> DataFrame:
         "order_general": ["team_id"],
         "order_season": ["team_id", "league_id", "league_season"],
     }
-    hot = has_hot_team(views["matches"])
-    return row_numbers(sides, recency_order(), numbers, ["team_id"], hot).select(
+    blocks = team_blocks(views["matches"])
+    return row_numbers(sides, recency_order(), numbers, ["team_id"], blocks).select(
         "team_id", "match_id", "team_side", *numbers
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import has_hot_group, row_numbers
+from rallymart.operators.ranking import blocks_needed, row_numbers
 from rallymart.operators.sides import melt_sides, side_name, team_id, with_gaps
 
 COUNTRY = ("country_name", "country_code")
@@ -47,12 +47,9 @@ def recency_order() -> list:
     return [F.desc("match_date"), F.asc("match_id"), F.asc("team_side")]
 
 
-def has_hot_team(matches: DataFrame) -> bool:
-    """Whether one team has too many of these matches for one task.
-
-    Reads the two team ids only, and counts before the shuffle.
-    """
-    return has_hot_group(melt_sides(matches, {}, {"team_id": team_id}), ["team_id"])
+def team_blocks(matches: DataFrame) -> int:
+    """Blocks needed to number the sides per team; reads the two team ids only."""
+    return blocks_needed(melt_sides(matches, {}, {"team_id": team_id}), ["team_id"])
 
 
 def team_seasons(matches: DataFrame, scope: str) -> DataFrame:
@@ -103,7 +100,7 @@ def _side_facts(
             "order_in_phase": [*season, "champ_phase"],
         },
         within=["team_id"],
-        hot=has_hot_team(in_scope),
+        blocks=team_blocks(in_scope),
     )
     return ranked.selectExpr(
         "team_id AS Team_id",

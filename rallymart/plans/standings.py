@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import group_totals, has_hot_group, row_numbers
+from rallymart.operators.ranking import group_totals, blocks_needed, row_numbers
 from rallymart.operators.sides import melt_sides, team_id, team_name, with_gaps
 from rallymart.sources.staging import stage
 
@@ -109,13 +109,13 @@ def _series_order(name: str) -> list[Column]:
     ]
 
 
-def rank_domestic(teams: DataFrame, hot: bool) -> DataFrame:
+def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
     """Positions in the group table, in both series and overall."""
     teams = group_totals(
         teams,
         [SEASON],
         {"season_sides": "side_rows", "total_teams_this_season": rules.flag("group_games > 0")},
-        hot,
+        blocks,
     )
     # Two side rows make one match, and a season with one match is no league.
     teams = teams.filter("season_sides <> 2").selectExpr(
@@ -125,11 +125,11 @@ def rank_domestic(teams: DataFrame, hot: bool) -> DataFrame:
         "bronze_games > 0 AS in_bronze",
     )
     teams = row_numbers(
-        teams, table_order(), {"table_place": [SEASON, "in_table"]}, [SEASON], hot
+        teams, table_order(), {"table_place": [SEASON, "in_table"]}, [SEASON], blocks
     ).withColumn("prelim_position", F.expr("if(in_table, table_place, NULL)"))
     for name in ("final", "bronze"):
         place = {f"{name}_place": [SEASON, f"in_{name}"]}
-        teams = row_numbers(teams, _series_order(name), place, [SEASON], hot)
+        teams = row_numbers(teams, _series_order(name), place, [SEASON], blocks)
     bucket = (
         "CASE WHEN in_final AND final_place <= 2 THEN final_place "
         "WHEN in_bronze AND bronze_place <= 2 THEN bronze_place + 2 "
@@ -139,12 +139,12 @@ def rank_domestic(teams: DataFrame, hot: bool) -> DataFrame:
         "*", f"{bucket} AS finalist_bucket", f"coalesce({bucket}, 6L) AS strength_level"
     )
     order = [F.asc("strength_level"), F.asc("prelim_position")]
-    return row_numbers(teams, order, {"final_rank": [SEASON]}, [SEASON], hot)
+    return row_numbers(teams, order, {"final_rank": [SEASON]}, [SEASON], blocks)
 
 
 def fct_national_standings(matches: DataFrame) -> DataFrame:
     teams = stage(domestic_teams(matches), "domestic-teams")
-    return rank_domestic(teams, has_hot_group(teams, [SEASON])).selectExpr(
+    return rank_domestic(teams, blocks_needed(teams, [SEASON])).selectExpr(
         f"{SEASON} AS League_season_id",
         "league_id",
         "country_code AS Country_id",
@@ -195,16 +195,16 @@ MEDAL_LEVEL = (
 )
 
 
-def rank_world(teams: DataFrame, hot: bool) -> DataFrame:
+def rank_world(teams: DataFrame, blocks: int) -> DataFrame:
     """Group-table position and strength level of the teams that played group matches."""
     teams = teams.filter("group_games > 0").selectExpr("*", "finals_games = 0 AS eliminated")
-    teams = group_totals(teams, [SEASON], {"n_elim": rules.flag("eliminated")}, hot)
+    teams = group_totals(teams, [SEASON], {"n_elim": rules.flag("eliminated")}, blocks)
     teams = row_numbers(
         teams,
         table_order(),
         {"prelim_position": [SEASON], "elim_rank": [SEASON, "eliminated"]},
         [SEASON],
-        hot,
+        blocks,
     )
     return teams.withColumn("strength_level", F.expr(MEDAL_LEVEL))
 
@@ -256,7 +256,7 @@ def expected_entries(teams: DataFrame, tournaments: DataFrame) -> DataFrame:
 
 def fct_intern_standings(matches: DataFrame, countries: DataFrame) -> DataFrame:
     teams = stage(world_teams(matches), "world-teams")
-    ranked = rank_world(teams, has_hot_group(teams, [SEASON]))
+    ranked = rank_world(teams, blocks_needed(teams, [SEASON]))
     entries = expected_entries(eligible_teams(matches, countries), editions(matches))
     level = "coalesce(strength_level, 8L)"
     return entries.join(ranked, ["team_id", SEASON], "left").selectExpr(
