@@ -27,10 +27,13 @@ def spark():
 
 
 @pytest.fixture
-def hot_limit(spark):
+def hot_limit(spark, monkeypatch):
     """Lowers the size from which a group counts as hot."""
+    from rallymart.operators import ranking
     from rallymart.operators.ranking import HOT_ROWS_SETTING
 
+    monkeypatch.setattr(ranking, "MOST_BLOCKS", 12)
+
     def set_limit(rows: int) -> None:
         spark.conf.set(HOT_ROWS_SETTING, str(rows))
 
