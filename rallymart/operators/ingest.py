@@ -46,15 +46,18 @@ def pending_seasons(
 ) -> DataFrame:
     """League-seasons still to fetch: those not saved, and each league's latest in any case."""
     wanted = catalogue.select(league, season).distinct()
+    # Distinct before the join: the saved documents are many, their seasons few.
+    done = saved.select(league, season).distinct()
     newest = wanted.groupBy(league).agg(F.max(season).alias(season))
-    return wanted.join(saved.select(league, season), [league, season], "left_anti").union(
-        newest.join(saved.select(league, season), [league, season], "left_semi")
+    return wanted.join(done, [league, season], "left_anti").union(
+        newest.join(done, [league, season], "left_semi")
     )
 
 
 def pending_leagues(catalogue: DataFrame, saved: DataFrame, league: str = "league_id") -> DataFrame:
     """Leagues with no saved document at all."""
-    return catalogue.select(league).distinct().join(saved.select(league), league, "left_anti")
+    done = saved.select(league).distinct()
+    return catalogue.select(league).distinct().join(done, league, "left_anti")
 
 
 def first_match(df: DataFrame, condition: Column) -> DataFrame:

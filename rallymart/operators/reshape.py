@@ -24,6 +24,16 @@ def column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct rows of the columns, for a text max() or max_by() on top.
+
+    Spark drops a plain distinct below such an aggregate, as repeats do not change it, and then
+    sorts all rows because text maxima cannot be hashed. The count keeps the hashed step.
+    """
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter("_rows > 0").select(*columns)
+
+
 def _leaves(schema: T.StructType, parent: Column | None = None, prefix: str = "") -> list[Column]:
     leaves = []
     for field in schema:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
+from rallymart.operators.reshape import distinct_rows
 from rallymart.operators.sides import melt_sides, team_id
 
 # The two sex categories and their numbers.
@@ -32,10 +33,11 @@ def dim_countries(countries: DataFrame) -> DataFrame:
 
 
 def dim_leagues(leagues: DataFrame, matches: DataFrame) -> DataFrame:
+    domestic = matches.filter(rules.real_country("country_name"))
     home_country = (
-        matches.filter(rules.real_country("country_name"))
+        distinct_rows(domestic, "league_id", "country_code")
         .groupBy("league_id")
-        .agg(F.expr("coalesce(max(country_code), 'World') AS home_code"))
+        .agg(F.max("country_code").alias("home_code"))
     )
     catalogue = leagues.selectExpr(
         "league_id",
@@ -98,17 +100,22 @@ def dim_season(leagues: DataFrame, matches: DataFrame) -> DataFrame:
 
 def team_countries(matches: DataFrame, countries: DataFrame, leagues: DataFrame) -> DataFrame:
     """Largest domestic country code per team, and the league name that goes with it."""
-    presences = melt_sides(
+    sides = melt_sides(
         matches,
         keep={"league_id": "league_id", "country_code": "country_code"},
         per_side={"team_id": team_id},
-    ).distinct()
+    )
+    presences = distinct_rows(sides, "league_id", "country_code", "team_id")
     real_codes = (
         countries.filter(rules.real_country("country_name"))
         .selectExpr("country_code", "country_code AS real_code")
         .distinct()
     )
-    names = leagues.groupBy("league_id").agg(F.max("league_name").alias("league_name"))
+    names = (
+        distinct_rows(leagues, "league_id", "league_name")
+        .groupBy("league_id")
+        .agg(F.max("league_name").alias("league_name"))
+    )
     return (
         presences.join(real_codes, "country_code", "left")
         .join(names, "league_id", "left")

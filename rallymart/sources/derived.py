@@ -108,16 +108,26 @@ FROM (
 ) s
 """
 
+# HAVING keeps the distinct step: Spark would drop a plain DISTINCT below max() and then sort
+# every match for the text maximum.
 LEAGUES = """
-SELECT DISTINCT league_id, league_name, league_season, country_code, country_name FROM {matches} m
+SELECT league_id, league_name, league_season, country_code, country_name
+FROM {matches} m
+GROUP BY league_id, league_name, league_season, country_code, country_name
+HAVING count(*) > 0
 """
 
 TEAMS = """
 SELECT team_id, max(team_name) AS team_name, 'logo/' || team_id AS team_logo
 FROM (
-  SELECT homeTeam_id AS team_id, homeTeam_name AS team_name FROM {matches} m
-  UNION ALL
-  SELECT awayTeam_id AS team_id, awayTeam_name AS team_name FROM {matches} m
+  SELECT team_id, team_name
+  FROM (
+    SELECT homeTeam_id AS team_id, homeTeam_name AS team_name FROM {matches} m
+    UNION ALL
+    SELECT awayTeam_id AS team_id, awayTeam_name AS team_name FROM {matches} m
+  ) b
+  GROUP BY team_id, team_name
+  HAVING count(*) > 0
 ) s
 GROUP BY team_id
 """
