@@ -26,12 +26,15 @@ _BLOCK = "_block"
 _ROWS = "_rows"
 
 
-def blocks_needed(df: DataFrame, keys: list[str]) -> int:
+def blocks_needed(df: DataFrame, keys: list[str], at_most: int | None = None) -> int:
     """0 if every group fits one task, else the number of blocks to spread the rows over.
 
-    Sizes are counted before the shuffle; two numbers reach the driver.
+    `at_most` is a known bound of the row count, which can settle the question alone.
+    Otherwise group sizes are counted before the shuffle; two numbers reach the driver.
     """
     limit = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
+    if at_most is not None and at_most <= limit:
+        return 0
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
     largest, rows = sizes.agg(F.max(_ROWS), F.sum(_ROWS)).first()
     if largest is None or largest <= limit:

@@ -111,20 +111,38 @@ def is_average(name: str) -> bool:
 # than a failed parse on every row.
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+EXACT_DOUBLE = float(2**53)
+
+
+def _add_number_texts(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add the trimmed text and the double of each column, so that neither is worked out twice."""
+    texts = {f"_text_{n}": F.trim(column(n).cast("string")) for n in names}
+    doubles = {
+        f"_double_{n}": F.when(
+            column(f"_text_{n}").rlike(NUMBER_PATTERN), column(f"_text_{n}").cast("double")
+        )
+        for n in names
+    }
+    return df.withColumns(texts).withColumns(doubles) if names else df
+
+
+def _whole_text(name: str) -> Column:
+    """Bigint of a number text; `2.0` is 2, fractions and other text are NULL."""
+    text, number = column(f"_text_{name}"), column(f"_double_{name}")
+    is_whole = number == F.floor(number)
+    return (
+        F.when(is_whole & (F.abs(number) < EXACT_DOUBLE), number.cast("bigint"))
+        # Beyond the whole numbers a double holds, the digits themselves count.
+        .when(is_whole & text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
+        .when(is_whole, number.try_cast("bigint"))
+    )
 
 
-def whole_number(value: Column, kind: T.DataType) -> Column:
-    """Text or number as bigint; `2.0` is 2, fractions and other text are NULL."""
+def _whole_number(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
         return value.cast("bigint")
-    if isinstance(kind, (T.FractionalType, T.BooleanType)):
-        number = value.cast("double")
-        return F.when(number == F.floor(number), number.try_cast("bigint"))
-    text = F.trim(value.cast("string"))
-    number = F.when(text.rlike(NUMBER_PATTERN), text.cast("double"))
-    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint")).when(
-        number == F.floor(number), number.try_cast("bigint")
-    )
+    number = value.cast("double")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def wall_clock(value: Column) -> Column:
@@ -132,25 +150,33 @@ def wall_clock(value: Column) -> Column:
     return value.try_cast("timestamp").try_cast("timestamp_ntz")
 
 
+def _is_number(name: str) -> bool:
+    return not is_average(name) and ("score" in name or "number" in name)
+
+
 def _typed(name: str, kind: T.DataType) -> Column:
     value = column(name)
-    if "score" in name or "number" in name:
-        return whole_number(value, kind).alias(name)
-    if name.endswith("name") or any(word in name for word in ("type", "category", "id")):
-        return value.cast("string").alias(name)
-    if "date" in name:
-        return wall_clock(value).alias(name)
-    return value
+    if _is_number(name):
+        typed = _whole_text(name) if isinstance(kind, T.StringType) else _whole_number(value, kind)
+    elif name.endswith("name") or any(word in name for word in ("type", "category", "id")):
+        typed = value.cast("string")
+    elif "date" in name:
+        typed = wall_clock(value)
+    else:
+        return value
+    return typed.alias(name)
 
 
 def cast_by_name(df: DataFrame, keep_averages: bool = False) -> DataFrame:
     """Type every column by what its name contains; averages and percentages are dropped."""
-    averages = [name for name in df.columns if is_average(name)]
-    return df.select(
+    texts = [
+        f.name for f in df.schema if _is_number(f.name) and isinstance(f.dataType, T.StringType)
+    ]
+    return _add_number_texts(df, texts).select(
         *[
-            column(f.name) if f.name in averages else _typed(f.name, f.dataType)
+            column(f.name) if is_average(f.name) else _typed(f.name, f.dataType)
             for f in df.schema
-            if keep_averages or f.name not in averages
+            if keep_averages or not is_average(f.name)
         ]
     )
 

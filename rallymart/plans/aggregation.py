@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
+from rallymart.sources.staging import stage
 
 # Mean of pre-summed parts, exact for whole numbers.
 MEAN = "CAST(sum(part_total) AS DOUBLE) / nullif(sum(part_rows), 0L)"
@@ -26,9 +27,13 @@ def fct_aggregation(
     leagues = dim_leagues.selectExpr(
         "League_id AS league_id", "league_naipe", "country_id AS league_country"
     )
-    # Left, as everywhere here: a season without a known league keeps its row.
-    season_league = dim_season.selectExpr("League_season_id AS season_key", "league_id").join(
-        leagues, "league_id", "left"
+    # Left, as everywhere here: a season without a known league keeps its row. Written once,
+    # as one row per league-season serves three joins.
+    season_league = stage(
+        dim_season.selectExpr("League_season_id AS season_key", "league_id").join(
+            leagues, "league_id", "left"
+        ),
+        "season-leagues",
     )
     key = ["country_id", "league_naipe"]
 

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
-from rallymart.operators.ranking import blocks_needed, row_numbers
+from rallymart.operators.ranking import row_numbers
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
 from rallymart.plans import dims, pipeline, standings
 from rallymart.plans.matches import team_blocks, recency_order, team_seasons
-from rallymart.sources.staging import stage
 
 Views = dict[str, DataFrame]
 
@@ -72,9 +71,7 @@ def rule_category(views: Views) -> DataFrame:
 
 
 def rule_strength(views: Views) -> DataFrame:
-    teams = stage(standings.world_teams(views["matches"]), "world-teams")
-    blocks = blocks_needed(teams, [standings.SEASON])
-    return standings.rank_world(teams, blocks).selectExpr(
+    return standings.ranked_world(views["matches"]).selectExpr(
         standings.SEASON,
         "team_id",
         "prelim_position",
@@ -84,9 +81,7 @@ def rule_strength(views: Views) -> DataFrame:
 
 
 def rule_series_rank(views: Views) -> DataFrame:
-    teams = stage(standings.domestic_teams(views["matches"]), "domestic-teams")
-    blocks = blocks_needed(teams, [standings.SEASON])
-    return standings.rank_domestic(teams, blocks).selectExpr(
+    return standings.ranked_domestic(views["matches"]).selectExpr(
         standings.SEASON,
         "team_id",
         "if(in_final, final_place, NULL) AS final_pos",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,12 +100,22 @@ TO_SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
 SILVER_LAYOUT = {"matches": ("league_season",)}
 
 
-def run_bronze(spark: SparkSession, landed: str, root: str, lines: bool = False) -> dict[str, int]:
-    """Flatten every landed entity into a stored table."""
-    return {
-        entity: write_table(to_bronze(read_landed(spark, landed, entity, lines=lines)), root, entity)
-        for entity in ENTITIES
-    }
+def run_bronze(
+    spark: SparkSession,
+    landed: str,
+    root: str,
+    lines: bool = False,
+    schemas: Mapping[str, T.StructType] | None = None,
+) -> dict[str, int]:
+    """Flatten every landed entity into a stored table.
+
+    Schemas given per entity save the pass over the documents that infers them.
+    """
+    rows = {}
+    for entity in ENTITIES:
+        documents = read_landed(spark, landed, entity, (schemas or {}).get(entity), lines)
+        rows[entity] = write_table(to_bronze(documents), root, entity)
+    return rows
 
 
 def run_silver(spark: SparkSession, bronze: str, root: str) -> dict[str, int]:
@@ -120,10 +130,13 @@ def run_silver(spark: SparkSession, bronze: str, root: str) -> dict[str, int]:
     }
 
 
+def stored_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: read_table(spark, root, name) for name in ENTITIES}
+
+
 def run_all(spark: SparkSession, landed: str, root: str, lines: bool = False) -> dict[str, int]:
     """Landed JSON to exported marts; returns the rows of each exported table."""
     run_bronze(spark, landed, f"{root}/bronze", lines)
     run_silver(spark, f"{root}/bronze", f"{root}/silver")
-    silver = {name: read_table(spark, f"{root}/silver", name) for name in ENTITIES}
-    run_gold(spark, silver, f"{root}/gold")
+    run_gold(spark, stored_silver(spark, f"{root}/silver"), f"{root}/gold")
     return export_tables(spark, f"{root}/gold", f"{root}/export", tuple(MARTS))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rallymart.functions import rules
 from rallymart.operators.ranking import group_totals, blocks_needed, row_numbers
 from rallymart.operators.sides import melt_sides, team_id, team_name, with_gaps
-from rallymart.sources.staging import stage
+from rallymart.sources.staging import stage_counted
 
 SEASON = "league_season_id"
 GRID_SLOTS = 16
@@ -142,9 +142,13 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
     return row_numbers(teams, order, {"final_rank": [SEASON]}, [SEASON], blocks)
 
 
+def ranked_domestic(matches: DataFrame) -> DataFrame:
+    teams, rows = stage_counted(domestic_teams(matches), "domestic-teams")
+    return rank_domestic(teams, blocks_needed(teams, [SEASON], rows))
+
+
 def fct_national_standings(matches: DataFrame) -> DataFrame:
-    teams = stage(domestic_teams(matches), "domestic-teams")
-    return rank_domestic(teams, blocks_needed(teams, [SEASON])).selectExpr(
+    return ranked_domestic(matches).selectExpr(
         f"{SEASON} AS League_season_id",
         "league_id",
         "country_code AS Country_id",
@@ -209,6 +213,11 @@ def rank_world(teams: DataFrame, blocks: int) -> DataFrame:
     return teams.withColumn("strength_level", F.expr(MEDAL_LEVEL))
 
 
+def ranked_world(matches: DataFrame) -> DataFrame:
+    teams, rows = stage_counted(world_teams(matches), "world-teams")
+    return rank_world(teams, blocks_needed(teams, [SEASON], rows))
+
+
 def eligible_teams(matches: DataFrame, countries: DataFrame) -> DataFrame:
     """National teams whose country has a domestic league of the same category."""
     league_homes = (
@@ -255,8 +264,7 @@ def expected_entries(teams: DataFrame, tournaments: DataFrame) -> DataFrame:
 
 
 def fct_intern_standings(matches: DataFrame, countries: DataFrame) -> DataFrame:
-    teams = stage(world_teams(matches), "world-teams")
-    ranked = rank_world(teams, blocks_needed(teams, [SEASON]))
+    ranked = ranked_world(matches)
     entries = expected_entries(eligible_teams(matches, countries), editions(matches))
     level = "coalesce(strength_level, 8L)"
     return entries.join(ranked, ["team_id", SEASON], "left").selectExpr(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rallymart.operators.ingest import UPSERT_KEYS, upsert
+from rallymart.sources.staging import stage
+
 ENTITIES = ("leagues", "matches", "teams", "team_stats", "standings", "countries")
 
 
@@ -32,6 +36,27 @@ def write_landed(df: DataFrame, folder: str, entity: str) -> None:
     df.write.mode("overwrite").json(f"{folder}/{entity}.json")
 
 
+def upsert_landed(
+    spark: SparkSession,
+    folder: str,
+    entity: str,
+    new: DataFrame,
+    load_order: tuple[str, ...] = (),
+    lines: bool = True,
+) -> None:
+    """Merge new documents into a landed entity by its keys; the last document of a key stays.
+
+    `lines` says how the entity is landed so far; afterwards it is a folder of JSON lines.
+    """
+    try:
+        old = read_landed(spark, folder, entity, lines=lines)
+    except AnalysisException:  # nothing landed yet
+        old = new.limit(0)
+    # Staged first, because the write replaces the files the merge reads.
+    merged = stage(upsert(old, new, UPSERT_KEYS[entity], load_order), f"landing-{entity}")
+    write_landed(merged.drop(*load_order), folder, entity)
+
+
 def read_pages(
     spark: SparkSession, folder: str, schema: T.StructType | None = None, field: str = "data"
 ) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
@@ -35,5 +36,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`stage`, and the number of rows as counted by the write."""
+    rows = Observation()
+    staged = stage(df.observe(rows, F.count(F.lit(1)).alias("rows")), name)
+    return staged, rows.get["rows"]
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -314,3 +314,16 @@ def test_full_run_twice_gives_the_same_tables(spark, tmp_path):
 
     pipeline.run_all(spark, str(landed), root)
     assert snapshot(spark, f"{root}/export") == first
+
+
+def test_landed_documents_are_merged_by_key(spark, tmp_path):
+    land(tmp_path, "matches", [{"id": 1, "week": "1"}, {"id": 2, "week": "1"}])
+    loads = [[(2, "late", 2), (2, "early", 1), (3, "new", 3)], [(3, "newer", 1)]]
+    expected = [[(1, "1"), (2, "late"), (3, "new")], [(1, "1"), (2, "late"), (3, "newer")]]
+    for i, rows in enumerate(loads):
+        new = spark.createDataFrame(rows, "id bigint, week string, _place int")
+        landing.upsert_landed(spark, str(tmp_path), "matches", new, ("_place",), lines=i > 0)
+        back = landing.read_landed(spark, str(tmp_path), "matches", lines=True)
+        assert sorted((r.id, r.week) for r in back.collect()) == expected[i]
+    landing.upsert_landed(spark, str(tmp_path), "teams", spark.createDataFrame([(7, "t")], "id bigint, name string"))
+    assert landing.read_landed(spark, str(tmp_path), "teams", lines=True).count() == 1
