@@ -69,6 +69,13 @@ def _series(name: str, played: str) -> dict[str, str]:
     }
 
 
+FINALS_STAGE = {
+    **_series("final", "real_final"),
+    **_series("bronze", "for_bronze"),
+    "quarter_games": "count_if(quarter)",
+}
+
+
 def _aggregates(columns: dict[str, str]) -> list[Column]:
     return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
@@ -82,16 +89,11 @@ def table_order() -> list[Column]:
 
 
 def domestic_teams(matches: DataFrame) -> DataFrame:
-    """Group-stage and series totals per team and league-season."""
+    """Group-stage and series totals per team, league-season and league and country name."""
     league = ("league_id", "league_name", "country_code", "league_season")
     sides = standing_sides(matches.filter(rules.country_scope()), league)
-    totals = {
-        **GROUP_STAGE,
-        **_series("final", "real_final"),
-        **_series("bronze", "for_bronze"),
-        "quarter_games": "count_if(quarter)",
-        "side_rows": "count(1)",
-    }
+    series = {f"own_{name}": text for name, text in FINALS_STAGE.items()}
+    totals = {**GROUP_STAGE, **series, "side_rows": "count(1)"}
     return (
         sides.groupBy("team_id", *league, SEASON)
         .agg(*_aggregates(totals))
@@ -118,11 +120,16 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
         blocks,
     )
     # Two side rows make one match, and a season with one match is no league.
-    teams = teams.filter("season_sides <> 2").selectExpr(
-        "*",
-        "group_games > 0 AS in_table",
-        "final_games > 0 AS in_final",
-        "bronze_games > 0 AS in_bronze",
+    teams = teams.filter("season_sides <> 2").withColumn("in_table", F.expr("group_games > 0"))
+    # A series counts for the team under whatever name it was played, once per team.
+    of_team = [SEASON, "team_id"]
+    shared = {name: f"own_{name}" for name in FINALS_STAGE}
+    teams = group_totals(teams, of_team, {**shared, "table_rows": rules.flag("in_table")}, blocks)
+    names = [F.asc("league_id"), F.asc("league_name"), F.asc("country_code")]
+    teams = (
+        row_numbers(teams, names, {"row_of_team": of_team}, [SEASON], blocks)
+        .filter("in_table OR (table_rows = 0 AND row_of_team = 1)")
+        .selectExpr("*", "final_games > 0 AS in_final", "bronze_games > 0 AS in_bronze")
     )
     teams = row_numbers(
         teams, table_order(), {"table_place": [SEASON, "in_table"]}, [SEASON], blocks

@@ -100,6 +100,23 @@ def test_team_with_finals_only_is_absent_but_takes_its_place(spark):
     assert rows["A"]["finalist_bucket"] == 2
 
 
+def test_series_counts_across_league_names(spark):
+    playoff = {"league_name": "Liga Playoff"}
+    df = matches(
+        spark,
+        match(1, "A", "B", STRAIGHT),
+        match(2, "A", "C", STRAIGHT),
+        match(3, "C", "B", STRAIGHT),
+        match(4, "B", "A", STRAIGHT, "Final", **playoff),
+        match(5, "C", "D", STRAIGHT, "3rd place", **playoff),
+        match(6, "D", "C", STRAIGHT, "3rd place"),
+        match(7, "D", "C", STRAIGHT, "3rd place", **playoff),
+    )
+    rows = keyed(standings.fct_national_standings(df), "Team_id")
+    assert {t: r["finalist_bucket"] for t, r in rows.items()} == {"B": 1, "A": 2, "C": 4}
+    assert [rows[t]["final_rank"] for t in "BAC"] == [1, 2, 3]
+
+
 # --- world standings --------------------------------------------------------------------
 
 
