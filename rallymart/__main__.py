@@ -1,4 +1,4 @@
-"""Run one layer or the whole pipeline: `python -m rallymart all <landed> <root>`."""
+"""Run one layer or all layers: `python -m rallymart all <landed> <root>`."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from rallymart.plans import pipeline
+from rallymart.plans import layers
 from rallymart.plans.registry import MARTS, run_gold
 from rallymart.sources.session import configure
 from rallymart.sources.tables import export_tables
@@ -22,11 +22,11 @@ def main() -> None:
     spark = configure(SparkSession.builder.appName("rallymart")).getOrCreate()
     layer = {name: f"{options.root}/{name}" for name in ("bronze", "silver", "gold", "export")}
     steps = {
-        "all": lambda: pipeline.run_all(spark, options.landed, options.root, options.lines),
-        "bronze": lambda: pipeline.run_bronze(spark, options.landed, layer["bronze"], options.lines),
-        "silver": lambda: pipeline.run_silver(spark, layer["bronze"], layer["silver"]),
+        "all": lambda: layers.run_all(spark, options.landed, options.root, options.lines),
+        "bronze": lambda: layers.run_bronze(spark, options.landed, layer["bronze"], options.lines),
+        "silver": lambda: layers.run_silver(spark, layer["bronze"], layer["silver"]),
         "gold": lambda: run_gold(
-            spark, pipeline.stored_silver(spark, layer["silver"]), layer["gold"]
+            spark, layers.stored_silver(spark, layer["silver"]), layer["gold"]
         ),
         "export": lambda: export_tables(spark, layer["gold"], layer["export"], tuple(MARTS)),
     }

@@ -13,7 +13,7 @@ from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
 from rallymart.operators.ranking import row_numbers
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
-from rallymart.plans import dims, pipeline, standings
+from rallymart.plans import dims, layers, standings
 from rallymart.plans.matches import team_blocks, recency_order, team_seasons
 
 Views = dict[str, DataFrame]
@@ -297,7 +297,7 @@ def match_documents(views: Views) -> DataFrame:
         home, away = (f"{prefix}_{side}_team_score" for side in rules.SIDES)
         return f"if({home} IS NOT NULL, concat_ws(' - ', {home}, {away}), NULL)"
 
-    scores = struct(**{text: score(prefix) for text, prefix in pipeline.SCORE_COLUMNS.items()})
+    scores = struct(**{text: score(prefix) for text, prefix in layers.SCORE_COLUMNS.items()})
     teams = {
         f"{side}Team": struct(id=team_id(side), name=team_name(side)) for side in rules.SIDES
     }
@@ -337,7 +337,7 @@ def bronze_event_props(events: DataFrame) -> DataFrame:
 
 def silver_matches(views: Views) -> DataFrame:
     """Documents through bronze and silver: the typed match table comes back."""
-    table = pipeline.silver_matches(pipeline.to_bronze(match_documents(views)))
+    table = layers.silver_matches(layers.to_bronze(match_documents(views)))
     return table.select(*views["matches"].columns)
 
 
@@ -356,7 +356,7 @@ def silver_explode_seasons(views: Views) -> DataFrame:
     seasons = F.expr("collect_set(named_struct('season', league_season)) AS seasons")
     listed = views["leagues"].groupBy("league_id", "league_name").agg(seasons)
     return reshape.explode_json(
-        reshape.nested_to_text(listed), "seasons", pipeline.SEASON_LIST
+        reshape.nested_to_text(listed), "seasons", layers.SEASON_LIST
     )
 
 

@@ -106,13 +106,14 @@ def run_bronze(
     root: str,
     lines: bool = False,
     schemas: Mapping[str, T.StructType] | None = None,
+    entities: tuple[str, ...] = ENTITIES,
 ) -> dict[str, int]:
-    """Flatten every landed entity into a stored table.
+    """Flatten landed entities into stored tables.
 
     Schemas given per entity save the pass over the documents that infers them.
     """
     rows = {}
-    for entity in ENTITIES:
+    for entity in entities:
         documents = read_landed(spark, landed, entity, (schemas or {}).get(entity), lines)
         rows[entity] = write_table(to_bronze(documents), root, entity)
     return rows

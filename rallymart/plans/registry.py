@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Mapping
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rallymart.plans import aggregation, dims, matches, standings, team_stats
 from rallymart.sources.tables import read_table, write_table
@@ -35,6 +36,30 @@ MARTS: dict[str, Callable[..., DataFrame]] = {
     )
 }
 
+# Order in which each mart is shown; a leading minus is descending.
+DISPLAY_ORDER = {
+    "dim_leagues": ("League_id",),
+    "dim_season": ("league_id", "league_season"),
+    "dim_teams": ("country_id",),
+    "fct_intern_matches": ("Match_id",),
+    "fct_national_matches": ("Match_id",),
+    "fct_intern_matches_melted_by_team": ("league_season_id", "match_id", "Team_id"),
+    "fct_national_matches_melted_by_team": ("match_id", "Team_id"),
+    "fct_intern_team_stats": ("Team_id", "league_season_id"),
+    "fct_national_team_stats": ("Team_id", "league_season_id"),
+    "fct_intern_standings": ("League_season_id", "strength_level", "rank_position"),
+    "fct_national_standings": ("League_season_id", "final_rank"),
+    "fct_aggregation": ("league_naipe", "nat_team_strenght", "-avg_tight_sets", "-qtd_clubs"),
+}
+
+
+def in_display_order(name: str, mart: DataFrame) -> DataFrame:
+    """A mart sorted for showing. Stored tables are not sorted; a reader that cares sorts."""
+    keys = DISPLAY_ORDER.get(name, ())
+    if not keys:
+        return mart
+    return mart.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys])
+
 
 def inputs_of(name: str) -> tuple[str, ...]:
     """Tables a mart reads: its parameters that name a silver table or another mart."""

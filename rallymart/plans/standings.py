@@ -16,7 +16,7 @@ from rallymart.operators.sides import melt_sides, team_id, team_name, with_gaps
 from rallymart.sources.staging import stage_counted
 
 SEASON = "league_season_id"
-GRID_SLOTS = 16
+GRID_SLOTS = 200
 
 DOMESTIC_NAMES = {
     **{level: rules.STRENGTH_NAMES[level] for level in range(1, 6)},

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fixtures import keyed
 from rallymart.operators import ingest, reshape
-from rallymart.plans import pipeline
+from rallymart.plans import layers
 from rallymart.plans.registry import MARTS
 from rallymart.sources import landing, staging, tables
 
@@ -28,7 +28,7 @@ def land(folder, entity, documents):
 
 def test_flatten_and_json_text(spark, tmp_path):
     land(tmp_path, "x", [{"id": 1, "a": {"b": {"c": "ü"}, "l": [1, 2]}, "m": []}, {"id": 2}])
-    bronze = pipeline.to_bronze(landing.read_landed(spark, str(tmp_path), "x"))
+    bronze = layers.to_bronze(landing.read_landed(spark, str(tmp_path), "x"))
     assert sorted(bronze.columns) == ["a.b.c", "a.l", "id", "m"]
     rows = {r["id"]: r for r in bronze.collect()}
     assert rows[1]["a.b.c"] == "ü" and rows[1]["a.l"] == "[1,2]" and rows[1]["m"] == "[]"
@@ -38,7 +38,7 @@ def test_flatten_and_json_text(spark, tmp_path):
 def test_explode_json_drops_empty_lists_and_nulls(spark):
     texts = ['[{"season": 2020}, null, {"season": 2021}]', "[]", None]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, seasons string")
-    for schema in (pipeline.SEASON_LIST, None):
+    for schema in (layers.SEASON_LIST, None):
         rows = reshape.explode_json(df, "seasons", schema)
         assert rows.columns == ["id", "season"]
         assert sorted(map(tuple, rows.collect())) == [(0, 2020), (0, 2021)]
@@ -289,7 +289,7 @@ def test_full_run_twice_gives_the_same_tables(spark, tmp_path):
     landed.mkdir()
     landed_world(landed)
     root = str(tmp_path / "lake")
-    rows = pipeline.run_all(spark, str(landed), root)
+    rows = layers.run_all(spark, str(landed), root)
     assert set(rows) == set(MARTS)
     assert rows["fct_national_matches"] == 3 and rows["fct_intern_matches"] == 3
     assert rows["fct_national_standings"] == 2 and rows["dim_countries"] == 4
@@ -312,7 +312,7 @@ def test_full_run_twice_gives_the_same_tables(spark, tmp_path):
     summary = tables.read_table(spark, f"{root}/export", "fct_aggregation").collect()
     assert [(r.country_naipe_id, r.qtd_clubs) for r in summary] == [("AL_Men", 2)]
 
-    pipeline.run_all(spark, str(landed), root)
+    layers.run_all(spark, str(landed), root)
     assert snapshot(spark, f"{root}/export") == first
 
 

@@ -9,7 +9,7 @@ import pytest
 from fixtures import FIVE, STRAIGHT, keyed, match, matches, table, world
 from rallymart.plans import aggregation, dims, standings, team_stats
 from rallymart.plans import matches as facts
-from rallymart.plans.registry import MARTS, inputs_of, run_order
+from rallymart.plans.registry import DISPLAY_ORDER, MARTS, in_display_order, inputs_of, run_order
 
 FOUR = ["25-20", "20-25", "25-20", "25-20"]
 
@@ -331,6 +331,17 @@ def test_registry_runs_inputs_first():
         run_order(["dim_nothing"])
 
 
+def test_display_order(spark):
+    df = spark.createDataFrame(
+        [("Women", 1.0, 2.0, 1), ("Men", 8.0, None, 1), ("Men", 8.0, 1.0, 1), ("Men", 8.0, 1.0, 3), ("Men", 2.0, 0.5, 1)],
+        "league_naipe string, nat_team_strenght double, avg_tight_sets double, qtd_clubs bigint",
+    )
+    rows = [tuple(r)[1:] for r in in_display_order("fct_aggregation", df).collect()]
+    assert rows == [(2.0, 0.5, 1), (8.0, 1.0, 3), (8.0, 1.0, 1), (8.0, None, 1), (1.0, 2.0, 1)]
+    assert set(DISPLAY_ORDER) <= set(MARTS)
+    assert in_display_order("dim_logos", df) is df
+
+
 def test_aggregation_defaults_strength_to_eight(spark):
     season = spark.createDataFrame([("10_2020", "10")], "League_season_id string, league_id string")
     league = spark.createDataFrame([("10", "Men", "AL")], "League_id string, league_naipe string, country_id string")
