@@ -13,7 +13,7 @@ import math
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rallymart.sources.staging import stage
@@ -26,17 +26,19 @@ _BLOCK = "_block"
 _ROWS = "_rows"
 
 
-def blocks_needed(df: DataFrame, keys: list[str], at_most: int | None = None) -> int:
+def hot_limit(spark: SparkSession) -> int:
+    """Most rows that a window group may have."""
+    return int(spark.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
+
+
+def blocks_needed(df: DataFrame, keys: list[str]) -> int:
     """0 if every group fits one task, else the number of blocks to spread the rows over.
 
-    `at_most` is a known bound of the row count, which can settle the question alone.
-    Otherwise group sizes are counted before the shuffle; two numbers reach the driver.
+    Sizes are counted before the shuffle; two numbers reach the driver.
     """
-    limit = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
-    if at_most is not None and at_most <= limit:
-        return 0
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
     largest, rows = sizes.agg(F.max(_ROWS), F.sum(_ROWS)).first()
+    limit = hot_limit(df.sparkSession)
     if largest is None or largest <= limit:
         return 0
     return min(max(2, math.ceil(rows / limit)), MOST_BLOCKS)

@@ -43,3 +43,11 @@ def melt_sides(matches: DataFrame, keep: dict[str, str], per_side: SideColumns)
         fields = ", ".join(f"'{name}', {build(side)}" for name, build in per_side.items())
         rows.append(f"named_struct({fields})")
     return matches.selectExpr(*named(keep), f"inline(array({', '.join(rows)}))")
+
+
+def has_few_sides(matches: DataFrame, limit: int) -> bool:
+    """Whether all sides of the matches together stay within the limit.
+
+    Over a stored table the count comes from the file footers and reads no column.
+    """
+    return 2 * matches.count() <= limit

@@ -6,8 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import blocks_needed, row_numbers
-from rallymart.operators.sides import melt_sides, side_name, team_id, with_gaps
+from rallymart.operators.ranking import blocks_needed, hot_limit, row_numbers
+from rallymart.operators.sides import (
+    has_few_sides,
+    melt_sides,
+    side_name,
+    team_id,
+    with_gaps,
+)
 
 COUNTRY = ("country_name", "country_code")
 
@@ -47,9 +53,12 @@ def recency_order() -> list:
     return [F.desc("match_date"), F.asc("match_id"), F.asc("team_side")]
 
 
-def team_blocks(matches: DataFrame) -> int:
-    """Blocks needed to number the sides per team; reads the two team ids only."""
-    return blocks_needed(melt_sides(matches, {}, {"team_id": team_id}), ["team_id"])
+def team_blocks(matches: DataFrame, scope: str = "true") -> int:
+    """Blocks needed to number the sides in scope per team; at most the team ids are read."""
+    if has_few_sides(matches, hot_limit(matches.sparkSession)):
+        return 0
+    sides = melt_sides(matches.filter(scope), {}, {"team_id": team_id})
+    return blocks_needed(sides, ["team_id"])
 
 
 def team_seasons(matches: DataFrame, scope: str) -> DataFrame:
@@ -62,13 +71,12 @@ def team_seasons(matches: DataFrame, scope: str) -> DataFrame:
 def _side_facts(
     matches: DataFrame, scope: str, tight_name: str, country: tuple[str, ...] = ()
 ) -> DataFrame:
-    in_scope = matches.filter(scope)
     set_scores = {
         f"{short}_set_score": (lambda side, name=name: rules.set_score(name, side))
         for short, name in zip(SIDE_SET_SCORES, rules.SETS)
     }
     sides = melt_sides(
-        with_gaps(in_scope),
+        with_gaps(matches.filter(scope)),
         keep={
             "match_id": "match_id",
             "league_id": "league_id",
@@ -100,7 +108,7 @@ def _side_facts(
             "order_in_phase": [*season, "champ_phase"],
         },
         within=["team_id"],
-        blocks=team_blocks(in_scope),
+        blocks=team_blocks(matches, scope),
     )
     return ranked.selectExpr(
         "team_id AS Team_id",

@@ -1,8 +1,9 @@
 """League tables, final series and strength levels.
 
-Both standings start from one aggregate per team and league-season, written once, because
-that table is small next to the matches and its group sizes decide how it is ranked. All
-rankings of a league-season then share one exchange.
+Both standings start from one aggregate per team and league-season, small next to the matches.
+All rankings of a league-season then share one exchange. Where there are enough matches for a
+league-season to outgrow a task, the aggregate is written once and its group sizes decide how
+it is ranked.
 """
 
 from __future__ import annotations
@@ -11,9 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import group_totals, blocks_needed, row_numbers
-from rallymart.operators.sides import melt_sides, team_id, team_name, with_gaps
-from rallymart.sources.staging import stage_counted
+from rallymart.operators.ranking import blocks_needed, group_totals, hot_limit, row_numbers
+from rallymart.operators.sides import (
+    has_few_sides,
+    melt_sides,
+    team_id,
+    team_name,
+    with_gaps,
+)
+from rallymart.sources.staging import stage
 
 SEASON = "league_season_id"
 GRID_SLOTS = 200
@@ -76,6 +83,14 @@ FINALS_STAGE = {
 }
 
 
+def _sized(teams: DataFrame, matches: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The team rows and the blocks needed to rank them per league-season."""
+    if has_few_sides(matches, hot_limit(matches.sparkSession)):
+        return teams, 0
+    written = stage(teams, name)
+    return written, blocks_needed(written, [SEASON])
+
+
 def _aggregates(columns: dict[str, str]) -> list[Column]:
     return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
@@ -150,8 +165,7 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
 
 
 def ranked_domestic(matches: DataFrame) -> DataFrame:
-    teams, rows = stage_counted(domestic_teams(matches), "domestic-teams")
-    return rank_domestic(teams, blocks_needed(teams, [SEASON], rows))
+    return rank_domestic(*_sized(domestic_teams(matches), matches, "domestic-teams"))
 
 
 def fct_national_standings(matches: DataFrame) -> DataFrame:
@@ -221,8 +235,7 @@ def rank_world(teams: DataFrame, blocks: int) -> DataFrame:
 
 
 def ranked_world(matches: DataFrame) -> DataFrame:
-    teams, rows = stage_counted(world_teams(matches), "world-teams")
-    return rank_world(teams, blocks_needed(teams, [SEASON], rows))
+    return rank_world(*_sized(world_teams(matches), matches, "world-teams"))
 
 
 def eligible_teams(matches: DataFrame, countries: DataFrame) -> DataFrame:

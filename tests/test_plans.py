@@ -47,7 +47,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     "name, exchanges",
     [
         ("fct_national_matches_melted_by_team", 1),
-        ("fct_national_standings", 1),
+        ("fct_national_standings", 2),
         ("dim_team_by_season", 1),
         ("fct_intern_matches", 0),
     ],
