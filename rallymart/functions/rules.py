@@ -67,7 +67,8 @@ def season_key() -> str:
 
 
 def minute_text(time: str) -> str:
-    return f"date_format({time}, 'yyyy-MM-dd HH:mm')"
+    """`yyyy-MM-dd HH:mm`, as the clock on the wall showed it."""
+    return f"substring(CAST({time} AS STRING), 1, 16)"
 
 
 def mentions(text: str, *words: str) -> str:

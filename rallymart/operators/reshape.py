@@ -145,9 +145,20 @@ def _whole_number(value: Column, kind: T.DataType) -> Column:
     return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
+ZONE_PATTERN = r":[0-9.]+ ?(Z|UTC|[+-][0-9]{2}:?[0-9]{2})$"
+
+
 def wall_clock(value: Column) -> Column:
-    """Date or date-time text as a timestamp in the session time zone; bad text is NULL."""
-    return value.try_cast("timestamp").try_cast("timestamp_ntz")
+    """Date or date-time text as a timestamp without zone; bad text is NULL.
+
+    Text with a zone gives the time in UTC, text without one stands as written.
+    """
+    text = value.cast("string")
+    seconds = F.unix_micros(text.try_cast("timestamp")).cast("decimal(20, 0)") / F.lit(1000000)
+    in_utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18, 6)")
+    )
+    return F.when(text.rlike(ZONE_PATTERN), in_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def _is_number(name: str) -> bool:

@@ -303,7 +303,7 @@ def match_documents(views: Views) -> DataFrame:
     }
     documents = {
         "id": "match_id",
-        "date": "date_format(match_date, \"yyyy-MM-dd'T'HH:mm:ss\")",
+        "date": "replace(CAST(match_date AS STRING), ' ', 'T')",
         "week": "match_week",
         "leagueId": "league_id",
         "season": "league_season",
@@ -369,7 +369,7 @@ def silver_cast_rules(lineitem: DataFrame) -> DataFrame:
         "CAST(l_discount AS STRING) AS discount_score",
         "l_returnflag AS flag_score",
         "l_linestatus AS status_type",
-        "date_format(l_shipdate, 'yyyy-MM-dd') AS ship_date",
+        "substring(CAST(l_shipdate AS STRING), 1, 10) AS ship_date",
         "l_linestatus AS bad_date",
         "l_tax AS avg_tax",
         "l_tax AS tax_percent",

@@ -96,11 +96,18 @@ def test_cast_by_name_order_of_rules(spark):
     assert "win_percent" in reshape.cast_by_name(df, keep_averages=True).columns
 
 
-def test_wall_clock_reads_zoned_text_as_utc(spark):
-    df = spark.createDataFrame([("2023-05-30T18:00:00.000Z",), ("2023-05-30",)], "match_date string")
-    assert [r[0] for r in reshape.cast_by_name(df).collect()] == [
-        datetime(2023, 5, 30, 18), datetime(2023, 5, 30),
-    ]
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_wall_clock_does_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    texts = ["2023-05-30T18:00:00.000Z", "2023-05-30", "2023-05-30T18:00:00+02:00", "1999-10-03T00:00:00", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "match_date string")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert [r[0] for r in reshape.cast_by_name(df).collect()] == [
+            datetime(2023, 5, 30, 18), datetime(2023, 5, 30), datetime(2023, 5, 30, 16), datetime(1999, 10, 3), None, None,
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_names(spark):
