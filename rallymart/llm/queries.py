@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, url_filter
+from . import sharding, simhash, url_filter
 from .shared import table
 
 
@@ -12,11 +12,15 @@ def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op5_simhash_bk_trees, op10_bloom_cascade)}
 
 ORACLE_SQL = {
     "op10_bloom_cascade": r"""
