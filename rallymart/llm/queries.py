@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash, url_filter
+from . import packing, sharding, simhash, url_filter
 from .shared import table
 
+#: Vocabulary files; the operators take any.
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), WORDS)
+
+
 def op5_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,7 +28,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op5_simhash_bk_trees, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op3_bin_completion, op5_simhash_bk_trees, op10_bloom_cascade)}
 
 ORACLE_SQL = {
     "op10_bloom_cascade": r"""
