@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, sharding, simhash, url_filter
+from . import bpe, packing, sharding, simhash, url_filter
 from .shared import table
 
 #: Vocabulary files; the operators take any.
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +22,17 @@ def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op4_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe.decode(encoded, RANKS).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,7 +41,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op3_bin_completion, op5_simhash_bk_trees, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op10_bloom_cascade)}
 
 ORACLE_SQL = {
     "op10_bloom_cascade": r"""
