@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_pass, texts
+from .shared import arrow_pass, sent, texts
 
 #: Bytes of text chunks and ids that a worker remembers.
 MOST_REMEMBERED = 320 * 2**20
@@ -187,12 +187,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     Empty texts have no ids. Repeated rows are encoded each; an empty table gives no rows; other
     columns are not read. The vocabulary and its hash are broadcast: their size is the file's.
     """
-    spark = docs.sparkSession
     tokens = read_ranks(ranks)
-    shared = spark.sparkContext.broadcast((tokens, PerfectHash(tokens)))
+    shared = sent(docs.sparkSession, (tokens, PerfectHash(tokens)))
 
     def work():
-        encoder = _kept(f"{ranks} {pattern}", lambda: Encoder(*shared.value, pattern))
+        encoder = _kept(f"{ranks} {pattern}", lambda: Encoder(*shared(), pattern))
 
         def each(batch: pa.RecordBatch) -> dict:
             made = [encoder.encode(x) for x in texts(batch, "text")]
@@ -208,12 +207,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """The rows with `bytes`, what their `ids` stand for."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(read_ranks(ranks))
+    shared = sent(encoded.sparkSession, read_ranks(ranks))
     schema = T.StructType([*encoded.schema.fields, T.StructField("bytes", T.BinaryType())])
 
     def run(batches):
-        token = shared.value.__getitem__
+        token = shared().__getitem__
         for batch in batches:
             ids = batch.column("ids")
             ends, flat = ids.offsets.to_pylist(), ids.values.to_numpy()

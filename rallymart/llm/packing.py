@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_pass, numbered, stage, texts
+from .shared import arrow_pass, numbered, sent, stage, texts
 
 CAPACITY = 2048
 SEPARATOR = b"\0\0\0\0"
@@ -319,13 +319,15 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     counts = np.zeros(capacity + 1, "int64")
     for row in cut.groupBy("length").count().collect():  # at most one row for each length
         counts[row["length"]] = row["count"]
-    places = cut.sparkSession.sparkContext.broadcast(Places.of(plan(counts)))
+    places = sent(cut.sparkSession, Places.of(plan(counts)))
     rows = numbered(cut, "length", ["doc_id", "piece", "ids_crc32"], "number")
 
     def work():
+        find = places().find
+
         def each(batch: pa.RecordBatch) -> dict:
             length, number = (batch.column(n).to_numpy() for n in ("length", "number"))
-            sequence, offset = places.value.find(length, number)
+            sequence, offset = find(length, number)
             same = {n: batch.column(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
             return same | {"sequence_id": sequence, "offset": offset}
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +49,12 @@ def arrow_pass(
     return df.mapInArrow(run, kinds)
 
 
+def sent(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcasts a value with the code of its class; the result gives it inside a task."""
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(shared.value)
+
+
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     """The column's texts, null as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import lower_ascii, stage
+from .shared import lower_ascii, sent, stage
 
 #: verdict, host, path
 RULES = (
@@ -79,12 +79,13 @@ def _hashes(key: Column) -> tuple[Column, Column]:
 
 
 def _passing(keys: DataFrame, level: Level) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(level)
+    shared = sent(keys.sparkSession, level)
 
     def run(batches):
+        level = shared()
         for batch in batches:
             h1, h2 = (batch.column(n).to_numpy().view("uint64") for n in ("h1", "h2"))
-            yield batch.filter(pa.array(shared.value.has(h1, h2)))
+            yield batch.filter(pa.array(level.has(h1, h2)))
 
     return keys.mapInArrow(run, keys.schema)
 
@@ -173,7 +174,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES)
         keys = [(h + p,) for v, h, p in rules if v == verdict]
         listed = spark.createDataFrame(keys, "key string").select(h1.alias("h1"), h2.alias("h2"))
         cascades[verdict] = cascade(listed, universe)
-    shared = spark.sparkContext.broadcast([cascades[v] for v in VERDICTS])
+    shared = sent(spark, [cascades[v] for v in VERDICTS])
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def code(first, second):
@@ -182,7 +183,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES)
         none = np.zeros(0, "int64")
         a, b = (np.concatenate([none, *x]).view("uint64") for x in (first, second))
         codes = np.zeros(len(a), int)
-        for number, levels in enumerate(shared.value, 1):
+        for number, levels in enumerate(shared(), 1):
             codes[cascade_has(levels, a, b)] = number
         import pandas as pd
 
