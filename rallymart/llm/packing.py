@@ -25,8 +25,10 @@ from .shared import arrow_pass, numbered, sent, stage, texts
 
 CAPACITY = 2048
 SEPARATOR = b"\0\0\0\0"
-#: Steps of the search; after them the best plan so far counts.
-SEARCH_STEPS = 400_000
+#: Steps of the search, after which the best plan so far counts: one for each partial filling, and
+#: for a branch and for a best-fit plan of what it leaves as many as take the same time.
+SEARCH_STEPS = 250_000
+BRANCH_STEPS, FIT_STEPS = 20, 15_000
 #: Bytes of text chunks and ids a task remembers.
 MOST_REMEMBERED = 320 * 2**20
 
@@ -81,12 +83,18 @@ def best_fit(counts: np.ndarray) -> Plan:
 
 
 def _dominated(filling: tuple[int, ...], slack: int, left: np.ndarray) -> bool:
-    """Whether one longer piece could stand for some of the filling's (Martello and Toth)."""
-    for size in range(1, min(len(filling), 4) + 1):
-        for part in combinations(filling, size):
+    """Whether a longer piece could stand for one, two or three of the filling's.
+
+    That is the dominance of Martello and Toth for such parts, looked for among the filling's
+    longest ones; a dominated filling that is not noticed only costs time.
+    """
+    parts, free = filling[:6], left > 0
+    for piece in set(filling):
+        free[piece] = left[piece] > filling.count(piece)
+    for size in (1, 2, 3):
+        for part in dict.fromkeys(combinations(parts, size)):
             have = sum(part)
-            low = have + 1 if size == 1 else have
-            if left[low : have + slack + 1].any():
+            if free[have + (size == 1) : have + slack + 1].any():
                 return True
     return False
 
@@ -121,7 +129,7 @@ class _Search:
         bound, used = lower_bound(self.counts), sum(n for n, _ in best)
         chosen: Plan = []
         left = self.counts.copy()
-        waste = 0
+        waste = bins = 0
 
         def options() -> Iterator[tuple[int, tuple[int, ...]]]:
             longest = int(np.flatnonzero(left)[-1])
@@ -138,6 +146,7 @@ class _Search:
                 yield from ((n, pattern) for n in dict.fromkeys((times, 1)))
 
         levels = [options()] if left.any() else []
+        fitted = self.steps
         while levels and used > bound and self.steps > 0:
             step = next(levels[-1], None)
             if step is None:
@@ -147,6 +156,7 @@ class _Search:
                     for y in pattern:
                         left[y] += n
                     waste -= n * (capacity - sum(pattern))
+                    bins -= n
                 continue
             n, pattern = step
             slack = n * (capacity - sum(pattern))
@@ -156,20 +166,25 @@ class _Search:
                 left[y] -= n
             chosen.append(step)
             waste += slack
-            bins = sum(n for n, _ in chosen)
+            bins += n
+            self.steps -= BRANCH_STEPS
             if not left.any():
                 best, used = list(chosen), bins
             elif bins + lower_bound(left) < used:
-                rest = best_fit(left)
-                if bins + sum(n for n, _ in rest) < used:
-                    best = [*chosen, *rest]
-                    used = sum(n for n, _ in best)
+                if fitted - self.steps > 2 * FIT_STEPS:
+                    rest = best_fit(left)
+                    self.steps -= FIT_STEPS
+                    fitted = self.steps
+                    if bins + sum(n for n, _ in rest) < used:
+                        best = [*chosen, *rest]
+                        used = sum(n for n, _ in best)
                 levels.append(options())
                 continue
             n, pattern = chosen.pop()
             for y in pattern:
                 left[y] += n
             waste -= slack
+            bins -= n
         return best
 
 

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable
+from typing import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,17 +179,16 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES)
     shared = sent(spark, [cascades[v] for v in VERDICTS])
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def code(first, second):
+    def code(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         """For each key of a row 0, or the number of its verdict."""
-        sizes = first.map(len).to_numpy()
+        cascades = shared()
         none = np.zeros(0, "int64")
-        a, b = (np.concatenate([none, *x]).view("uint64") for x in (first, second))
-        codes = np.zeros(len(a), int)
-        for number, levels in enumerate(shared(), 1):
-            codes[cascade_has(levels, a, b)] = number
-        import pandas as pd
-
-        return pd.Series(np.split(codes, np.cumsum(sizes)[:-1]), index=first.index)
+        for first, second in batches:
+            a, b = (np.concatenate([none, *x]).view("uint64") for x in (first, second))
+            codes = np.zeros(len(a), int)
+            for number, levels in enumerate(cascades, 1):
+                codes[cascade_has(levels, a, b)] = number
+            yield pd.Series(np.split(codes, np.cumsum(first.map(len).to_numpy())[:-1]), index=first.index)
 
     coded = asked.withColumn(
         "codes",
