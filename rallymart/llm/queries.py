@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, piecewise, sharding, simhash, url_filter
+from . import bpe, language, packing, pii, piecewise, sharding, simhash, url_filter
 from .shared import table
 
 #: Vocabulary files; the operators take any.
@@ -49,6 +49,11 @@ def op7_nearest_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs).select("doc_id", "text", "entities")
+
+
 def op9_piecewise_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -57,7 +62,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op7_nearest_centroids, op9_piecewise_hashing, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op7_nearest_centroids, op8_surrogates, op9_piecewise_hashing, op10_bloom_cascade)}
 
 ORACLE_SQL = {
     "op10_bloom_cascade": r"""
