@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, pii, piecewise, sharding, simhash, url_filter
+from . import bpe, extract, language, packing, pii, piecewise, sharding, simhash, url_filter
 from .shared import table
 
 #: Vocabulary files; the operators take any.
@@ -18,6 +18,10 @@ def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORDS)
 
@@ -62,7 +66,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op7_nearest_centroids, op8_surrogates, op9_piecewise_hashing, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op2_host_suffix_array, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op7_nearest_centroids, op8_surrogates, op9_piecewise_hashing, op10_bloom_cascade)}
 
 ORACLE_SQL = {
     "op10_bloom_cascade": r"""
