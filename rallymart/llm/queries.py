@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, extract, language, packing, pii, piecewise, sharding, simhash, url_filter
+from . import bpe, extract, knn, language, packing, pii, piecewise, sharding, simhash, url_filter
 from .shared import table
 
 #: Vocabulary files; the operators take any.
@@ -41,6 +41,10 @@ def op5_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_voronoi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_nearest_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.learn(docs)
@@ -66,9 +70,21 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op2_host_suffix_array, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op7_nearest_centroids, op8_surrogates, op9_piecewise_hashing, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op2_host_suffix_array, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op6_voronoi_join, op7_nearest_centroids, op8_surrogates, op9_piecewise_hashing, op10_bloom_cascade)}
 
 ORACLE_SQL = {
+    "op6_voronoi_join": """
+WITH whole AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, d.vec_id AS vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+    FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
+""",
     "op10_bloom_cascade": r"""
 WITH rules(verdict, host, path) AS (
     VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
