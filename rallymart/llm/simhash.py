@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import arrow_pass, components, stage
+from .shared import arrow_pass, components, stage, texts
 
 SHINGLE = 3
 SEED = 42
@@ -157,34 +158,60 @@ def link_fingerprints(prints: DataFrame, most: int = MOST_IN_SHARD) -> DataFrame
     return arrow_pass(trees.select("fps"), work, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint and component_id, the smallest doc_id that links lead to, of every row.
+def fingerprinted(docs: DataFrame) -> DataFrame:
+    """`docs` with the fingerprint of its texts in `fp`, as a signed long."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())])
 
-    Null and empty texts have the fingerprint zero, which links like any other. Rows with equal
-    texts, or the same doc_id, stay rows of their own. A component whose doc_ids are all null has
-    a null component_id. An empty table gives no rows; other columns are not read.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(x) for x in texts(batch, "text")], "uint64").view("int64")
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(prints)], names=[*batch.schema.names, "fp"]
+            )
 
-    def work():
-        def each(batch: pa.RecordBatch) -> dict:
-            prints = [fingerprint(x or "") for x in batch.column("text").to_pylist()]
-            return {
-                "doc_id": batch.column("doc_id"),
-                "fp": np.array(prints, "uint64").view("int64"),
-            }
+    return docs.mapInArrow(run, schema)
 
-        return each
 
-    rows = stage(arrow_pass(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, fp long"), "simhash")
+def classes(rows: DataFrame) -> DataFrame:
+    """For each fp of `rows` (doc_id, fp): the root of its class and its own smallest doc_id."""
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     roots = components(link_fingerprints(prints.select("fp")))
-    rooted = prints.join(roots, F.col("fp") == F.col("node"), "left").select(
+    return prints.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint and component_id, the smallest doc_id that links lead to, of every row.
+
+    Null and empty texts have the fingerprint zero, which links like any other. Rows with equal
+    texts, or the same doc_id, stay rows of their own. A component whose doc_ids are all null has
+    a null component_id. An empty table gives no rows; other columns are not read.
+    """
+    source = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = stage(fingerprinted(source).select("doc_id", "fp"), "simhash")
+    rooted = classes(rows)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
+    return rows.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of each component, that with the smallest doc_id (null only where all are null).
+
+    Of rows that share this doc_id, one of those with the smallest fingerprint stays. Texts are
+    moved once, by doc_id and fingerprint, so a large group of copies is spread.
+    """
+    rows = stage(fingerprinted(docs), "fingerprinted")
+    first = F.min(F.struct(F.col("least").isNull(), "least", "fp"))
+    kept = classes(rows.select("doc_id", "fp")).groupBy("root").agg(first.alias("first"))
+    kept = kept.select("first.fp", _id_key(F.col("first.least")).alias("id_key"))
+    one = rows.withColumn("id_key", _id_key(F.col("doc_id"))).join(kept, ["fp", "id_key"], "left_semi")
+    return one.dropDuplicates(["fp", "id_key"]).select(*docs.columns)
+
+
+def _id_key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("string"), F.lit("none"))
