@@ -60,6 +60,14 @@ def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, made longer until `df` has no such column."""
+    known = {c.lower() for c in df.columns}
+    while name in known:
+        name += "_"
+    return name
+
+
 def numbered(df: DataFrame, group: str, order: Iterable[str], name: str) -> DataFrame:
     """`df` with a number from 0, without gaps, in each `group` (a whole number), by `order`.
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_pass, components, stage, texts
+from .shared import arrow_pass, components, stage, texts, unused
 
 SHINGLE = 3
 SEED = 42
@@ -158,15 +158,15 @@ def link_fingerprints(prints: DataFrame, most: int = MOST_IN_SHARD) -> DataFrame
     return arrow_pass(trees.select("fps"), work, "a long, b long").distinct()
 
 
-def fingerprinted(docs: DataFrame) -> DataFrame:
-    """`docs` with the fingerprint of its texts in `fp`, as a signed long."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())])
+def fingerprinted(docs: DataFrame, name: str = "fp") -> DataFrame:
+    """`docs` with the fingerprint of its texts, as a signed long."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(x) for x in texts(batch, "text")], "uint64").view("int64")
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(prints)], names=[*batch.schema.names, "fp"]
+                [*batch.columns, pa.array(prints)], names=[*batch.schema.names, name]
             )
 
     return docs.mapInArrow(run, schema)
@@ -205,12 +205,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Of rows that share this doc_id, one of those with the smallest fingerprint stays. Texts are
     moved once, by doc_id and fingerprint, so a large group of copies is spread.
     """
-    rows = stage(fingerprinted(docs), "fingerprinted")
+    fp, key = unused(docs, "fp"), unused(docs, "id_key")
+    rows = stage(fingerprinted(docs, fp), "fingerprinted")
     first = F.min(F.struct(F.col("least").isNull(), "least", "fp"))
-    kept = classes(rows.select("doc_id", "fp")).groupBy("root").agg(first.alias("first"))
-    kept = kept.select("first.fp", _id_key(F.col("first.least")).alias("id_key"))
-    one = rows.withColumn("id_key", _id_key(F.col("doc_id"))).join(kept, ["fp", "id_key"], "left_semi")
-    return one.dropDuplicates(["fp", "id_key"]).select(*docs.columns)
+    prints = rows.select("doc_id", F.col(fp).alias("fp"))
+    kept = classes(prints).groupBy("root").agg(first.alias("first"))
+    kept = kept.select(F.col("first.fp").alias(fp), _id_key(F.col("first.least")).alias(key))
+    one = rows.withColumn(key, _id_key(F.col("doc_id"))).join(kept, [fp, key], "left_semi")
+    return one.dropDuplicates([fp, key]).select(*docs.columns)
 
 
 def _id_key(doc_id: Column) -> Column:
