@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_pass, sent, texts
+from .shared import arrow_pass, sent, small, texts
 
 #: Bytes of text chunks and ids that a worker remembers.
-MOST_REMEMBERED = 320 * 2**20
+MOST_REMEMBERED = 96 * 2**20
 _CHUNK = re.compile("[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 #: White space that is none of the six above: it could be cut off from the white space around it.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -212,8 +212,9 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
 
     def run(batches):
         token = shared().__getitem__
-        for batch in batches:
+        for batch in small(batches):
             ids = batch.column("ids")
+            # The offsets of a slice are into the whole array of values.
             ends, flat = ids.offsets.to_pylist(), ids.values.to_numpy()
             cut = (flat[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False))
             made = [b"".join(map(token, x)) for x in cut]

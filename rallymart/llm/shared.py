@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that a task holds at once, with what it makes of them.
+ROWS_AT_ONCE = 1024
+
+
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, one of no rows for an empty one."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def arrow_pass(
     df: DataFrame,
     work: Callable[[], Callable[[pa.RecordBatch], dict[str, list | np.ndarray | pa.Array]]],
@@ -34,7 +45,7 @@ def arrow_pass(
 
         shape = to_arrow_schema(kinds)
         each = work()
-        for batch in batches:
+        for batch in small(batches):
             columns = each(batch)
             yield pa.record_batch(
                 [
