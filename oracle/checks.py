@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.marts import (
+    MART_SQL,
     CONTINENTS,
     DOMESTIC,
     DOMESTIC_TABLE,
@@ -18,8 +19,7 @@ from oracle.marts import (
     narrow,
     plain,
 )
-from oracle.views import with_views
-from rallymart.functions import rules
+from oracle.views import SETS, with_views
 
 HOME_B = f"description = 'Finished' AND country_name NOT IN {NOT_REAL}"
 KEY = "concat(league_id, '_', league_season)"
@@ -186,7 +186,7 @@ FROM (SELECT DISTINCT {KEY} AS league_season_id, team_id FROM sides)""",
         "sides",
     ),
     "set_union_distinct": with_views(
-        f"""SELECT {KEY} AS league_season_id, team_id FROM sides WHERE description = 'Finished'
+        f"""SELECT {KEY} AS league_season_id, team_id FROM sides WHERE match_week = 'Final'
 UNION SELECT {KEY} AS league_season_id, team_id FROM sides WHERE {DOMESTIC}""",
         "sides",
     ),
@@ -204,7 +204,7 @@ UNION SELECT {KEY} AS league_season_id, team_id FROM sides WHERE {DOMESTIC}""",
     ),
     "bronze_json_text": with_views(
         f"""SELECT match_id, '[' || array_to_string(list_transform(
-  [{', '.join(f'{name}_home_team_score' for name in rules.SETS)}], lambda x: coalesce(x::VARCHAR, 'null')), ',') || ']'
+  [{', '.join(f'{name}_home_team_score' for name in SETS)}], lambda x: coalesce(x::VARCHAR, 'null')), ',') || ']'
   AS home_sets FROM matches""",
         "matches",
     ),
@@ -257,3 +257,40 @@ WHERE league_id NOT IN (SELECT league_id FROM matches WHERE match_week = 'Final'
         "matches",
     ),
 }
+
+CHECK_SQL |= {
+    "landed_round_trip": CHECK_SQL["silver_matches"],
+    "read_pages": with_views(
+        """SELECT match_id AS id, league_id AS "leagueId", league_season AS season, homeTeam_id AS home,
+  description FROM matches""",
+        "matches",
+    ),
+    "upsert_landed": with_views(
+        """SELECT league_id AS "leagueId", league_season AS season,
+  strftime(match_date, '%Y-%m-%dT%H:%M:%S') AS date, match_id, description FROM matches
+QUALIFY row_number() OVER (PARTITION BY league_id, league_season
+  ORDER BY description = 'Finished' DESC, match_date DESC, match_id DESC) = 1""",
+        "matches",
+    ),
+    "silver_leagues": with_views(
+        """SELECT league_id, league_name, country_code, country_name, league_season,
+  league_season || '-01-01' AS start FROM leagues""",
+        "leagues",
+    ),
+    "silver_standings": with_views(
+        """SELECT league_id AS "leagueId", league_season, 'all' AS season_name, team_id,
+  total_games_played AS games_played FROM team_stats""",
+        "team_stats",
+    ),
+    "silver_teams": with_views("SELECT team_id, team_name, team_logo FROM teams", "teams"),
+    "silver_countries": with_views(
+        "SELECT country_code, country_name, country_logo FROM countries", "countries"
+    ),
+    "silver_team_stats": with_views("SELECT * FROM team_stats", "team_stats"),
+    "export": MART_SQL["dim_teams"],
+    "stats_of_league": with_views(
+        """SELECT team_id, league_id, league_season, '2' AS asked_league FROM team_stats
+WHERE league_id = '2'""",
+        "team_stats",
+    ),
+}

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from oracle.views import with_views
-from rallymart.functions import rules
+
+# Fixed values, as the source data has them; spelled out apart from the code under test.
+SETS = ("firstSet", "second_set", "third_set", "fourth_set", "fifth_set")
+CONTINENT_NAMES = ("Europe", "South America", "North America", "Africa", "Oceania")
+WORLD_NAMES = ("Nations League", "World Championship", "Olympic Games")
+LEVEL_NAMES = (
+    "gold",
+    "silver",
+    "bronze",
+    "4th_place",
+    "quarter_finalist",
+    "preliminary_top",
+    "preliminary_bottom",
+    "not_present",
+)
 
 
 def _list(words) -> str:
     return "(" + ", ".join(f"'{word}'" for word in words) + ")"
 
 
-NOT_REAL = _list(rules.NOT_COUNTRIES)
-CONTINENTS = _list(rules.CONTINENTS)
-WORLD_LEAGUES = _list(rules.WORLD_LEAGUES)
+NOT_REAL = _list(("World", *CONTINENT_NAMES))
+CONTINENTS = _list(CONTINENT_NAMES)
+WORLD_LEAGUES = _list(WORLD_NAMES)
 SCORES = ", ".join(
-    f"{name}_{side}_team_score" for name in rules.SETS for side in ("home", "away")
+    f"{name}_{side}_team_score" for name in SETS for side in ("home", "away")
 )
 
 
@@ -34,7 +48,7 @@ WORLD = f"description = 'Finished' AND country_name = 'World' AND {plain('league
 WORLD_ANY_FLAG = f"description = 'Finished' AND {plain('league_name')} IN {WORLD_LEAGUES}"
 DOMESTIC = f"description = 'Finished' AND country_name NOT IN {CONTINENTS} AND country_code <> 'World'"
 
-LEVELS = "[" + ", ".join(f"'{n}'" for n in rules.STRENGTH_NAMES.values()) + "]"
+LEVELS = "[" + ", ".join(f"'{n}'" for n in LEVEL_NAMES) + "]"
 
 
 def _match_facts(scope: str, country: str) -> str:
@@ -53,7 +67,7 @@ FROM matches JOIN set_totals USING (match_id) WHERE {scope}""",
 
 _side_scores = ",\n  ".join(
     f"if(side = 'home', {name}_home_team_score, {name}_away_team_score) AS {short}_set_score"
-    for name, short in zip(rules.SETS, ("first", "second", "third", "fourth", "fifth"))
+    for name, short in zip(SETS, ("first", "second", "third", "fourth", "fifth"))
 )
 
 
@@ -165,12 +179,16 @@ home_table AS (
           sum(points)::BIGINT AS match_points, sum(won_sets)::BIGINT AS sets_won, sum(lost_sets)::BIGINT AS sets_lost,
           sum(won_sets)::DOUBLE / nullif(sum(lost_sets), 0)::DOUBLE AS set_ratio
         FROM home_rows WHERE NOT in_finals GROUP BY ALL)),
+team_places AS (
+  SELECT league_season_id, team_id, pos FROM home_table
+  QUALIFY row_number() OVER (PARTITION BY league_season_id, team_id
+      ORDER BY league_id, league_name NULLS FIRST, country_code NULLS FIRST) = 1),
 series AS (
   SELECT r.league_season_id, r.team_id, kind, t.pos,
     sum(has_won) AS wins, sum(points) AS pts, sum(won_sets - lost_sets) AS balance
   FROM (SELECT *, 'final' AS kind FROM home_rows WHERE real_final
         UNION ALL SELECT *, 'bronze' AS kind FROM home_rows WHERE bronze) r
-  LEFT JOIN home_table t USING (league_season_id, team_id) GROUP BY ALL),
+  LEFT JOIN team_places t USING (league_season_id, team_id) GROUP BY ALL),
 series_places AS (
   SELECT *, row_number() OVER (PARTITION BY league_season_id, kind
       ORDER BY wins DESC, pts DESC, balance DESC, pos ASC NULLS FIRST, team_id) AS place

@@ -17,13 +17,17 @@ def main() -> None:
     parser.add_argument("step", choices=("all", "bronze", "silver", "gold", "export"))
     parser.add_argument("landed", help="folder of landed JSON, used by all and bronze")
     parser.add_argument("root", help="folder of the stored layers")
-    parser.add_argument("--lines", action="store_true", help="landed files are JSON lines")
+    parser.add_argument("--arrays", action="store_true", help="landed files hold JSON arrays, not lines")
+    parser.add_argument("--entities", nargs="*", help="landed entities; all in the folder if not given")
     options = parser.parse_args()
     spark = configure(SparkSession.builder.appName("rallymart")).getOrCreate()
+    lines, entities = not options.arrays, tuple(options.entities or ()) or None
     layer = {name: f"{options.root}/{name}" for name in ("bronze", "silver", "gold", "export")}
     steps = {
-        "all": lambda: layers.run_all(spark, options.landed, options.root, options.lines),
-        "bronze": lambda: layers.run_bronze(spark, options.landed, layer["bronze"], options.lines),
+        "all": lambda: layers.run_all(spark, options.landed, options.root, lines, entities),
+        "bronze": lambda: layers.run_bronze(
+            spark, options.landed, layer["bronze"], lines, entities=entities
+        ),
         "silver": lambda: layers.run_silver(spark, layer["bronze"], layer["silver"]),
         "gold": lambda: run_gold(
             spark, layers.stored_silver(spark, layer["silver"]), layer["gold"]

@@ -22,14 +22,19 @@ def upsert(
 ) -> DataFrame:
     """One document per key: the new one where there is one, the last of several.
 
-    `load_order` names columns whose largest value is the latest document of a load. Columns
-    that only one side has are NULL on the other. Only the first of each key is asked for, so
-    Spark cuts every key down before the shuffle and a frequent key stays small.
+    `load_order` names columns whose largest value is the latest document of a load; it is needed
+    where a load can hold a key twice. Columns that only one side has are NULL on the other. A
+    document without a key is an error. Only the first of each key is asked for, so Spark cuts
+    every key down before the shuffle and a frequent key stays small.
     """
     both = old.withColumn("_load", F.lit(0)).unionByName(
         new.withColumn("_load", F.lit(1)), allowMissingColumns=True
     )
-    latest = Window.partitionBy(*[column(k) for k in keys]).orderBy(
+    given = [
+        F.coalesce(column(k), F.raise_error(F.lit(f"a document without {k}")).cast(both.schema[k].dataType))
+        for k in keys
+    ]
+    latest = Window.partitionBy(*given).orderBy(
         F.col("_load").desc(),
         *[column(c).desc() for c in load_order],
         F.xxhash64(*[column(c) for c in both.columns]).desc(),
@@ -78,6 +83,11 @@ def stamp(df: DataFrame, **constants) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in constants.items()})
 
 
+def of_league(df: DataFrame, league: Column | str | int, name: str = "league.id") -> DataFrame:
+    """Only the documents of the league that was asked for; a feed may add those of others."""
+    return df.filter(F.col(name) == (league if isinstance(league, Column) else F.lit(league)))
+
+
 def distinct_team_ids(matches: DataFrame, home: str = "homeTeam.id", away: str = "awayTeam.id") -> DataFrame:
     """Ids on either side of the matches that have both sides."""
     return (

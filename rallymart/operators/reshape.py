@@ -52,11 +52,11 @@ def flatten_structs(df: DataFrame) -> DataFrame:
 
 
 def nested_to_text(df: DataFrame) -> DataFrame:
-    """Lists, maps and structs become JSON text; other columns are left alone."""
+    """Lists, maps and structs become JSON text, with their NULL fields; others are left alone."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     return df.select(
         *[
-            F.to_json(column(f.name)).alias(f.name) if isinstance(f.dataType, nested) else column(f.name)
+            F.to_json(column(f.name), {"ignoreNullFields": "false"}).alias(f.name) if isinstance(f.dataType, nested) else column(f.name)
             for f in df.schema
         ]
     )
@@ -71,13 +71,15 @@ def json_schema_of(df: DataFrame, name: str) -> T.DataType:
 def explode_json(df: DataFrame, name: str, schema: T.DataType | None = None) -> DataFrame:
     """Turn a column of JSON lists into one row per element, its fields as columns.
 
-    Null elements, empty lists and missing lists give no row. An element field that has the
+    Null elements, empty lists and missing lists give no row; text that is no such list is an
+    error. Without a schema, one over all rows is read off the text first. An element field that has the
     name of a kept column is prefixed with the name of the exploded one.
     """
     source = column(name)
     kept = [c for c in df.columns if c != name]
     if isinstance(df.schema[name].dataType, T.StringType):
-        source = F.from_json(source, json_schema_of(df, name) if schema is None else schema)
+        shape = json_schema_of(df, name) if schema is None else schema
+        source = F.from_json(source, shape, {"mode": "FAILFAST"})
     rows = (
         df.withColumn(name, source)
         .select(*[column(c) for c in kept], F.explode(column(name)).alias("_element"))
@@ -213,7 +215,10 @@ def rename_columns(df: DataFrame, overrides: dict[str, str] | None = None) -> Da
 
 
 def split_column(df: DataFrame, name: str, first: str, second: str, separator: str = "-") -> DataFrame:
-    """Add the two halves of a text column; a half that is not there is NULL."""
+    """Add the two halves of a text column; a half that is not there is NULL.
+
+    Text with more than two parts has no halves: both are NULL.
+    """
     return split_columns(df, {name: (first, second)}, separator)
 
 
@@ -226,7 +231,8 @@ def split_columns(
     named = {}
     for name, pair in halves.items():
         for place, half in enumerate(pair):
-            named[half] = F.get(column(f"_parts_{name}"), F.lit(place))
+            split = column(f"_parts_{name}")
+            named[half] = F.when(F.size(split) <= 2, F.get(split, F.lit(place)))
     return df.withColumns(parts).select(
         *[column(name) for name in kept if name not in named],
         *[value.alias(half) for half, value in named.items()],

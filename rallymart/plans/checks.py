@@ -13,7 +13,9 @@ from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
 from rallymart.operators.ranking import row_numbers
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
-from rallymart.plans import dims, layers, standings
+from rallymart.plans import dims, layers, registry, standings
+from rallymart.sources import landing, tables
+from rallymart.sources.staging import staging_path
 from rallymart.plans.matches import team_blocks, recency_order, team_seasons
 
 Views = dict[str, DataFrame]
@@ -260,17 +262,9 @@ def win_group_count(views: Views) -> DataFrame:
 
 
 def set_union_distinct(views: Views) -> DataFrame:
-    """Distinct team and season pairs of two overlapping match sets."""
-    finished = team_seasons(views["matches"], rules.is_finished())
-    return finished.union(team_seasons(views["matches"], rules.domestic_scope())).distinct()
-
-
-def team_by_season(views: Views) -> DataFrame:
-    """dim_team_by_season from the match sides alone, without numbering them first."""
-    return dims.dim_team_by_season(
-        team_seasons(views["matches"], rules.world_scope()),
-        team_seasons(views["matches"], rules.domestic_scope()),
-    )
+    """Distinct team and season pairs of two match sets, each of which has some of its own."""
+    finals = team_seasons(views["matches"], "match_week = 'Final'")
+    return finals.union(team_seasons(views["matches"], rules.domestic_scope())).distinct()
 
 
 def melt(views: Views) -> DataFrame:
@@ -356,7 +350,7 @@ def silver_explode_seasons(views: Views) -> DataFrame:
     seasons = F.expr("collect_set(named_struct('season', league_season)) AS seasons")
     listed = views["leagues"].groupBy("league_id", "league_name").agg(seasons)
     return reshape.explode_json(
-        reshape.nested_to_text(listed), "seasons", layers.SEASON_LIST
+        reshape.nested_to_text(listed), "seasons", "array<struct<season bigint>>"
     )
 
 
@@ -427,3 +421,133 @@ def latest_match(views: Views) -> DataFrame:
     return ingest.first_match(
         views["matches"].select("match_id", "league_id", "league_name"), F.col("match_id") == newest
     )
+
+
+# --- through files ----------------------------------------------------------------------
+
+
+def through_files(documents: DataFrame, entity: str) -> DataFrame:
+    """Documents landed as JSON, loaded from the folder, flattened, typed, stored and read back."""
+    spark = documents.sparkSession
+    folder = staging_path(spark, f"through-files-{entity}")
+    landing.write_landed(documents, f"{folder}/landed", entity)
+    layers.run_bronze(spark, f"{folder}/landed", f"{folder}/bronze")
+    layers.run_silver(spark, f"{folder}/bronze", f"{folder}/silver", (entity,))
+    return tables.read_table(spark, f"{folder}/silver", entity)
+
+
+def landed_round_trip(views: Views) -> DataFrame:
+    """All matches through every layer up to silver."""
+    table = through_files(match_documents(views), "matches")
+    return table.withColumn("league_season", F.col("league_season").cast("bigint")).select(
+        *views["matches"].columns
+    )
+
+
+def read_pages(views: Views) -> DataFrame:
+    """All matches from page files of about a hundred documents each."""
+    documents = match_documents(views).select(
+        F.struct("*").alias("document"), F.expr("CAST(id AS BIGINT) DIV 400").alias("page")
+    )
+    pages = documents.groupBy("page").agg(F.collect_list("document").alias("data"))
+    folder = staging_path(pages.sparkSession, "pages")
+    pages.select("data").write.option("maxRecordsPerFile", 1).json(folder)
+    found = landing.read_pages(pages.sparkSession, folder)
+    return found.selectExpr("id", "leagueId", "season", "homeTeam.id AS home", "state.description")
+
+
+def upsert_landed(views: Views) -> DataFrame:
+    """Two loads into a landed entity, with dates of the documents as load order."""
+    documents = views["matches"].selectExpr(
+        "league_id AS leagueId",
+        "league_season AS season",
+        "replace(CAST(match_date AS STRING), ' ', 'T') AS date",
+        "match_id",
+        "description",
+    )
+    spark, folder = documents.sparkSession, staging_path(documents.sparkSession, "upsert")
+    for load in (f"NOT {rules.is_finished()}", rules.is_finished()):
+        landing.upsert_landed(
+            spark, folder, "standings", documents.filter(load), ("date", "match_id")
+        )
+    return landing.read_landed(spark, folder, "standings", lines=True)
+
+
+def silver_leagues(views: Views) -> DataFrame:
+    """Leagues with their seasons, each season with more fields than its number."""
+    season = "named_struct('season', league_season, 'start', concat(league_season, '-01-01'))"
+    # A league has few seasons.
+    documents = (
+        views["leagues"]
+        .groupBy("league_id", "league_name", "country_code", "country_name")
+        .agg(F.expr(f"collect_list({season}) AS seasons"))
+        .selectExpr(
+            "league_id AS id",
+            "league_name AS name",
+            "named_struct('code', country_code, 'name', country_name) AS country",
+            "seasons",
+        )
+    )
+    return through_files(documents, "leagues").select(
+        "league_id", "league_name", "country_code", "country_name", "league_season", "start"
+    )
+
+
+def silver_standings(views: Views) -> DataFrame:
+    """Standings of each league-season as one group of teams, exploded twice."""
+    # A league-season has few teams.
+    team = "named_struct('team_id', team_id, 'gamesPlayed', total_games_played, 'logo', NULL)"
+    documents = (
+        views["team_stats"]
+        .groupBy("league_id", "league_season")
+        .agg(F.expr(f"collect_list({team}) AS standings"))
+        .selectExpr(
+            "league_id AS leagueId",
+            "league_season AS season",
+            "named_struct('groups', array(named_struct('name', 'all', 'standings', standings))) AS data",
+        )
+    )
+    return through_files(documents, "standings").select(
+        "leagueId", "league_season", "season_name", "team_id", "games_played"
+    )
+
+
+def silver_teams(views: Views) -> DataFrame:
+    documents = views["teams"].selectExpr("team_id AS id", "team_name AS name", "team_logo AS logo")
+    return through_files(documents, "teams").select("team_id", "team_name", "team_logo")
+
+
+def silver_countries(views: Views) -> DataFrame:
+    documents = views["countries"].selectExpr(
+        "country_code AS code", "country_name AS name", "country_logo AS logo"
+    )
+    return through_files(documents, "countries").select(
+        "country_code", "country_name", "country_logo"
+    )
+
+
+def silver_team_stats(views: Views) -> DataFrame:
+    documents = views["team_stats"].selectExpr(
+        "team_id",
+        "league_id AS leagueId",
+        "league_season AS season",
+        "named_struct('games', named_struct('played', total_games_played, 'wins', total_games_wins, "
+        "'loses', total_games_loses), 'points', named_struct('scored', total_points_scored, "
+        "'received', total_points_received)) AS total",
+    )
+    return through_files(documents, "team_stats").select(*views["team_stats"].columns)
+
+
+def export(views: Views) -> DataFrame:
+    """A mart stored, exported and read back."""
+    mart = registry.build(views["matches"].sparkSession, "dim_teams", views)
+    folder = staging_path(mart.sparkSession, "export")
+    tables.write_table(mart, f"{folder}/gold", "dim_teams")
+    tables.export_tables(mart.sparkSession, f"{folder}/gold", f"{folder}/export", ("dim_teams",))
+    return tables.read_table(mart.sparkSession, f"{folder}/export", "dim_teams")
+
+
+def stats_of_league(views: Views) -> DataFrame:
+    """Statistics that came for one league, those of others left out, stamped with the request."""
+    stats = views["team_stats"].select("team_id", "league_id", "league_season")
+    return ingest.stamp(ingest.of_league(stats, "2", "league_id"), asked_league="2")

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from rallymart.functions.rules import SIDES
 from rallymart.operators import reshape
 from rallymart.plans.registry import MARTS, run_gold
-from rallymart.sources.landing import ENTITIES, read_landed
+from rallymart.sources.landing import ENTITIES, landed_entities, read_landed
+from rallymart.sources.schemas import SILVER_SCHEMAS
 from rallymart.sources.tables import export_tables, read_table, write_table
 
 # Names before -> names after, where the general renaming is not enough.
@@ -47,9 +48,6 @@ SCORE_COLUMNS = {
 }
 MATCH_LEFTOVERS = (*SCORE_COLUMNS, "leagueId", "season")
 
-SEASON_LIST = T.ArrayType(T.StructType([T.StructField("season", T.LongType())]))
-
-
 def to_bronze(documents: DataFrame) -> DataFrame:
     return reshape.nested_to_text(reshape.flatten_structs(documents))
 
@@ -66,9 +64,18 @@ def silver_matches(bronze: DataFrame) -> DataFrame:
     return reshape.cast_by_name(reshape.drop_columns(table, MATCH_LEFTOVERS))
 
 
-def silver_leagues(bronze: DataFrame) -> DataFrame:
-    seasons = reshape.explode_json(bronze, "seasons", SEASON_LIST)
-    return reshape.cast_by_name(reshape.rename_columns(seasons, RENAMES["leagues"]))
+def silver_leagues(bronze: DataFrame, schema: T.DataType | None = None) -> DataFrame:
+    """One row per league and season, with all fields of the season.
+
+    Without a schema it is read off the text. A season that is no whole number is an error, as
+    every join on seasons would lose it.
+    """
+    seasons = reshape.explode_json(bronze, "seasons", schema)
+    table = reshape.cast_by_name(reshape.rename_columns(seasons, RENAMES["leagues"]))
+    text = F.col("league_season").cast("string")
+    bad = F.raise_error(F.concat(F.lit("not a season: "), text)).cast("bigint")
+    number = F.when(text.isNotNull(), F.coalesce(F.expr("try_cast(trim(CAST(league_season AS STRING)) AS BIGINT)"), bad))
+    return table.withColumn("league_season", number)
 
 
 def silver_standings(
@@ -104,40 +111,55 @@ def run_bronze(
     spark: SparkSession,
     landed: str,
     root: str,
-    lines: bool = False,
+    lines: bool = True,
     schemas: Mapping[str, T.StructType] | None = None,
-    entities: tuple[str, ...] = ENTITIES,
+    entities: tuple[str, ...] | None = None,
 ) -> dict[str, int]:
-    """Flatten landed entities into stored tables.
+    """Flatten landed entities, all that lie in the folder if none are named, into stored tables.
 
     Schemas given per entity save the pass over the documents that infers them.
     """
     rows = {}
-    for entity in entities:
+    for entity in entities or landed_entities(spark, landed):
         documents = read_landed(spark, landed, entity, (schemas or {}).get(entity), lines)
         rows[entity] = write_table(to_bronze(documents), root, entity)
     return rows
 
 
-def run_silver(spark: SparkSession, bronze: str, root: str) -> dict[str, int]:
-    return {
-        entity: write_table(
-            TO_SILVER[entity](read_table(spark, bronze, entity)),
-            root,
-            entity,
-            SILVER_LAYOUT.get(entity, ()),
-        )
-        for entity in ENTITIES
-    }
+def run_silver(
+    spark: SparkSession, bronze: str, root: str, entities: tuple[str, ...] = ENTITIES
+) -> dict[str, int]:
+    rows = {}
+    for entity in entities:
+        table = TO_SILVER[entity](read_table(spark, bronze, entity))
+        needed = T._parse_datatype_string(SILVER_SCHEMAS[entity]).names if entity != "standings" else []
+        if missing := set(needed) - set(table.columns):
+            raise ValueError(f"{entity} lacks {', '.join(sorted(missing))}, which the marts read")
+        rows[entity] = write_table(table, root, entity, SILVER_LAYOUT.get(entity, ()))
+    return rows
 
 
-def stored_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, root, name) for name in ENTITIES}
+def stored_silver(
+    spark: SparkSession, root: str, schemas: Mapping[str, str] = SILVER_SCHEMAS
+) -> dict[str, DataFrame]:
+    """The silver tables with the columns and types the marts rely on.
+
+    The layout by season would else turn seasons into INT, and an empty table has no file to
+    take a schema from. Standings are read by no mart and keep the types they were stored with.
+    """
+    given = {name: schemas.get(name) for name in ENTITIES if name != "standings"}
+    return {name: read_table(spark, root, name, schema) for name, schema in given.items()}
 
 
-def run_all(spark: SparkSession, landed: str, root: str, lines: bool = False) -> dict[str, int]:
+def run_all(
+    spark: SparkSession,
+    landed: str,
+    root: str,
+    lines: bool = True,
+    entities: tuple[str, ...] | None = None,
+) -> dict[str, int]:
     """Landed JSON to exported marts; returns the rows of each exported table."""
-    run_bronze(spark, landed, f"{root}/bronze", lines)
+    run_bronze(spark, landed, f"{root}/bronze", lines, entities=entities)
     run_silver(spark, f"{root}/bronze", f"{root}/silver")
     run_gold(spark, stored_silver(spark, f"{root}/silver"), f"{root}/gold")
     return export_tables(spark, f"{root}/gold", f"{root}/export", tuple(MARTS))

@@ -140,18 +140,27 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
     of_team = [SEASON, "team_id"]
     shared = {name: f"own_{name}" for name in FINALS_STAGE}
     teams = group_totals(teams, of_team, {**shared, "table_rows": rules.flag("in_table")}, blocks)
-    names = [F.asc("league_id"), F.asc("league_name"), F.asc("country_code")]
+    names = [F.desc("in_table"), F.asc("league_id"), F.asc("league_name"), F.asc("country_code")]
     teams = (
         row_numbers(teams, names, {"row_of_team": of_team}, [SEASON], blocks)
         .filter("in_table OR (table_rows = 0 AND row_of_team = 1)")
-        .selectExpr("*", "final_games > 0 AS in_final", "bronze_games > 0 AS in_bronze")
+        .selectExpr(
+            "*",
+            "final_games > 0 AS in_final",
+            "bronze_games > 0 AS in_bronze",
+            "row_of_team = 1 AS first_row",
+        )
     )
     teams = row_numbers(
         teams, table_order(), {"table_place": [SEASON, "in_table"]}, [SEASON], blocks
     ).withColumn("prelim_position", F.expr("if(in_table, table_place, NULL)"))
+    # Teams are ranked, not their names: one row per team takes part, and its place holds for all.
+    places = {}
     for name in ("final", "bronze"):
-        place = {f"{name}_place": [SEASON, f"in_{name}"]}
+        place = {f"own_{name}_place": [SEASON, f"in_{name}", "first_row"]}
         teams = row_numbers(teams, _series_order(name), place, [SEASON], blocks)
+        places[f"{name}_place"] = f"if(first_row, own_{name}_place, 0)"
+    teams = group_totals(teams, of_team, places, blocks)
     bucket = (
         "CASE WHEN in_final AND final_place <= 2 THEN final_place "
         "WHEN in_bronze AND bronze_place <= 2 THEN bronze_place + 2 "

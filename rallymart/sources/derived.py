@@ -54,6 +54,8 @@ SELECT
        ELSE 'Liga ' || CAST(n AS STRING)
          || CASE WHEN g = 0 THEN '' WHEN n4 = 0 THEN ' Women' WHEN n4 = 1 THEN ' Femenina'
                  WHEN n4 = 2 THEN ' Female' ELSE ' Feminina' END
+         -- A league that changed its name during a season.
+         || CASE WHEN y = 1995 AND n % 3 = 1 AND k % 2 = 1 THEN ' Cup' ELSE '' END
        END AS league_name,
   y AS league_season,
   CASE scope WHEN 0 THEN 'World' WHEN 1 THEN 'Europe' ELSE 'C' || CAST(n AS STRING) END AS country_code,

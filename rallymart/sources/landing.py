@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rallymart.operators.ingest import UPSERT_KEYS, upsert
+from rallymart.operators.reshape import column
 from rallymart.sources.staging import stage
 
+# Columns that say where a document stood in its page file.
+PAGE_HELPERS = ("_page", "_place")
 ENTITIES = ("leagues", "matches", "teams", "team_stats", "standings", "countries")
 
 
@@ -23,17 +26,25 @@ def read_landed(
     """Documents of an entity, from `<folder>/<entity>.json`, a file or a folder of files.
 
     A file holding one JSON array is read whole by one task. Entities that grow are better
-    landed as many files or as JSON lines (`lines=True`), which Spark splits.
+    landed as many files or as JSON lines (`lines=True`), which Spark splits. A document that is
+    not JSON, or does not fit the schema, is an error.
     """
-    reader = spark.read.option("multiLine", not lines)
+    reader = spark.read.option("multiLine", not lines).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(f"{folder}/{entity}.json")
 
 
+def landed_entities(spark: SparkSession, folder: str) -> list[str]:
+    """Names of all `<name>.json` files and folders, by listing alone."""
+    files = spark.read.format("binaryFile").load(f"{folder}/*.json").select("path")
+    name = F.regexp_extract("path", r"/([^/]+)\.json(?:/[^/]*)?$", 1)
+    return sorted(row[0] for row in files.select(name).distinct().collect())
+
+
 def write_landed(df: DataFrame, folder: str, entity: str) -> None:
-    """Replace an entity with a folder of JSON-lines files."""
-    df.write.mode("overwrite").json(f"{folder}/{entity}.json")
+    """Replace an entity with a folder of JSON-lines files; fields that are NULL are kept."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{entity}.json")
 
 
 def upsert_landed(
@@ -47,14 +58,23 @@ def upsert_landed(
     """Merge new documents into a landed entity by its keys; the last document of a key stays.
 
     `lines` says how the entity is landed so far; afterwards it is a folder of JSON lines.
+    `load_order` may name fields of the documents or the helper columns of `read_pages`; only
+    the helpers are left out of what is landed. Without it a load must not hold a key twice.
     """
+    keys = UPSERT_KEYS[entity]
+    if not load_order:
+        repeated = new.groupBy(*[column(k) for k in keys]).count().filter("count > 1")
+        if not repeated.isEmpty():
+            raise ValueError(f"documents of {entity} share a key; say by load_order which is last")
     try:
         old = read_landed(spark, folder, entity, lines=lines)
-    except AnalysisException:  # nothing landed yet
-        old = new.limit(0)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = new.limit(0)  # nothing landed yet
     # Staged first, because the write replaces the files the merge reads.
-    merged = stage(upsert(old, new, UPSERT_KEYS[entity], load_order), f"landing-{entity}")
-    write_landed(merged.drop(*load_order), folder, entity)
+    merged = stage(upsert(old, new, keys, load_order), f"landing-{entity}")
+    write_landed(merged.drop(*PAGE_HELPERS), folder, entity)
 
 
 def read_pages(
@@ -65,7 +85,7 @@ def read_pages(
     `_page` and `_place` say where a document stood, which serves as load order for upserts.
     `schema` is the schema of one document.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(T.StructType([T.StructField(field, T.ArrayType(schema))]))
     pages = reader.json(folder)

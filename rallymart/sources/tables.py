@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, root: str, name: str, schema: T.StructType | None = None
+    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(table_path(root, name))
@@ -32,7 +33,11 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(table_path(root, name))
-    return rows.get["rows"]
+    try:
+        return rows.get["rows"]
+    except Py4JJavaError:
+        # An empty plan observes nothing; then the written files say so.
+        return df.sparkSession.read.schema(df.schema).parquet(table_path(root, name)).count()
 
 
 def export_tables(
