@@ -109,10 +109,13 @@ def _numbers_by_range(
         offsets = (
             placed.groupBy(*keys, _BLOCK)
             .agg(F.count(F.lit(1)).alias(_ROWS))
-            .withColumn(offset, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)))
+            .withColumn(offset, F.sum(_ROWS).over(earlier))
             .drop(_ROWS)
+            # Only groups that began in an earlier block, which are few: Spark can send them
+            # to the rows instead of moving the rows.
+            .filter(f"{offset} > 0")
         )
-        result = join_null_safe(result, offsets, [*keys, _BLOCK]).withColumn(
-            name, F.col(name) + F.col(offset)
+        result = join_null_safe(result, offsets, [*keys, _BLOCK], "left").withColumn(
+            name, F.col(name) + F.coalesce(F.col(offset), F.lit(0))
         )
     return result.select(*columns, *numbers)

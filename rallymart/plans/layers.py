@@ -13,6 +13,7 @@ from rallymart.operators import reshape
 from rallymart.plans.registry import MARTS, run_gold
 from rallymart.sources.landing import ENTITIES, landed_entities, read_landed
 from rallymart.sources.schemas import SILVER_SCHEMAS
+from rallymart.sources.staging import discard_staged
 from rallymart.sources.tables import export_tables, read_table, write_table
 
 # Names before -> names after, where the general renaming is not enough.
@@ -162,4 +163,6 @@ def run_all(
     run_bronze(spark, landed, f"{root}/bronze", lines, entities=entities)
     run_silver(spark, f"{root}/bronze", f"{root}/silver")
     run_gold(spark, stored_silver(spark, f"{root}/silver"), f"{root}/gold")
-    return export_tables(spark, f"{root}/gold", f"{root}/export", tuple(MARTS))
+    rows = export_tables(spark, f"{root}/gold", f"{root}/export", tuple(MARTS))
+    discard_staged(spark)
+    return rows

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_staged: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,9 +32,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     later readers still get column pruning and pushed filters.
     """
     path = staging_path(df.sparkSession, name)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard_staged(spark: SparkSession) -> None:
+    """Delete what `stage` has written so far, once no frame that reads it is needed any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
