@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,6 @@ from pyspark.sql import types as T
 
 from rallymart.operators.ingest import UPSERT_KEYS, upsert
 from rallymart.operators.reshape import column
-from rallymart.sources.staging import stage
 
 # Columns that say where a document stood in its page file.
 PAGE_HELPERS = ("_page", "_place")
@@ -43,8 +44,20 @@ def landed_entities(spark: SparkSession, folder: str) -> list[str]:
 
 
 def write_landed(df: DataFrame, folder: str, entity: str) -> None:
-    """Replace an entity with a folder of JSON-lines files; fields that are NULL are kept."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{entity}.json")
+    """Replace an entity with a folder of JSON-lines files; fields that are NULL are kept.
+
+    The new files are written beside the old ones and take their place when they are complete, so
+    a failed write leaves the entity as it was, and `df` may read it.
+    """
+    beside = f"{folder}/.{entity}-{uuid.uuid4().hex}"
+    df.write.option("ignoreNullFields", False).json(beside)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, final = path(beside), path(f"{folder}/{entity}.json")
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(final, True)
+    if not files.rename(new, final):
+        raise OSError(f"{beside} could not be moved to {folder}/{entity}.json")
 
 
 def upsert_landed(
@@ -72,9 +85,7 @@ def upsert_landed(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         old = new.limit(0)  # nothing landed yet
-    # Staged first, because the write replaces the files the merge reads.
-    merged = stage(upsert(old, new, keys, load_order), f"landing-{entity}")
-    write_landed(merged.drop(*PAGE_HELPERS), folder, entity)
+    write_landed(upsert(old, new, keys, load_order).drop(*PAGE_HELPERS), folder, entity)
 
 
 def read_pages(

@@ -24,7 +24,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
+        return "NaN" if math.isnan(value) else float(f"{value:.12g}")
     return value
 
 
