@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_pass, sent, stage, texts
+from .shared import arrow_pass, sent, small, stage, texts
 
 #: Labelled texts of a language that the classifier is fitted on, at most.
 SAMPLE = 500
@@ -154,7 +154,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared()
-        for batch in batches:
+        for batch in small(batches):
             made = [fitted.classify(t) for t in texts(batch, "text")]
             columns = list(zip(*made, strict=True)) or [(), (), ()]
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.bool_()), strict=True)]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import sent, stage, texts
+from .shared import sent, small, stage, texts
 
 KEY = b"replace me in production"
 ROUNDS = 8
@@ -130,7 +130,7 @@ class Surrogates:
 
     def __init__(self, key: bytes, version: int = 0) -> None:
         self.key = hashlib.blake2b(version.to_bytes(4, "big"), key=key[:64], digest_size=32).digest()
-        self.permuted = lru_cache(50_000)(self._permuted)
+        self.permuted = lru_cache(10_000)(self._permuted)
 
     def _feistel(self, value: int, bits: int, tweak: bytes, back: bool) -> int:
         half = (bits + 1) // 2
@@ -312,7 +312,7 @@ def entities(docs: DataFrame, version: int, key: bytes = KEY) -> DataFrame:
             said = normal(kind, text).encode()
             return hashlib.blake2b(said, key=surrogates.key, digest_size=16).hexdigest()
 
-        for batch in batches:
+        for batch in small(batches):
             seen = {}
             for text in texts(batch, "text"):
                 for start, end, kind in find_entities(text):
@@ -357,7 +357,7 @@ def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
         surrogates = Surrogates(*shared())
         kind = to_arrow_type(spans.fields[0].dataType)
-        for batch in batches:
+        for batch in small(batches):
             made = [(None, []) if t is None else replaced(t, surrogates) for t in batch.column("text").to_pylist()]
             at = batch.schema.get_field_index("text")
             columns = list(batch.columns)

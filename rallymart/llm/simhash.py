@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_pass, components, stage, texts, unused
+from .shared import arrow_pass, components, small, stage, texts, unused
 
 SHINGLE = 3
 SEED = 42
@@ -163,7 +163,7 @@ def fingerprinted(docs: DataFrame, name: str = "fp") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             prints = np.array([fingerprint(x) for x in texts(batch, "text")], "uint64").view("int64")
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(prints)], names=[*batch.schema.names, name]
