@@ -128,7 +128,7 @@ def numbered(df: DataFrame, group: str, order: Iterable[str], name: str) -> Data
 def components(edges: DataFrame) -> DataFrame:
     """Of links `a`, `b` (long): `node`, `root` with the smallest node that can be reached.
 
-    Alternating large-star and small-star steps (Kiverstein et al., Connected Components in
+    Alternating large-star and small-star steps (Kiveris et al., Connected Components in
     MapReduce and Beyond, 2014): every step replaces links by links to smaller nodes, until
     each node is linked to its root alone. Steps are written to the shared folder. A hot node
     is only ever aggregated by minimum and joined, which Spark combines early and can split.
