@@ -99,7 +99,7 @@ def _pivots(sample: np.ndarray, number: int) -> np.ndarray:
 
 
 def _summaries(rows: DataFrame, cells: Cells, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """For each cell: data rows, queries, the farthest query, and the k + 1 nearest data rows.
+    """For each cell: data rows, queries, the farthest query, and the k + 1 nearest data rows with different vec_ids.
 
     Each task sends one row for each cell it has met.
     """
@@ -108,15 +108,19 @@ def _summaries(rows: DataFrame, cells: Cells, k: int) -> tuple[np.ndarray, np.nd
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = shared()
         n = len(cells.pivots)
-        data, queries, far, near = np.zeros(n, int), np.zeros(n, int), np.zeros(n), [np.zeros(0)] * n
+        data, queries, far = np.zeros(n, int), np.zeros(n, int), np.zeros(n)
+        near, names = [np.zeros(0)] * n, [np.zeros(0, "int64")] * n
         for batch in batches:
             x = matrix(batch.column("x"), cells.width)
+            ids = batch.column("vec_id").to_numpy()
             asked = batch.column("is_query").to_numpy(zero_copy_only=False)
             from_all = cells.distances(x, False)
             cell, nearest = from_all.argmin(axis=1), from_all.min(axis=1)
             data += np.bincount(cell, minlength=n)
             for c in np.unique(cell):
-                near[c] = np.sort(np.append(near[c], nearest[cell == c]))[: k + 1]
+                near[c], names[c] = _nearest(
+                    np.append(near[c], nearest[cell == c]), np.append(names[c], ids[cell == c]), k + 1
+                )
             if asked.any():
                 from_all = cells.distances(x[asked], True)
                 cell, nearest = from_all.argmin(axis=1), from_all.min(axis=1)
@@ -130,23 +134,35 @@ def _summaries(rows: DataFrame, cells: Cells, k: int) -> tuple[np.ndarray, np.nd
                 "queries": pa.array(queries[met], pa.int64()),
                 "far": pa.array(far[met]),
                 "near": pa.array([near[c] for c in met], pa.list_(pa.float64())),
+                "names": pa.array([names[c] for c in met], pa.list_(pa.int64())),
             }
         )
 
-    schema = "cell int, data long, queries long, far double, near array<double>"
-    found = rows.mapInArrow(run, schema).groupBy("cell").agg(
-        F.sum("data").alias("data"),
-        F.sum("queries").alias("queries"),
-        F.max("far").alias("far"),
-        F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"),
+    schema = "cell int, data long, queries long, far double, near array<double>, names array<long>"
+    sums = stage(rows.mapInArrow(run, schema), "summaries")
+    found = sums.groupBy("cell").agg(
+        F.sum("data").alias("data"), F.sum("queries").alias("queries"), F.max("far").alias("far")
     )
+    listed = sums.select("cell", F.inline(F.arrays_zip("near", "names")))
+    least = listed.groupBy("cell", "names").agg(F.min("near").alias("near"))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy("near", "names"))
+    least = least.withColumn("place", place).where(F.col("place") <= k + 1)
     n = len(cells.pivots)
-    data, queries, far, near = np.zeros(n, int), np.zeros(n, int), np.zeros(n), [[]] * n
+    data, queries, far, near = np.zeros(n, int), np.zeros(n, int), np.zeros(n), [[] for _ in range(n)]
     for r in found.collect():  # a row for each pivot
-        data[r.cell], queries[r.cell], far[r.cell], near[r.cell] = r.data, r.queries, r.far, r.near
+        data[r.cell], queries[r.cell], far[r.cell] = r.data, r.queries, r.far
+    for r in least.collect():  # k + 1 rows for each pivot
+        near[r.cell].append((r.near, r.names))
     return data, queries, far, near
 
 
+def _nearest(distances: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest distances of different ids, in order, and their ids."""
+    order = np.argsort(distances, kind="stable")
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:most]
+    return distances[order][first], ids[order][first]
+
+
 def _long(row: np.ndarray, other: list[int]) -> int:
     exact = sum(int(a) * b for a, b in zip(row, other, strict=True))
     return max(-(2**63), min(2**63 - 1, exact))
@@ -213,8 +229,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = 50) -> DataFrame:
     n = len(cells.pivots)
     cells.reach = np.full(n, np.inf)
     for i in range(n):
-        upper = np.sort(np.concatenate([far[i] + between[i, j] + np.array(near[j]) for j in range(n)]))
-        # One of k + 1 rows may be the query's own. The slack is far above rounding errors.
+        listed = [(far[i] + between[i, j] + d, name) for j in range(n) for d, name in near[j]]
+        upper, _ = _nearest(np.array([d for d, _ in listed]), np.array([name for _, name in listed], "int64"), k + 1)
+        # One of k + 1 vec_ids may be the query's own. The slack is far above rounding errors.
         if len(upper) > k:
             cells.reach[i] = (upper[k] + far[i]) * (1 + 1e-9) + 1e-3
     cells.blocks = np.maximum(1, -(-queries // BLOCK))
