@@ -25,6 +25,8 @@ from .shared import sent, small, stage, texts
 KEY = b"replace me in production"
 ROUNDS = 8
 MOST_VERSIONS = 16
+#: Letters that are one number together.
+MOST_AT_ONCE = 512
 
 # Names for persons, by gender and script (fixed values).
 FIRST_NAMES = {
@@ -46,16 +48,20 @@ ALPHABETS = (
 )
 
 _DIGIT = re.compile(r"\d")
+_GROUP = re.compile(r"\d+")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _PHONE = re.compile(
     r"(?<![\w.+-])(?:(\+\d{1,3})[ .-]?)?(\(\d{3}\) ?|\d{3}[ .-])(\d{3})([ .-])(\d{4})(?![\w-])"
 )
 _IP = re.compile(r"(?<![\w.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\w|\.\d)")
-_CARD = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")
+#: Groups of digits with a blank or hyphen between; a card number is made of whole groups.
+_DIGITS = re.compile(r"(?<!\w)(?<!\d\.)\d++(?!\w)(?:[ -]\d++(?!\w))*+")
+_CARD_LENGTHS = range(19, 12, -1)
 _SSN = re.compile(r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){8,31}+")
+_IBAN_FORM = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 _SECRET = re.compile(
-    r"(?<![A-Za-z])(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_/+-]{8,512})", re.I
+    r"(?<![A-Za-z])(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_/+-]{8,})", re.I
 )
 _ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
 _PERSON = re.compile(
@@ -79,6 +85,54 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in moved)) % 97
 
 
+def _cards(text: str, other: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Card numbers: whole groups of digits, 19 down to 13 of them, with a valid check digit.
+
+    Of those that overlap, one in groups as on cards (none but the last under four digits) goes
+    before others, then the earlier, then the longer one. None starts within an `other` entity.
+    """
+    can = []
+    for run in _DIGITS.finditer(text):
+        if run.end() - run.start() < _CARD_LENGTHS[-1]:
+            continue
+        groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, run.start(), run.end())]
+        for i, (start, _) in enumerate(groups):
+            digits, proper = "", True
+            for own, end in groups[i:]:
+                proper &= not digits or last >= 4
+                last = end - own
+                digits += text[own:end]
+                if len(digits) > _CARD_LENGTHS[0]:
+                    break
+                if len(digits) in _CARD_LENGTHS and _luhn(digits) == 0:
+                    can.append((not proper, start, -end))
+    if not can:
+        return []
+    taken = {at for start, end, _ in other for at in range(start, end)}
+    found = []
+    for _, start, end in sorted(can):
+        if start not in taken:
+            own = range(start, -end)
+            if taken.isdisjoint(own) or not any(a < -end and start < b for a, b in found):
+                found.append((start, -end))
+                taken.update(own)
+    return found
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers: from each start, the longest that ends where a word does and has its check digits."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 1
+        for end in range(m.end(), m.start() + 11, -1):
+            if end < len(text) and (text[end].isalnum() or text[end] == "_"):
+                continue
+            if _IBAN_FORM.fullmatch(own := text[m.start() : end]) and _mod97(own.replace(" ", "")) == 1:
+                yield m.start(), end
+                at = end
+                break
+
+
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """Start, end and kind of the entities, in order and without overlaps; the earlier kind wins.
 
@@ -89,7 +143,8 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     at = text.find("@")
     while at >= 0:
         start = at
-        while start > 0 and at - start < 64 and text[start - 1] in _LOCAL:
+        # An earlier @ ends the run, so each character is looked at once.
+        while start > 0 and text[start - 1] in _LOCAL:
             start -= 1
         while start < at and text[start] in "._%+-":
             start += 1
@@ -106,13 +161,10 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
         found += [
             (m.start(), m.end(), "ip") for m in _IP.finditer(text) if all(int(n) < 256 for n in m.groups())
         ]
-        for m in _IBAN.finditer(text):
-            if _mod97(m[0].replace(" ", "")) == 1:
-                found.append((m.start(), m.end(), "iban"))
-        for m in _CARD.finditer(text):
-            if _luhn(re.sub(r"\D", "", m[0])) == 0:
-                found.append((m.start(), m.end(), "card"))
+        found += [(start, end, "iban") for start, end in _ibans(text)]
         found += [(m.start(), m.end(), "ssn") for m in _SSN.finditer(text)]
+        other = [x for x in found if x[2] in ("phone", "ssn")]
+        found += [(start, end, "card") for start, end in _cards(text, other)]
     for m in _PERSON.finditer(text):
         words = [w for w in m[2].split(" ")]
         kept = next((i for i, w in enumerate(words) if not w[0].isupper()), len(words))
@@ -159,7 +211,13 @@ class Surrogates:
         return walk((walk(value, False) + max(1, size // 3)) % size, True)
 
     def letters(self, text: str, tweak: str, alphabets: tuple[str, ...]) -> str:
-        """Each letter replaced by one of its alphabet, all together as one number; case stays."""
+        """Each letter replaced by one of its alphabet, all together as one number; case stays.
+
+        Parts of `MOST_AT_ONCE` letters each, so a long text costs time in proportion to its length.
+        """
+        if len(text) > MOST_AT_ONCE:
+            parts = range(0, len(text), MOST_AT_ONCE)
+            return "".join(self.letters(text[i : i + MOST_AT_ONCE], f"{tweak}+{i}", alphabets) for i in parts)
         low = text.lower() if len(text.lower()) == len(text) else text
         kinds = [next((a for a in alphabets if c in a), "") for c in low]
         size = math.prod(len(a) for a in kinds if a)
