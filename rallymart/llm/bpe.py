@@ -8,6 +8,7 @@ lowest rank and of equals the first, and a merge links the pair's neighbours to
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
 import sys
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from .shared import arrow_pass, sent, small, texts
 
 #: Bytes of text chunks and ids that a worker remembers.
-MOST_REMEMBERED = 96 * 2**20
+MOST_REMEMBERED = 128 * 2**20
 _CHUNK = re.compile("[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 #: White space that is none of the six above: it could be cut off from the white space around it.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -93,6 +94,7 @@ class Encoder(dict):
 
     def __init__(self, tokens: list[bytes], whole: PerfectHash, pattern: str) -> None:
         ranks = {t: n for n, t in enumerate(tokens)}
+        self.tokens = tokens
         self.single = [ranks[bytes([b])] for b in range(256)]
         #: The rank of two neighbours that make a token, by both ranks.
         self.pairs = {
@@ -223,3 +225,34 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
             )
 
     return encoded.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of what `encode` and then `decode` give, in one pass.
+
+    ids_sha256 is of the decimal ids joined by one space, decoded_sha256 of the bytes that the ids
+    stand for; both in lowercase hex. Rows as in `encode`, but no ids leave the task.
+    """
+    tokens = read_ranks(ranks)
+    shared = sent(docs.sparkSession, (tokens, PerfectHash(tokens)))
+
+    def work():
+        encoder = _kept(f"{ranks} {pattern}", lambda: Encoder(*shared(), pattern))
+        token = encoder.tokens.__getitem__
+        decimal = _kept(f"decimals {len(encoder.tokens)}", lambda: [b"%d" % n for n in range(len(encoder.tokens))])
+        decimal = decimal.__getitem__
+
+        def each(batch: pa.RecordBatch) -> dict:
+            sizes, listed, decoded = [], [], []
+            for text in texts(batch, "text"):
+                ids = np.frombuffer(encoder.encode(text), "<i4").tolist()
+                sizes.append(len(ids))
+                listed.append(hashlib.sha256(b" ".join(map(decimal, ids))).hexdigest())
+                decoded.append(hashlib.sha256(b"".join(map(token, ids))).hexdigest())
+            doc_ids = batch.column("doc_id")
+            return {"doc_id": doc_ids, "n_tokens": sizes, "ids_sha256": listed, "decoded_sha256": decoded}
+
+        return each
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return arrow_pass(docs.select(F.col("doc_id").cast("long"), "text"), work, schema)

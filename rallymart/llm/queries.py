@@ -27,14 +27,7 @@ def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return bpe.decode(encoded, RANKS).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
 def op5_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

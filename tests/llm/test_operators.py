@@ -85,6 +85,7 @@ def test_no_documents(spark, no_docs):
     assert sharding.shard_documents(no_docs).count() == 0
     assert packing.pack(no_docs, words).count() == 0
     assert bpe.decode(bpe.encode(no_docs, ranks, public_tokenizers.PATTERN), ranks).count() == 0
+    assert bpe.round_trip(no_docs, ranks, public_tokenizers.PATTERN).count() == 0
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.deduplicated(no_docs).count() == 0
     assert language.classify(no_docs, language.learn(no_docs)).count() == 0
@@ -268,6 +269,11 @@ def test_bpe_query(spark, odd_docs):
     assert Counter((r.doc_id, tuple(r.ids), bytes(r.bytes)) for r in encoded.collect()) == Counter(
         (d, tuple(i), b) for d, i, b in expected
     )
+    passed = bpe.round_trip(odd_docs, queries.RANKS, public_tokenizers.PATTERN).collect()
+    assert Counter(map(tuple, passed)) == Counter(
+        (d, len(i), hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest(), hashlib.sha256(b).hexdigest())
+        for d, i, b in expected
+    )
     rows = {r.doc_id: r for r in queries.op4_two_tier_bpe(spark, SF_DIR).collect()}
     for doc in table(spark, "documents").collect():
         ids = known.encode_ordinary(doc.text)
