@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rallymart.llm import language, near_copies, packing, pii
+from rallymart.llm import language, packing, pii, simhash
 from rallymart.llm.shared import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -19,11 +19,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word likeness of 0.8), the one with the smallest doc_id.
+    """One document of each group that SimHash links, the one with the smallest doc_id.
 
-    Of rows with the same doc_id one stays; a group without any doc_id keeps nothing but one row.
+    Shingle length and distance are those of the operator: three words and two bits. Of rows with
+    the same doc_id one stays; a group without any doc_id keeps nothing but one row.
     """
-    return near_copies.deduplicated(docs.select(*COLUMNS))
+    return simhash.deduplicated(docs.select(*COLUMNS))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
