@@ -11,8 +11,6 @@ import base64
 import hashlib
 import heapq
 import re
-import sys
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_pass, sent, small, texts
+from .shared import arrow_pass, kept, sent, small, texts
 
 #: Bytes of text chunks and ids that a worker remembers.
 MOST_REMEMBERED = 128 * 2**20
@@ -175,14 +173,6 @@ def _odd_control(text: str) -> bool:
     return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
 
 
-def _kept(name: str, make):
-    """One for each Python worker, kept from task to task."""
-    kept = sys.modules.setdefault("_encoders_of_this_worker", ModuleType("_encoders_of_this_worker"))
-    if name not in kept.__dict__:
-        setattr(kept, name, make())
-    return getattr(kept, name)
-
-
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id and `ids` of every whole text, null as empty; each match of `pattern` by itself.
 
@@ -193,7 +183,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     shared = sent(docs.sparkSession, (tokens, PerfectHash(tokens)))
 
     def work():
-        encoder = _kept(f"{ranks} {pattern}", lambda: Encoder(*shared(), pattern))
+        encoder = kept(f"{ranks} {pattern}", lambda: Encoder(*shared(), pattern))
 
         def each(batch: pa.RecordBatch) -> dict:
             made = [encoder.encode(x) for x in texts(batch, "text")]
@@ -237,9 +227,9 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     shared = sent(docs.sparkSession, (tokens, PerfectHash(tokens)))
 
     def work():
-        encoder = _kept(f"{ranks} {pattern}", lambda: Encoder(*shared(), pattern))
+        encoder = kept(f"{ranks} {pattern}", lambda: Encoder(*shared(), pattern))
         token = encoder.tokens.__getitem__
-        decimal = _kept(f"decimals {len(encoder.tokens)}", lambda: [b"%d" % n for n in range(len(encoder.tokens))])
+        decimal = kept(f"decimals {len(encoder.tokens)}", lambda: [b"%d" % n for n in range(len(encoder.tokens))])
         decimal = decimal.__getitem__
 
         def each(batch: pa.RecordBatch) -> dict:

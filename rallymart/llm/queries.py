@@ -6,12 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, extract, knn, language, packing, pii, piecewise, sharding, simhash, url_filter
+from . import (
+    align,
+    bpe,
+    chat,
+    extract,
+    knn,
+    language,
+    packing,
+    pii,
+    piecewise,
+    sharding,
+    simhash,
+    url_filter,
+    variants,
+)
 from .shared import table
 
 #: Vocabulary files; the operators take any.
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +79,40 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weighted_hash_tree, op2_host_suffix_array, op3_bin_completion, op4_two_tier_bpe, op5_simhash_bk_trees, op6_voronoi_join, op7_nearest_centroids, op8_surrogates, op9_piecewise_hashing, op10_bloom_cascade)}
+def op11_bisected_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+def op12_template_compiler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    said = F.lit("</s>[INST] ok [/INST]")
+    probe = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    return chat.formatted_digests(conversations.unionByName(probe))
+
+
+def op13_sorted_list_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_weighted_hash_tree,
+        op2_host_suffix_array,
+        op3_bin_completion,
+        op4_two_tier_bpe,
+        op5_simhash_bk_trees,
+        op6_voronoi_join,
+        op7_nearest_centroids,
+        op8_surrogates,
+        op9_piecewise_hashing,
+        op10_bloom_cascade,
+        op11_bisected_alignment,
+        op12_template_compiler,
+        op13_sorted_list_edits,
+    )
+}
 
 ORACLE_SQL = {
     "op6_voronoi_join": """
@@ -99,5 +148,25 @@ WITH rules(verdict, host, path) AS (
       ON (p.host = r.host OR suffix(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best WHERE place = 1
+""",
+    "op12_template_compiler": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), escaped AS (
+    SELECT *,
+        replace(replace(replace(replace(replace(replace(replace(text, '\', '\\'), '[INST]', '\a'),
+            '[/INST]', '\b'), '<s>', '\c'), '</s>', '\d'), '[TURN]', '\e'), '[/TURN]', '\f') AS out_text,
+        replace(replace(replace(replace(replace(replace(replace(replace(role, '\', '\\'), '[INST]', '\a'),
+            '[/INST]', '\b'), '<s>', '\c'), '</s>', '\d'), '[TURN]', '\e'), '[/TURN]', '\f'), chr(10), '\g') AS out_role
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(out_text) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 16 + length(out_role) END)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
 """,
 }

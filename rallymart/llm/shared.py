@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,14 @@ def sent(spark: SparkSession, value) -> Callable[[], object]:
     return lambda: cloudpickle.loads(shared.value)
 
 
+def kept(name: str, make: Callable[[], object]):
+    """What `make` gives, once for each Python worker and kept from task to task."""
+    place = sys.modules.setdefault("_kept_by_this_worker", ModuleType("_kept_by_this_worker"))
+    if name not in place.__dict__:
+        setattr(place, name, make())
+    return getattr(place, name)
+
+
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     """The column's texts, null as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]
