@@ -172,7 +172,8 @@ home_rows AS (
   SELECT * FROM standing_rows ANTI JOIN single USING (league_season_id) WHERE country_name NOT IN {NOT_REAL}),
 home_table AS (
   SELECT *, row_number() OVER (PARTITION BY league_season_id
-      ORDER BY games_won DESC, match_points DESC, set_ratio DESC NULLS LAST, team_id) AS pos,
+      ORDER BY games_won DESC, match_points DESC, set_ratio DESC NULLS LAST, team_id,
+        league_id, league_name NULLS FIRST, country_code NULLS FIRST) AS pos,
     count(*) OVER (PARTITION BY league_season_id) AS n_teams
   FROM (SELECT league_season_id, league_id, league_name, country_code, season, team_id,
           sum(has_won)::BIGINT AS games_won, sum(1 - has_won)::BIGINT AS games_lost,

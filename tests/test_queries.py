@@ -47,3 +47,12 @@ def test_hot_groups_give_the_same_rows(spark, connection, hot_limit, name):
     hot_limit(3)
     result = entry.queries()[name](spark, SF_DIR)
     assert differences(result, connection, entry.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("threads", [1, 4, 8])
+def test_standings_are_in_a_total_order(spark, threads):
+    """Teams under two names can be equal in all results; both sides must still agree."""
+    sf_dir, name = "/root/testdata/sf0.01", "fct_national_standings"
+    by_threads = duck(sf_dir)
+    by_threads.execute(f"SET threads = {threads}")
+    assert differences(entry.queries()[name](spark, sf_dir), by_threads, entry.oracle_sql()[name]) is None
