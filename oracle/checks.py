@@ -272,6 +272,44 @@ QUALIFY row_number() OVER (PARTITION BY league_id, league_season
   ORDER BY description = 'Finished' DESC, match_date DESC, match_id DESC) = 1""",
         "matches",
     ),
+    "upsert_small_load": with_views(
+        """SELECT match_id AS id, league_id AS "leagueId", league_season AS season, homeTeam_id AS home,
+  if(description = 'Finished', 'Finished', 'Corrected') AS description FROM matches""",
+        "matches",
+    ),
+    "ledger_loads": with_views(
+        """SELECT match_id AS id, league_id AS "leagueId",
+  if(description = 'Finished', 'Finished', 'Corrected') AS description,
+  (SELECT count(DISTINCT CAST(match_id AS BIGINT) // 400) FROM matches
+    WHERE CAST(match_id AS BIGINT) // 400 % 2 = 0) AS files_0,
+  (SELECT count(DISTINCT CAST(match_id AS BIGINT) // 400) FROM matches
+    WHERE CAST(match_id AS BIGINT) // 400 % 2 = 1) AS files_1,
+  (SELECT count(DISTINCT CAST(match_id AS BIGINT) // 400) FROM matches
+    WHERE description IS DISTINCT FROM 'Finished') AS files_2,
+  0::BIGINT AS files_3
+FROM matches""",
+        "matches",
+    ),
+    "page_faults": with_views(
+        """WITH pages AS (
+  SELECT CAST(match_id AS BIGINT) // 400 AS page, count(*) AS size FROM matches GROUP BY ALL),
+ends AS (SELECT page, size, sum(size) OVER (ORDER BY page) AS stop FROM pages),
+kept AS (SELECT *, lag(stop, 1, 0) OVER (ORDER BY page) AS expected FROM ends WHERE page % 5 <> 2)
+SELECT 'broken' AS request, expected::BIGINT AS expected, (stop - size)::BIGINT AS found, 'missing' AS fault
+FROM kept WHERE stop - size > expected
+UNION ALL SELECT 'broken', max(stop)::BIGINT, NULL, 'no end' FROM kept""",
+        "matches",
+    ),
+    "display_places": f"""
+WITH seasons AS ({MART_SQL["dim_season"]}), facts AS ({MART_SQL["fct_national_matches"]}),
+tables AS ({MART_SQL["fct_national_standings"]}), nations AS ({MART_SQL["fct_aggregation"]})
+SELECT 'dim_season' AS mart, "League_season_id" AS row_key,
+  row_number() OVER (ORDER BY league_id NULLS FIRST, league_season NULLS FIRST) AS display_place FROM seasons
+UNION ALL SELECT 'fct_national_matches', "Match_id", row_number() OVER (ORDER BY "Match_id") FROM facts
+UNION ALL SELECT 'fct_national_standings', concat_ws('|', "League_season_id", "Team_id", league_id, "Country_id"),
+  row_number() OVER (ORDER BY "League_season_id", final_rank) FROM tables
+UNION ALL SELECT 'fct_aggregation', country_naipe_id, row_number() OVER (ORDER BY league_naipe NULLS FIRST,
+  nat_team_strenght, avg_tight_sets DESC NULLS LAST, qtd_clubs DESC, country_naipe_id) FROM nations""",
     "silver_leagues": with_views(
         """SELECT league_id, league_name, country_code, country_name, league_season,
   league_season || '-01-01' AS start FROM leagues""",

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from rallymart.plans import layers
-from rallymart.plans.registry import MARTS, run_gold
+from rallymart.plans.registry import MARTS, export_in_display_order, run_gold
 from rallymart.sources.session import configure
 from rallymart.sources.tables import export_tables
 
@@ -19,6 +19,7 @@ def main() -> None:
     parser.add_argument("root", help="folder of the stored layers")
     parser.add_argument("--arrays", action="store_true", help="landed files hold JSON arrays, not lines")
     parser.add_argument("--entities", nargs="*", help="landed entities; all in the folder if not given")
+    parser.add_argument("--places", action="store_true", help="export each row's place in the display order")
     options = parser.parse_args()
     spark = configure(SparkSession.builder.appName("rallymart")).getOrCreate()
     lines, entities = not options.arrays, tuple(options.entities or ()) or None
@@ -32,7 +33,11 @@ def main() -> None:
         "gold": lambda: run_gold(
             spark, layers.stored_silver(spark, layer["silver"]), layer["gold"]
         ),
-        "export": lambda: export_tables(spark, layer["gold"], layer["export"], tuple(MARTS)),
+        "export": lambda: (
+            export_in_display_order(spark, layer["gold"], layer["export"])
+            if options.places
+            else export_tables(spark, layer["gold"], layer["export"], tuple(MARTS))
+        ),
     }
     for name, rows in steps[options.step]().items():
         print(f"{name}: {rows} rows")

@@ -6,17 +6,18 @@ league-season of the full tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
-from rallymart.operators.ranking import row_numbers
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
 from rallymart.plans import dims, layers, registry, standings
 from rallymart.sources import landing, tables
 from rallymart.sources.staging import staging_path
-from rallymart.plans.matches import team_blocks, recency_order, team_seasons
+from rallymart.plans.matches import hot_teams, numbered_sides, team_seasons
 
 Views = dict[str, DataFrame]
 
@@ -232,10 +233,8 @@ def win_recency(views: Views) -> DataFrame:
         "order_general": ["team_id"],
         "order_season": ["team_id", "league_id", "league_season"],
     }
-    blocks = team_blocks(views["matches"])
-    return row_numbers(sides, recency_order(), numbers, ["team_id"], blocks).select(
-        "team_id", "match_id", "team_side", *numbers
-    )
+    ranked = numbered_sides(sides, numbers, hot_teams(views["matches"]))
+    return ranked.select("team_id", "match_id", "team_side", *numbers)
 
 
 def win_partition_max(views: Views) -> DataFrame:
@@ -473,6 +472,85 @@ def upsert_landed(views: Views) -> DataFrame:
     return landing.read_landed(spark, folder, "standings", lines=True)
 
 
+def upsert_small_load(views: Views) -> DataFrame:
+    """All matches landed in buckets, then a load of those that were not finished, with a new state."""
+    documents = match_documents(views)
+    spark, folder = documents.sparkSession, staging_path(documents.sparkSession, "small-load")
+    landing.write_landed(documents, folder, "matches")
+    late = documents.filter("NOT state.description <=> 'Finished'").withColumn(
+        "state", F.col("state").withField("description", F.lit("Corrected"))
+    )
+    landing.upsert_landed(spark, folder, "matches", late)
+    found = landing.read_landed(spark, folder, "matches")
+    return found.selectExpr("id", "leagueId", "season", "homeTeam.id AS home", "state.description")
+
+
+def _pages(documents: DataFrame) -> DataFrame:
+    """Pages of about a hundred documents each, by the numbers of the matches."""
+    return documents.groupBy(F.expr("CAST(id AS BIGINT) DIV 400").alias("page")).agg(
+        F.collect_list(F.struct("*")).alias("data")
+    )
+
+
+def _write_pages(pages: DataFrame, folder: str) -> None:
+    pages.write.option("maxRecordsPerFile", 1).json(folder)
+
+
+def ledger_loads(views: Views) -> DataFrame:
+    """Page files that arrive in three batches, each loaded once, beside what the ledger notes."""
+    documents = match_documents(views)
+    spark, folder = documents.sparkSession, staging_path(documents.sparkSession, "ledger")
+    pages = _pages(documents)
+    late = documents.filter("NOT state.description <=> 'Finished'").withColumn(
+        "state", F.col("state").withField("description", F.lit("Corrected"))
+    )
+    batches = [pages.filter("page % 2 = 0"), pages.filter("page % 2 = 1"), _pages(late)]
+    files = []
+    for number, batch in enumerate(batches):
+        _write_pages(batch.select("data"), f"{folder}/pages/{number}")
+        files.append(landing.load_new_pages(spark, f"{folder}/pages", folder, "matches", f"{folder}/lake"))
+    again = landing.load_new_pages(spark, f"{folder}/pages", folder, "matches", f"{folder}/lake")
+    found = landing.read_landed(spark, folder, "matches")
+    return found.selectExpr(
+        "id",
+        "leagueId",
+        "state.description",
+        *[f"{n}L AS files_{i}" for i, n in enumerate([*files, again])],
+    )
+
+
+def page_faults(views: Views) -> DataFrame:
+    """Faults of two requests over the matches: one whole, one without some pages and without an end."""
+    pages = _pages(match_documents(views)).select("page", F.transform("data", lambda d: d["id"]).alias("data"))
+    so_far = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pages.withColumn("offset", F.coalesce(F.sum(F.size("data")).over(so_far), F.lit(0)))
+    end = placed.agg(F.max(F.col("offset") + F.size("data")).alias("offset"))
+    ended = end.select("offset", F.array().cast("array<string>").alias("data"))
+    whole = placed.select("offset", "data").unionByName(ended).withColumn("request", F.lit("whole"))
+    broken = placed.filter("page % 5 <> 2").select("offset", "data").withColumn("request", F.lit("broken"))
+    folder = staging_path(pages.sparkSession, "page-faults")
+    _write_pages(whole.unionByName(broken), folder)
+    return landing.page_faults(pages.sparkSession, folder, ("request",))
+
+
+def display_places(views: Views) -> DataFrame:
+    """Rows of four marts with their places in the orders they are shown in."""
+    spark = views["matches"].sparkSession
+    keys = {
+        "dim_season": "League_season_id",
+        "fct_national_matches": "Match_id",
+        "fct_national_standings": "concat_ws('|', League_season_id, Team_id, league_id, Country_id)",
+        "fct_aggregation": "country_naipe_id",
+    }
+    shown = [
+        registry.with_display_place(name, registry.build(spark, name, views)).selectExpr(
+            f"'{name}' AS mart", f"{key} AS row_key", "display_place"
+        )
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.union, shown)
+
+
 def silver_leagues(views: Views) -> DataFrame:
     """Leagues with their seasons, each season with more fields than its number."""
     season = "named_struct('season', league_season, 'start', concat(league_season, '-01-01'))"

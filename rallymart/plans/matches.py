@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import blocks_needed, hot_limit, row_numbers
+from rallymart.operators.ranking import HotGroups, by_group_size, hot_groups, hot_limit, row_numbers
 from rallymart.operators.sides import (
     has_few_sides,
     melt_sides,
@@ -53,12 +53,19 @@ def recency_order() -> list:
     return [F.desc("match_date"), F.asc("match_id"), F.asc("team_side")]
 
 
-def team_blocks(matches: DataFrame, scope: str = "true") -> int:
-    """Blocks needed to number the sides in scope per team; at most the team ids are read."""
+def hot_teams(matches: DataFrame, scope: str = "true") -> HotGroups | None:
+    """The teams whose sides in scope outgrow a task; at most the team ids are read."""
     if has_few_sides(matches, hot_limit(matches.sparkSession)):
-        return 0
-    sides = melt_sides(matches.filter(scope), {}, {"team_id": team_id})
-    return blocks_needed(sides, ["team_id"])
+        return None
+    return hot_groups(melt_sides(matches.filter(scope), {}, {"team_id": team_id}), ["team_id"])
+
+
+def numbered_sides(sides: DataFrame, numbers: dict[str, list[str]], hot: HotGroups | None) -> DataFrame:
+    """Recency orders of the sides of each team, and within what else `numbers` names."""
+    def work(rows: DataFrame, blocks: int) -> DataFrame:
+        return row_numbers(rows, recency_order(), numbers, ["team_id"], blocks)
+
+    return by_group_size(sides, ["team_id"], hot, work)
 
 
 def team_seasons(matches: DataFrame, scope: str) -> DataFrame:
@@ -99,17 +106,12 @@ def _side_facts(
         },
     )
     season = ["team_id", "league_id", "league_season"]
-    ranked = row_numbers(
-        sides,
-        order=recency_order(),
-        numbers={
-            "match_order_general": ["team_id"],
-            "match_order_champ": season,
-            "order_in_phase": [*season, "champ_phase"],
-        },
-        within=["team_id"],
-        blocks=team_blocks(matches, scope),
-    )
+    numbers = {
+        "match_order_general": ["team_id"],
+        "match_order_champ": season,
+        "order_in_phase": [*season, "champ_phase"],
+    }
+    ranked = numbered_sides(sides, numbers, hot_teams(matches, scope))
     return ranked.selectExpr(
         "team_id AS Team_id",
         f"{rules.key_of('league_id', 'league_season')} AS league_season_id",

@@ -6,9 +6,10 @@ import inspect
 from collections.abc import Callable, Iterable, Mapping
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rallymart.operators.ranking import with_ordinals
 from rallymart.plans import aggregation, dims, matches, standings, team_stats
 from rallymart.sources.tables import read_table, write_table
 
@@ -53,12 +54,35 @@ DISPLAY_ORDER = {
 }
 
 
+def _display_keys(name: str) -> list[Column]:
+    """Missing values first where a key ascends and last where it descends, as Spark sorts."""
+    keys = DISPLAY_ORDER.get(name, ())
+    return [F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys]
+
+
 def in_display_order(name: str, mart: DataFrame) -> DataFrame:
     """A mart sorted for showing. Stored tables are not sorted; a reader that cares sorts."""
-    keys = DISPLAY_ORDER.get(name, ())
-    if not keys:
-        return mart
-    return mart.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys])
+    keys = _display_keys(name)
+    return mart.orderBy(*keys) if keys else mart
+
+
+def with_display_place(name: str, mart: DataFrame) -> DataFrame:
+    """A mart with each row's place in its display order; rows equal in that by their other columns.
+
+    The place is stored with the rows, so any reader can page through a mart without sorting it.
+    """
+    keys = _display_keys(name)
+    return with_ordinals(mart, [*keys, *[F.asc(c) for c in mart.columns]], "display_place")
+
+
+def export_in_display_order(
+    spark: SparkSession, root: str, target: str, names: Iterable[str] | None = None
+) -> dict[str, int]:
+    """Copy marts to a hand-off folder with their display places; returns their row counts."""
+    return {
+        name: write_table(with_display_place(name, read_table(spark, root, name)), target, name)
+        for name in (MARTS if names is None else names)
+    }
 
 
 def inputs_of(name: str) -> tuple[str, ...]:

@@ -8,11 +8,13 @@ it is ranked.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import blocks_needed, group_totals, hot_limit, row_numbers
+from rallymart.operators.ranking import by_group_size, group_totals, hot_groups, hot_limit, row_numbers
 from rallymart.operators.sides import (
     has_few_sides,
     melt_sides,
@@ -83,25 +85,30 @@ FINALS_STAGE = {
 }
 
 
-def _sized(teams: DataFrame, matches: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """The team rows and the blocks needed to rank them per league-season."""
+def _ranked(
+    teams: DataFrame, matches: DataFrame, name: str, rank: Callable[[DataFrame, int], DataFrame]
+) -> DataFrame:
+    """The team rows ranked per league-season; where these could outgrow a task, by their sizes."""
     if has_few_sides(matches, hot_limit(matches.sparkSession)):
-        return teams, 0
+        return rank(teams, 0)
     written = stage(teams, name)
-    return written, blocks_needed(written, [SEASON])
+    return by_group_size(written, [SEASON], hot_groups(written, [SEASON]), rank)
 
 
 def _aggregates(columns: dict[str, str]) -> list[Column]:
     return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
 
-def table_order() -> list[Column]:
-    """League-table order; the team id settles full ties."""
-    return [F.desc("games_won"), F.desc("match_points"), F.desc("set_ratio"), F.asc("team_id")]
+def table_order(names: tuple[str, ...] = ()) -> list[Column]:
+    """League-table order; the team id settles full ties, and names those of one team."""
+    order = [F.desc("games_won"), F.desc("match_points"), F.desc("set_ratio"), F.asc("team_id")]
+    return order + [F.asc(name) for name in names]
 
 
 # --- domestic leagues -------------------------------------------------------------------
 
+# What tells the rows of a team apart that plays one league-season under several names.
+TEAM_NAMES = ("league_id", "league_name", "country_code")
 
 def domestic_teams(matches: DataFrame) -> DataFrame:
     """Group-stage and series totals per team, league-season and league and country name."""
@@ -140,7 +147,7 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
     of_team = [SEASON, "team_id"]
     shared = {name: f"own_{name}" for name in FINALS_STAGE}
     teams = group_totals(teams, of_team, {**shared, "table_rows": rules.flag("in_table")}, blocks)
-    names = [F.desc("in_table"), F.asc("league_id"), F.asc("league_name"), F.asc("country_code")]
+    names = [F.desc("in_table"), *[F.asc(name) for name in TEAM_NAMES]]
     teams = (
         row_numbers(teams, names, {"row_of_team": of_team}, [SEASON], blocks)
         .filter("in_table OR (table_rows = 0 AND row_of_team = 1)")
@@ -152,7 +159,7 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
         )
     )
     teams = row_numbers(
-        teams, table_order(), {"table_place": [SEASON, "in_table"]}, [SEASON], blocks
+        teams, table_order(TEAM_NAMES), {"table_place": [SEASON, "in_table"]}, [SEASON], blocks
     ).withColumn("prelim_position", F.expr("if(in_table, table_place, NULL)"))
     # Teams are ranked, not their names: one row per team takes part, and its place holds for all.
     places = {}
@@ -174,7 +181,7 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
 
 
 def ranked_domestic(matches: DataFrame) -> DataFrame:
-    return rank_domestic(*_sized(domestic_teams(matches), matches, "domestic-teams"))
+    return _ranked(domestic_teams(matches), matches, "domestic-teams", rank_domestic)
 
 
 def fct_national_standings(matches: DataFrame) -> DataFrame:
@@ -244,7 +251,7 @@ def rank_world(teams: DataFrame, blocks: int) -> DataFrame:
 
 
 def ranked_world(matches: DataFrame) -> DataFrame:
-    return rank_world(*_sized(world_teams(matches), matches, "world-teams"))
+    return _ranked(world_teams(matches), matches, "world-teams", rank_world)
 
 
 def eligible_teams(matches: DataFrame, countries: DataFrame) -> DataFrame:

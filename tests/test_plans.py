@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import differences, duck
 from rallymart.functions import rules
-from rallymart.plans.matches import team_blocks, team_seasons
+from rallymart.plans.matches import hot_teams, team_seasons
 from rallymart.sources import derived
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,7 +40,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert {part.split(":")[0] for part in schema.split(",")} == {
         "league_id", "league_season", "country_code", "country_name", "description", "homeTeam_id", "awayTeam_id",
     }
-    assert team_blocks(stored) == 0
+    assert hot_teams(stored) is None
 
 
 @pytest.mark.parametrize(
@@ -77,3 +77,15 @@ def test_results_hold_without_broadcasts(spark, name):
         assert differences(result, duck(SF_DIR), entry.oracle_sql()[name]) is None
     finally:
         spark.conf.unset(setting)
+
+
+@pytest.mark.parametrize("name", ["fct_national_matches_melted_by_team", "fct_intern_matches_melted_by_team"])
+def test_hot_teams_move_once(spark, hot_limit, name):
+    """Without broadcasts by size: one exchange of all sides and one of those of hot teams."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot_limit(3)
+        plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") <= 3 and "SortMergeJoin" not in plan

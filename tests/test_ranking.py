@@ -5,7 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rallymart.operators.ranking import group_totals, blocks_needed, join_null_safe, row_numbers
+from rallymart.operators import ranking
+from rallymart.operators.ranking import (
+    by_group_size,
+    group_totals,
+    hot_groups,
+    join_null_safe,
+    row_numbers,
+    with_ordinals,
+)
 
 KEYS = {"place": ["team"], "place_in_season": ["team", "season"]}
 
@@ -45,8 +53,6 @@ def test_row_numbers_against_brute_force(spark, blocks):
 
 
 def test_a_hot_group_is_spread_over_blocks(spark):
-    from rallymart.operators import ranking
-
     seen = []
     plain_stage = ranking.stage
     try:
@@ -60,14 +66,43 @@ def test_a_hot_group_is_spread_over_blocks(spark):
     assert max(r["count"] for r in blocks) < 1000
 
 
-def test_blocks_needed_reads_the_setting(spark, hot_limit):
+def test_hot_groups_are_those_above_the_setting(spark, hot_limit):
     df = spark.createDataFrame(skewed_rows(300), "team string, season int, day int, id string")
-    assert blocks_needed(df, ["team"]) == 0
+    assert hot_groups(df, ["team"]) is None
     hot_limit(99)
-    assert blocks_needed(df, ["team"]) == 4
+    hot = hot_groups(df, ["team"])
+    assert [r.team for r in hot.keys.collect()] == ["hot"] and (hot.groups, hot.blocks) == (1, 2)
     hot_limit(100)
-    assert blocks_needed(df, ["team"]) == 0
-    assert blocks_needed(df.limit(0), ["team"]) == 0
+    assert hot_groups(df, ["team"]) is None
+    assert hot_groups(df.limit(0), ["team"]) is None
+
+
+@pytest.mark.parametrize("limit", [20, 99, 10_000])
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_only_hot_groups_take_the_other_way(spark, hot_limit, monkeypatch, limit, sent):
+    monkeypatch.setattr(ranking, "MOST_SENT", sent)
+    hot_limit(limit)
+    rows = skewed_rows(300)
+    df = spark.createDataFrame(rows, "team string, season int, day int, id string").repartition(5)
+    ways = []
+
+    def work(part, blocks):
+        ways.append(blocks)
+        return row_numbers(part, order(), KEYS, ["team"], blocks)
+
+    result = by_group_size(df, ["team"], hot_groups(df, ["team"]), work)
+    assert {r["id"]: (r["place"], r["place_in_season"]) for r in result.collect()} == brute_force(rows)
+    assert len(ways) == (1 if limit == 10_000 else 2) and ways[0] == 0
+
+
+def test_ordinals(spark):
+    rows = skewed_rows(500)
+    df = spark.createDataFrame(rows, "team string, season int, day int, id string").repartition(6)
+    found = with_ordinals(df, [F.asc("team"), *order()], "place").collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[2] is None, -(r[2] or 0), r[3]))
+    assert [r["id"] for r in sorted(found, key=lambda r: r["place"])] == [r[3] for r in ordered]
+    assert sorted(r["place"] for r in found) == list(range(1, 501))
+    assert with_ordinals(df.limit(0), order(), "place").count() == 0
 
 
 @pytest.mark.parametrize("blocks", [0, 7])
