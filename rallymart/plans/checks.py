@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
-from rallymart.plans import dims, layers, registry, standings
+from rallymart.plans import dims, layers, parts, registry, standings
 from rallymart.sources import landing, tables
 from rallymart.sources.staging import staging_path
 from rallymart.plans.matches import hot_teams, numbered_sides, team_seasons
@@ -533,6 +533,19 @@ def page_faults(views: Views) -> DataFrame:
     return landing.page_faults(pages.sparkSession, folder, ("request",))
 
 
+def aggregation_from_parts(views: Views) -> DataFrame:
+    """The aggregation from parts of each season, those of the newest season written by a second load."""
+    spark = views["matches"].sparkSession
+    folder, marts = staging_path(spark, "parts"), {}
+    for name in registry.inputs_of("fct_aggregation"):
+        tables.write_table(registry.build(spark, name, views), folder, name)
+        marts[name] = tables.read_table(spark, folder, name)
+    newest = views["matches"].agg(F.max("league_season").cast("string")).scalar()
+    parts.refresh_parts(spark, folder, marts, F.col("season") != newest)
+    parts.refresh_parts(spark, folder, marts, F.col("season") == newest)
+    return parts.merged_parts(spark, folder)
+
+
 def display_places(views: Views) -> DataFrame:
     """Rows of four marts with their places in the orders they are shown in."""
     spark = views["matches"].sparkSession
