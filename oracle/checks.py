@@ -300,6 +300,7 @@ FROM kept WHERE stop - size > expected
 UNION ALL SELECT 'broken', max(stop)::BIGINT, NULL, 'no end' FROM kept""",
         "matches",
     ),
+    "seasonal_standings": MART_SQL["fct_national_standings"],
     "aggregation_from_parts": MART_SQL["fct_aggregation"],
     "display_places": f"""
 WITH seasons AS ({MART_SQL["dim_season"]}), facts AS ({MART_SQL["fct_national_matches"]}),

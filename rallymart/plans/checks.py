@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
-from rallymart.plans import dims, layers, parts, registry, standings
+from rallymart.plans import dims, layers, parts, registry, seasonal, standings
 from rallymart.sources import landing, tables
 from rallymart.sources.staging import staging_path
 from rallymart.plans.matches import hot_teams, numbered_sides, team_seasons
@@ -546,6 +546,24 @@ def aggregation_from_parts(views: Views) -> DataFrame:
     return parts.merged_parts(spark, folder)
 
 
+def seasonal_standings(views: Views) -> DataFrame:
+    """Domestic standings kept by season, after a second load that brings the newest season."""
+    matches = views["matches"]
+    spark, folder = matches.sparkSession, staging_path(matches.sparkSession, "seasonal")
+    newest = matches.agg(F.max("league_season")).scalar()
+
+    def stored() -> DataFrame:
+        return tables.read_table(spark, folder, "matches", matches.schema)
+
+    seasonal.write_seasons(matches.filter(F.col("league_season") < newest), folder, "matches")
+    seasonal.refresh_marts(spark, {**views, "matches": stored()}, folder)
+    load = matches.filter(F.col("league_season") == newest)
+    changed = seasonal.changed_seasons(stored(), load)
+    seasonal.write_seasons(load, folder, "matches", changed)
+    seasonal.refresh_marts(spark, {**views, "matches": stored()}, folder, changed)
+    return seasonal.stored_mart(spark, folder, "fct_national_standings")
+
+
 def display_places(views: Views) -> DataFrame:
     """Rows of four marts with their places in the orders they are shown in."""
     spark = views["matches"].sparkSession
