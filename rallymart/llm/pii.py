@@ -10,19 +10,22 @@ key version with one is given up for the next.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
+import secrets
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import sent, small, stage, texts
 
-KEY = b"replace me in production"
+#: The setting that holds the key. Who knows it can turn surrogates back, so it is kept elsewhere.
+KEY_SETTING = "spark.rallymart.surrogateKey"
 ROUNDS = 8
 MOST_VERSIONS = 16
 #: Letters that are one number together.
@@ -49,10 +52,18 @@ ALPHABETS = (
 
 _DIGIT = re.compile(r"\d")
 _GROUP = re.compile(r"\d+")
-_DOMAIN = re.compile(r"(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
+_DOMAIN = re.compile(r"(?:(?:[^\W_]|-)+\.)+[^\W\d_]{2,}(?![\w-])")
 _PHONE = re.compile(
     r"(?<![\w.+-])(?:(\+\d{1,3})[ .-]?)?(\(\d{3}\) ?|\d{3}[ .-])(\d{3})([ .-])(\d{4})(?![\w-])"
 )
+#: Numbers with a country code: eleven digits behind +1, eight to fifteen behind the others.
+_ABROAD = re.compile(r"(?<![\w+.-])\+(?:1(?:[ ./-]?\(?\d\)?){10}|[2-9](?:[ ./-]?\(?\d\)?){7,14})(?![\w-])")
+#: Country codes of two digits (fixed values); 1 and 7 stand alone, all others have three.
+_TWO_DIGITS = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98".split()
+)
+_IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
 _IP = re.compile(r"(?<![\w.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\w|\.\d)")
 #: Groups of digits with a blank or hyphen between; a card number is made of whole groups.
 _DIGITS = re.compile(r"(?<!\w)(?<!\d\.)\d++(?!\w)(?:[ -]\d++(?!\w))*+")
@@ -60,16 +71,19 @@ _CARD_LENGTHS = range(19, 12, -1)
 _SSN = re.compile(r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){8,31}+")
 _IBAN_FORM = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+#: What stands behind the name of a secret; without a digit only behind a word for a password.
+_VALUE = r"[\"']?([^\s\"',;<>]{7,}[^\s\"',;<>.!?)\]}])"
 _SECRET = re.compile(
-    r"(?<![A-Za-z])(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_/+-]{8,})", re.I
+    r"(?<![A-Za-z])(?:(password|passwd|pwd|passphrase|api[ _-]?key)|token|secret)\s{0,3}[=:]\s{0,3}" + _VALUE, re.I
 )
+_BEARER = re.compile(r"(?<![A-Za-z])Bearer\s{1,3}([\w.~+/=-]{7,}[\w~+/=-])")
 _ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
 _PERSON = re.compile(
     rf"(?<![\w-])({'|'.join(sorted(TITLES, key=len, reverse=True))})(?:\.|(?<=\w))\s{{1,3}}"
-    r"([^\W\d_][^\W\d_'-]{1,39}(?: [^\W\d_][^\W\d_'-]{1,39}){0,2})",
+    r"((?:[^\W\d_]\.|[^\W\d_]+(?:['’-][^\W\d_]+)*)(?: (?:[^\W\d_]\.|[^\W\d_]+(?:['’-][^\W\d_]+)*))*)",
     re.I,
 )
-_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_MARKS = frozenset("._%+-'")
 
 
 def _luhn(digits: str) -> int:
@@ -133,6 +147,20 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def _ip6(text: str) -> int:
+    """The address as a number; 0 for what is none, and for those that name no host of anyone."""
+    try:
+        value = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return 0
+    return value if value >= 2**32 else 0
+
+
+def _country(digits: str) -> int:
+    """How many digits of a number with a plus are its country code."""
+    return 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGITS else 3
+
+
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """Start, end and kind of the entities, in order and without overlaps; the earlier kind wins.
 
@@ -144,20 +172,23 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     while at >= 0:
         start = at
         # An earlier @ ends the run, so each character is looked at once.
-        while start > 0 and text[start - 1] in _LOCAL:
+        while start > 0 and (text[start - 1].isalnum() or text[start - 1] in _MARKS):
             start -= 1
-        while start < at and text[start] in "._%+-":
+        while start < at and text[start] in _MARKS:
             start += 1
         domain = _DOMAIN.match(text, at + 1)
         if start < at and domain:
             found.append((start, domain.end(), "email"))
         at = text.find("@", at + 1)
+    found += [(m.start(2), m.end(2), "secret") for m in _SECRET.finditer(text) if m[1] or _DIGIT.search(m[2])]
+    found += [(m.start(1), m.end(1), "secret") for m in _BEARER.finditer(text)]
+    if "::" in text or _DIGIT.search(text):
+        found += [(m.start(), m.end(), "ip") for m in _IP6.finditer(text) if _ip6(m[0])]
     if _DIGIT.search(text):
-        found += [
-            (m.start(1), m.end(1), "secret") for m in _SECRET.finditer(text) if _DIGIT.search(m[1])
-        ]
         found += [(m.start(), m.end(), "secret") for m in _ACCESS_KEY.finditer(text)]
         found += [(m.start(), m.end(), "phone") for m in _PHONE.finditer(text)]
+        if "+" in text:
+            found += [(m.start(), m.end(), "phone") for m in _ABROAD.finditer(text)]
         found += [
             (m.start(), m.end(), "ip") for m in _IP.finditer(text) if all(int(n) < 256 for n in m.groups())
         ]
@@ -166,7 +197,7 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
         other = [x for x in found if x[2] in ("phone", "ssn")]
         found += [(start, end, "card") for start, end in _cards(text, other)]
     for m in _PERSON.finditer(text):
-        words = [w for w in m[2].split(" ")]
+        words = m[2].split(" ")
         kept = next((i for i, w in enumerate(words) if not w[0].isupper()), len(words))
         if kept:
             found.append((m.start(), m.start(2) + len(" ".join(words[:kept])), "person"))
@@ -240,36 +271,47 @@ class Surrogates:
 
     def email(self, text: str) -> str:
         local, _, domain = text.partition("@")
-        plain = ("abcdefghijklmnopqrstuvwxyz", "0123456789")
+        plain = ("abcdefghijklmnopqrstuvwxyz", "0123456789", *ALPHABETS[2:])
         *labels, top = domain.split(".")
         # Names that are reserved for examples stay.
         labels = [x if x.lower() == "example" else self.letters(x, "domain", plain) for x in labels]
-        new = ".".join([*labels, top])
-        return f"{self.letters(local, 'local@' + domain.lower(), plain)}@{new}"
+        new = self.letters(local, "local@" + domain.lower(), plain)
+        if new == local:  # no letter of the alphabets
+            new = self._invented(local.lower() + "@" + domain.lower())
+        return f"{new}@{'.'.join([*labels, top])}"
 
     def phone(self, text: str) -> str:
-        country, area, exchange, mark, line = _PHONE.fullmatch(text).groups()
-        digits = re.sub(r"\D", "", area) + exchange + line
-        if exchange == "555":  # the exchange of invented numbers
-            new = self.letters(digits[:3] + line, f"555{country}", ("0123456789",))
-            new = new[:3] + "555" + new[3:]
+        """All spellings of a number get the same digits; a country code stays."""
+        digits = re.sub(r"\D", "", text)
+        code = _country(digits) if text.startswith("+") else 0
+        country, own = digits[:code], digits[code:]
+        if len(own) == 10 and country in ("", "1"):
+            new = self._north_american(own, country)
         else:
-            size = 10**10 - 10**7
+            new = self.letters(own, f"phone+{country}", ("0123456789",))
+        it = iter(country + new)
+        return "".join(next(it) if c.isdigit() else c for c in text)
 
-            # All numbers whose exchange is not 555, in order.
-            def order(n: int) -> int:
-                block, rest = divmod(n, 10**7)
-                return block * (10**7 - 10**4) + rest - (10**4 if rest >= 556 * 10**4 else 0)
+    def _north_american(self, digits: str, country: str) -> str:
+        if digits[3:6] == "555":  # the exchange of invented numbers
+            new = self.letters(digits[:3] + digits[6:], f"555{country}", ("0123456789",))
+            return new[:3] + "555" + new[3:]
+        size = 10**10 - 10**7
 
-            value = self.permuted(order(int(digits)), size, f"phone{country}".encode())
-            block, rest = divmod(value, 10**7 - 10**4)
-            new = f"{block * 10**7 + rest + (10**4 if rest >= 555 * 10**4 else 0):010d}"
-        shape = f"{area}{exchange}{mark}{line}"
-        it = iter(new)
-        filled = "".join(next(it) if c.isdigit() else c for c in shape)
-        return text[: len(text) - len(shape)] + filled
+        # All numbers whose exchange is not 555, in order.
+        def order(n: int) -> int:
+            block, rest = divmod(n, 10**7)
+            return block * (10**7 - 10**4) + rest - (10**4 if rest >= 556 * 10**4 else 0)
+
+        value = self.permuted(order(int(digits)), size, f"phone{country}".encode())
+        block, rest = divmod(value, 10**7 - 10**4)
+        return f"{block * 10**7 + rest + (10**4 if rest >= 555 * 10**4 else 0):010d}"
 
     def ip(self, text: str) -> str:
+        if ":" in text:
+            # All addresses above those that are left alone.
+            value = self.permuted(_ip6(text) - 2**32, 2**128 - 2**32, b"ip6") + 2**32
+            return str(ipaddress.IPv6Address(value))
         value = 0
         for part in text.split("."):
             value = value * 256 + int(part)
@@ -321,11 +363,13 @@ class Surrogates:
 
     def _last(self, name: str) -> str:
         new = self.letters(name, "name", ALPHABETS)
-        if new == name:  # no letter of the alphabets: a pronounceable name from a keyed hash
-            n = int.from_bytes(hashlib.blake2b(name.encode(), key=self.key, digest_size=8).digest(), "big")
-            letters = (ALPHABETS[(i + 1) % 2] for i in range(8))
-            new = "".join(a[(n >> 8 * i & 255) % len(a)] for i, a in enumerate(letters)).title()
-        return new
+        return self._invented(name).title() if new == name else new
+
+    def _invented(self, own: str) -> str:
+        """A pronounceable word from a keyed hash, for what has no letter of the alphabets."""
+        n = int.from_bytes(hashlib.blake2b(own.encode(), key=self.key, digest_size=12).digest(), "big")
+        letters = (ALPHABETS[(i + 1) % 2] for i in range(12))
+        return "".join(a[(n >> 8 * i & 255) % len(a)] for i, a in enumerate(letters))
 
     def of(self, kind: str, text: str) -> str:
         return getattr(self, kind)(text)
@@ -340,7 +384,7 @@ def normal(kind: str, text: str) -> str:
     if kind == "iban":
         return text.replace(" ", "")
     if kind == "ip":
-        return ".".join(str(int(n)) for n in text.split("."))
+        return str(_ip6(text)) if ":" in text else ".".join(str(int(n)) for n in text.split("."))
     return text if kind == "secret" else text.lower()
 
 
@@ -357,7 +401,7 @@ def replaced(text: str, surrogates: Surrogates) -> tuple[str, list[tuple[str, in
     return ("".join([*parts, text[last:]]), spans) if parts else (text, [])
 
 
-def entities(docs: DataFrame, version: int, key: bytes = KEY) -> DataFrame:
+def entities(docs: DataFrame, version: int, key: bytes) -> DataFrame:
     """All different entities of the texts: kind, and hashes of entity and surrogate.
 
     Only keyed hashes of both leave the task; each partition sends an entity once per batch.
@@ -392,13 +436,30 @@ def collisions(found: DataFrame) -> DataFrame:
     return shared.union(split).union(own)
 
 
-def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+_own_keys: dict[str, bytes] = {}
+
+
+def key_of(spark: SparkSession) -> bytes:
+    """The key of the session's setting, else a random one that the application keeps.
+
+    Without the setting surrogates are the same in all jobs of one application only.
+    """
+    given = spark.conf.get(KEY_SETTING, None)
+    if given:
+        return given.encode()
+    return _own_keys.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
+def replace(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """`docs` with surrogates in `text`, and `entities`: kind, start and end of each.
 
+    The key is that of `key_of` if none is given.
+
     A column `entities` of the input is replaced; other columns stay. Null texts stay null, texts
     without entities stay as they are. Key versions are tried until the whole corpus has no
     collision, so the check reads the texts once more.
     """
+    key = key or key_of(docs.sparkSession)
     for version in range(MOST_VERSIONS):
         found = stage(entities(docs, version, key), "entities")
         if collisions(found).isEmpty():

@@ -404,6 +404,35 @@ def test_language_of_odd_texts(spark, odd_docs):
     assert model.classify("漢字漢字漢字")[2] and model.classify("Привет, мир")[2]
 
 
+#: Languages that the documents do not hold, in the script of those they hold.
+UNLEARNED = [
+    "Il gatto è seduto sul tavolo e guarda fuori dalla finestra mentre piove, poi dorme ancora un poco.",
+    "De kat zit op de tafel en kijkt uit het raam terwijl het regent, en dan slaapt zij weer een uur.",
+    "Kissa istuu pöydällä ja katsoo ulos ikkunasta, kun sataa vettä koko päivän, ja nukkuu sitten taas.",
+    "Kedi masanın üzerinde oturuyor ve yağmur yağarken pencereden dışarı bakıyor, sonra yine uyuyor.",
+]
+
+
+def test_far_languages_are_rejected_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.learn(docs)
+    assert all(model.classify(text * n)[2] for text in UNLEARNED for n in (1, 4, 20))
+    held = docs.where(language.held_out(F.col("doc_id")) & (F.length("text") > 20)).collect()
+    assert len(held) > 250 and not any(model.classify(r.text)[2] for r in held)
+    # Pieces of clean documents stay as well, but for a few of the shortest.
+    for letters, few in ((40, 0.02), (150, 0.01), (600, 0.01)):
+        pieces = [r.text[len(r.text) // 2 :][:letters] for r in held if len(r.text) > 2 * letters]
+        assert sum(model.classify(p)[2] for p in pieces) <= few * len(pieces) + 1
+
+
+def test_repeated_rows_do_not_crowd_out_the_sample(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    hot = docs.where("lang = 'de'").limit(1).crossJoin(spark.range(3000)).select("doc_id", "text", "lang")
+    model = language.learn(docs.union(hot))
+    held = docs.where(language.held_out(F.col("doc_id"))).collect()
+    assert sum(model.classify(r.text or "")[0] == r.lang for r in held) / len(held) > 0.97
+
+
 # --- personal data ----------------------------------------------------------------------
 
 PRIVATE = [
@@ -457,7 +486,7 @@ def test_replace(spark, odd_docs):
     assert not any(p in (r.text or "") for r in after for p in PRIVATE)
     clean = Counter(r.text for r in odd_docs.collect())
     assert Counter(r.text for r in after if not r.entities) == clean
-    assert pii.collisions(pii.entities(docs, 0)).count() == 0
+    assert pii.collisions(pii.entities(docs, 0, b"key")).count() == 0
     bad = spark.createDataFrame([("a", "1", "x"), ("a", "2", "x"), ("a", "3", "3")], "kind string, entity string, surrogate string")
     assert pii.collisions(bad).count() == 2
 

@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_run_equals_the_steps_by_hand(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    model, made = language.learn(docs), pii.Surrogates(pii.KEY)
+    model, made = language.learn(docs), pii.Surrogates(pii.key_of(spark))
     kept = {r.doc_id: r for r in docs.collect() if not model.classify(r.text or "")[2]}
     prints = {d: simhash.fingerprint(r.text or "") for d, r in kept.items()}
     first: list[int] = []
