@@ -4,8 +4,9 @@ With a component more, sqrt(M - |x|^2) for data and 0 for queries (M the largest
 highest inner product is the smallest distance. Data and queries belong to the cell of their
 nearest pivot. Each cell sums up as its number of rows, and the smallest distances of its data
 from its pivot; with the triangle inequality they bound how far the k-th neighbour of any query
-of a cell can be. A data row is only sent to the query cells for which it can lie within that
-bound. Cells are cut into blocks of queries and chunks of data, so no task gets a whole hot cell.
+of a cell can be. Query cells near each other form groups of some `BLOCK` queries, and a data row is
+only sent to the groups with a cell for which it can lie within that bound, once to each. Groups are
+cut into blocks of queries and chunks of the data they need, so no task gets a whole hot cell.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ K = 5
 #: Queries for each pivot, and pivots at most; rows that pivots are chosen from.
 QUERIES_PER_PIVOT, MOST_PIVOTS, PIVOT_SAMPLE = 128, 64, 1024
 #: Queries in a block and data rows in a chunk, about.
-BLOCK, CHUNK = 512, 4096
+BLOCK, CHUNK = 2048, 4096
 #: Whole numbers up to here are exact in floating point.
 EXACT = 2.0**53
 
@@ -72,9 +74,16 @@ class Cells:
     largest: float  # the largest squared length
     pivots: np.ndarray
     reach: np.ndarray | None = None  # of a query cell: how far from its pivot a neighbour can be
-    blocks: np.ndarray | None = None
+    groups: list[np.ndarray] | None = None  # of query cells
+    blocks: np.ndarray | None = None  # of each group
     chunks: np.ndarray | None = None
 
+    def needed(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """For each group the data rows that its queries may need."""
+        from_all = self.distances(x, False)
+        for cells in self.groups:
+            yield np.flatnonzero((from_all[:, cells] <= self.reach[cells]).any(axis=1))
+
     def lifted(self, x: np.ndarray, query: bool) -> np.ndarray:
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, self.largest - (x * x).sum(axis=1)))
         return np.column_stack([x, more])
@@ -200,6 +209,117 @@ def _solve(group: pa.Table, width: int, k: int) -> pa.Table:
     )
 
 
+def _groups(queries: np.ndarray, between: np.ndarray, most: int) -> list[np.ndarray]:
+    """The cells with queries, in groups of about `most` queries; each cell follows a near one."""
+    left = list(np.flatnonzero(queries))
+    groups: list[list[int]] = []
+    last, held = None, 0
+    while left:
+        cell = left[0] if last is None else min(left, key=lambda c: between[last, c])
+        left.remove(cell)
+        if not groups or held + queries[cell] > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(cell)
+        last, held = cell, held + queries[cell]
+    return [np.array(g) for g in groups]
+
+
+def _needed(rows: DataFrame, cells: Cells) -> np.ndarray:
+    """How many data rows each group may need."""
+    shared = sent(rows.sparkSession, cells)
+
+    def work():
+        cells = shared()
+
+        def each(batch: pa.RecordBatch) -> dict:
+            needed = [len(n) for n in cells.needed(matrix(batch.column("x"), cells.width))]
+            return {"group": np.arange(len(needed)), "n": needed}
+
+        return each
+
+    found = arrow_pass(rows.select("x"), work, "group int, n long").groupBy("group").agg(F.sum("n").alias("n"))
+    counts = np.zeros(len(cells.groups), int)
+    for r in found.collect():  # a row for each group
+        counts[r.group] = r.n
+    return counts
+
+
+DEALT = "vec_id long, x array<double>, mark long, group int, block int, chunk int, as_query boolean"
+
+
+def _places(batch: pa.RecordBatch, take: list, group: list, block: list, chunk: list, as_query: bool) -> dict:
+    empty = [np.zeros(0, int)]
+    rows = pa.array(np.concatenate(take or empty).astype("int64"))
+    return {
+        **{c: batch.column(c).take(rows) for c in ("vec_id", "x", "mark")},
+        "group": np.concatenate(group or empty),
+        "block": np.concatenate(block or empty),
+        "chunk": np.concatenate(chunk or empty),
+        "as_query": np.full(len(rows), as_query),
+    }
+
+
+def _dealt_data(rows: DataFrame, cells: Cells) -> DataFrame:
+    """Each data row in a chunk of every block that may need it.
+
+    Chunks go by the row's place in its file, so rows that are equal in all columns spread as well.
+    """
+    shared = sent(rows.sparkSession, cells)
+
+    def work():
+        cells, seen = shared(), 0
+        part = TaskContext.get().partitionId()
+
+        def each(batch: pa.RecordBatch) -> dict:
+            nonlocal seen
+            place = np.arange(seen, seen + batch.num_rows).astype("uint64") + (np.uint64(part) << np.uint64(40))
+            seen += batch.num_rows
+            spread = (place * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            take, group, block, chunk = [], [], [], []
+            for g, needed in enumerate(cells.needed(matrix(batch.column("x"), cells.width))):
+                for b in range(cells.blocks[g]):
+                    take.append(needed)
+                    group.append(np.full(len(needed), g))
+                    block.append(np.full(len(needed), b))
+                    chunk.append((spread[needed] % np.uint64(cells.chunks[g])).astype("int64"))
+            return _places(batch, take, group, block, chunk, False)
+
+        return each
+
+    return arrow_pass(rows, work, DEALT)
+
+
+def _dealt_queries(rows: DataFrame, cells: Cells) -> DataFrame:
+    """Each query in one block of its group, beside every chunk of the data that the group needs."""
+    shared = sent(rows.sparkSession, cells)
+
+    def work():
+        cells = shared()
+        group_of = np.zeros(len(cells.pivots), int)
+        for g, own in enumerate(cells.groups):
+            group_of[own] = g
+
+        def each(batch: pa.RecordBatch) -> dict:
+            if not batch.num_rows:
+                return _places(batch, [], [], [], [], True)
+            at = group_of[cells.distances(matrix(batch.column("x"), cells.width), True).argmin(axis=1)]
+            spread = (batch.column("mark").to_numpy().astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            take, group, block, chunk = [], [], [], []
+            for g in np.unique(at):
+                mine = np.flatnonzero(at == g)
+                for c in range(cells.chunks[g]):
+                    take.append(mine)
+                    group.append(np.full(len(mine), g))
+                    block.append((spread[mine] % np.uint64(cells.blocks[g])).astype("int64"))
+                    chunk.append(np.full(len(mine), c))
+            return _places(batch, take, group, block, chunk, True)
+
+        return each
+
+    return arrow_pass(rows, work, DEALT)
+
+
 def top_k(vectors: DataFrame, k: int = K, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: for rows with vec_id divisible by `every` the best k others.
 
@@ -234,57 +354,15 @@ def top_k(vectors: DataFrame, k: int = K, every: int = 50) -> DataFrame:
         # One of k + 1 vec_ids may be the query's own. The slack is far above rounding errors.
         if len(upper) > k:
             cells.reach[i] = (upper[k] + far[i]) * (1 + 1e-9) + 1e-3
-    cells.blocks = np.maximum(1, -(-queries // BLOCK))
-    cells.chunks = np.full(n, max(1, -(-int(data.sum()) // CHUNK)))
-    shared = sent(spark, cells)
-
-    def work():
-        cells = shared()
-
-        def each(batch: pa.RecordBatch) -> dict:
-            x = matrix(batch.column("x"), cells.width)
-            ids = batch.column("vec_id").to_numpy()
-            asked = batch.column("is_query").to_numpy(zero_copy_only=False)
-            spread = (ids.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-            take, cell, block, chunk, as_query = [], [], [], [], []
-            from_all = cells.distances(x, False)
-            for i in np.flatnonzero(queries):
-                needed = np.flatnonzero(from_all[:, i] <= cells.reach[i])
-                for b in range(cells.blocks[i]):
-                    take.append(needed)
-                    cell.append(np.full(len(needed), i))
-                    block.append(np.full(len(needed), b))
-                    chunk.append(spread[needed] % np.uint64(cells.chunks[i]))
-                    as_query.append(np.zeros(len(needed), bool))
-            own = np.flatnonzero(asked)
-            if len(own):
-                at = cells.distances(x[own], True).argmin(axis=1)
-                for i in np.unique(at):
-                    mine = own[at == i]
-                    for c in range(cells.chunks[i]):
-                        take.append(mine)
-                        cell.append(np.full(len(mine), i))
-                        block.append((spread[mine] // np.uint64(50)) % np.uint64(cells.blocks[i]))
-                        chunk.append(np.full(len(mine), c))
-                        as_query.append(np.ones(len(mine), bool))
-            if not take:
-                take = cell = block = chunk = as_query = [np.zeros(0, int)]
-            rows = pa.array(np.concatenate(take).astype("int64"))
-            return {
-                "vec_id": batch.column("vec_id").take(rows),
-                "x": batch.column("x").take(rows),
-                "mark": batch.column("mark").take(rows),
-                "cell": np.concatenate(cell).astype("int32"),
-                "block": np.concatenate(block).astype("int32"),
-                "chunk": np.concatenate(chunk).astype("int32"),
-                "as_query": np.concatenate(as_query).astype(bool),
-            }
-
-        return each
-
-    schema = "vec_id long, x array<double>, mark long, cell int, block int, chunk int, as_query boolean"
-    dealt = arrow_pass(rows.withColumn("mark", F.xxhash64("x")), work, schema)
-    found = dealt.groupBy("cell", "block", "chunk").applyInArrow(
+    cells.groups = _groups(queries, between, BLOCK)
+    asked = np.array([queries[g].sum() for g in cells.groups], int)
+    cells.blocks = np.maximum(1, -(-asked // BLOCK))
+    cells.chunks = np.maximum(1, -(-_needed(rows, cells) // CHUNK))
+    marked = rows.withColumn("mark", F.xxhash64("x"))
+    dealt = _dealt_data(marked, cells).union(
+        _dealt_queries(marked.where("is_query").dropDuplicates(["vec_id", "mark"]), cells)
+    )
+    found = dealt.groupBy("group", "block", "chunk").applyInArrow(
         lambda group: _solve(group, width, k), "query_id long, mark long, vec_id long, score long"
     )
     order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
