@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,14 +32,14 @@ from tokenizers import Tokenizer
 
 from .shared import arrow_pass, kept, small, stage, texts
 
-#: UTF-8 bytes of text in a block, from which on it is closed; a longer text is a block by itself.
-BLOCK_BYTES = 2**22
+#: Characters of text in a block, from which on it is closed; a longer text is a block by itself.
+BLOCK_BYTES = 2**21
 #: Shared ends that are sought one by one from the middle, before an interval is bisected whole.
 STEPS = 6
 #: Groups of so many links are first reduced to their different ids.
 LARGE_GROUP = 256
 #: Chunks of text that a worker remembers.
-MOST_REMEMBERED = 2**19
+MOST_REMEMBERED = 3 * 2**17
 
 BLOCKS = (
     "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
@@ -65,16 +66,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-#: White space and what follows it up to the next white space. The byte-level pattern has no match
-#: that goes on from other characters to white space, so chunks can be encoded one by one. They only
-#: end before white space that every expression engine counts as such.
-_CHUNK = re.compile(
-    r"\s*\S+(?:[^\S \t\n\r\f\v]\s*\S+)*(?:[^\S \t\n\r\f\v]\s*\Z)?|\s+"
-)
+#: Text from a space or line break up to the next one that does not stand behind white space.
+_CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
+#: Characters of chunks that are worth remembering.
+LONG_CHUNK = 64
 
 
 class ByteLevel:
-    """A `tokenizers` file of byte-level BPE. Texts get the space before them that the other adds."""
+    """A `tokenizers` file of byte-level BPE."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,48 +83,90 @@ class ByteLevel:
         size = self.model.get_vocab_size(with_added_tokens=True)
         entries = (self.model.id_to_token(i) or "" for i in range(size))
         self.bytes = [bytes(byte[c] for c in entry if c in byte) for entry in entries]
-        #: Ids of chunks as little-endian bytes; None for a chunk that its tokens do not spell.
-        self.known: dict[str, bytes | None] = {}
-
-    def encode(self, said: list[str]) -> list[np.ndarray | None]:
-        """The ids of each text, or None if they do not spell it."""
-        chunks = [_CHUNK.findall(" " + text) for text in said]
-        if len(self.known) > MOST_REMEMBERED:
-            self.known.clear()
-        known = self.known
-        missing = list({c for each in chunks for c in each if c not in known})
-        for chunk, made in zip(missing, self.model.encode_batch(missing, add_special_tokens=False), strict=True):
-            spelt = b"".join(map(self.bytes.__getitem__, made.ids)) == chunk.encode()
-            known[chunk] = np.array(made.ids, "<i4").tobytes() if spelt else None
-        whole = []
-        for each in chunks:
-            parts = [known[c] for c in each]
-            whole.append(None if None in parts else np.frombuffer(b"".join(parts), "<i4"))
-        return whole
+        #: Without a normalizer, and with a token for each byte, its tokens spell every text.
+        self.spells = self.model.normalizer is None and len({t for t in self.bytes if len(t) == 1}) == 256
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        # The faster form leaves out character offsets, which nobody asks for.
+        return [e.ids for e in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
 class Pieces:
-    """A `sentencepiece` model with byte fallback."""
+    """A `sentencepiece` model with byte fallback, which puts a space before what it encodes."""
 
     def __init__(self, path: str) -> None:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes = []
-        for i in range(self.model.get_piece_size()):
-            piece = self.model.id_to_piece(i)
-            made = bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
-            self.bytes.append(made)
-
-    def encode(self, said: list[str]) -> list[list[int] | None]:
-        """The ids of each text, or None if they do not spell a space and the text."""
-        token = self.bytes.__getitem__
-        return [
-            ids if b"".join(map(token, ids)) == b" " + text.encode() else None
-            for text, ids in zip(said, self.model.encode(said, num_threads=1), strict=True)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.bytes = [
+            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
+            for i, p in enumerate(pieces)
         ]
+        self.spells = False
+        #: Whether no piece goes on from another character to a space, and none has a line break, so
+        #: that none crosses chunks.
+        self.separable = not any("\n" in p or re.search("[^▁]▁", p) for p in pieces)
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        made = self.model.encode([c.removeprefix(" ") for c in chunks], num_threads=1)
+        # Before a line break the space is a piece by itself.
+        return [ids if c[0] == " " else ids[1:] for c, ids in zip(chunks, made, strict=True)]
 
 
-def _tokenizers(one: str, other: str) -> tuple[ByteLevel, Pieces]:
-    return kept(f"{one} {other}", lambda: (ByteLevel(one), Pieces(other)))
+class Tokenizers:
+    """Both tokenizers, and the ids of chunks they have met.
+
+    A chunk begins with a space or line break behind something that is no white space. The byte-level
+    pattern has no match that goes on from there to white space, and no piece goes over to either, so
+    chunks can be encoded one by one; a model with pieces that do gets whole texts.
+    """
+
+    def __init__(self, one: ByteLevel, other: Pieces) -> None:
+        self.both = one, other
+        self.lengths = [np.array([len(t) for t in model.bytes]) for model in self.both]
+        #: Ids of chunks as bytes, and those of the chunks before, of which what is met again is kept.
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        #: Chunks that the tokens of one of them do not spell.
+        self.unspelt: set[str] = set()
+
+    def encode(self, said: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The ids of a space and each text; none for an empty text or where they do not spell it."""
+        # A space at the end would be a chunk that is nothing without the space put before it.
+        whole = not self.both[1].separable
+        chunks = [[" " + t] if whole or t.endswith(" ") else _CHUNK.findall(" " + t) for t in said]
+        if len(self.known[0]) > MOST_REMEMBERED // 2:
+            self.older, self.known = self.known, ({}, {})
+            self.unspelt &= self.older[0].keys()
+        met = set(chain.from_iterable(chunks))
+        missing = []
+        for chunk in met.difference(self.known[0]):
+            if chunk in self.older[0]:
+                for known, older in zip(self.known, self.older, strict=True):
+                    known[chunk] = older[chunk]
+            else:
+                missing.append(chunk)
+        for model, known in zip(self.both, self.known, strict=True):
+            token = model.bytes.__getitem__
+            for chunk, ids in zip(missing, model.encode(missing), strict=True):
+                known[chunk] = array("i", ids).tobytes()
+                if not model.spells and b"".join(map(token, ids)) != chunk.encode():
+                    self.unspelt.add(chunk)
+        wrong, made = self.unspelt & met, []
+        of_a, of_b = (known.__getitem__ for known in self.known)
+        for text, each in zip(said, chunks, strict=True):
+            if not text or wrong and not wrong.isdisjoint(each):
+                each = ()
+            made.append((np.frombuffer(b"".join(map(of_a, each)), "i4"), np.frombuffer(b"".join(map(of_b, each)), "i4")))
+        for chunk in missing:
+            if len(chunk) > LONG_CHUNK:
+                for known in self.known:
+                    del known[chunk]
+                self.unspelt.discard(chunk)
+        return made
+
+
+def _tokenizers(one: str, other: str) -> Tokenizers:
+    return kept(f"{one} {other}", lambda: Tokenizers(ByteLevel(one), Pieces(other)))
 
 
 # --- cuts -------------------------------------------------------------------------------
@@ -195,24 +236,21 @@ class Aligned:
     up to the end of each text, `of`: groups up to the end of each text.
     """
 
-    def __init__(self, said: list[str], one: ByteLevel, other: Pieces) -> None:
-        both = zip(said, one.encode(said), other.encode(said), strict=True)
-        kept = [(a, b) if text and a is not None and b is not None else ((), ()) for text, a, b in both]
-        self.a, self.of_a = _flat([a for a, _ in kept])
-        self.b, self.of_b = _flat([b for _, b in kept])
-        ends_a = np.cumsum(np.array([len(t) for t in one.bytes])[self.a])
-        ends_b = np.cumsum(np.array([len(t) for t in other.bytes])[self.b])
+    def __init__(self, said: list[str], tokenizers: Tokenizers) -> None:
+        made = tokenizers.encode(said)
+        self.a, self.of_a = _flat([a for a, _ in made])
+        self.b, self.of_b = _flat([b for _, b in made])
+        ends_a, ends_b = (
+            np.cumsum(lengths[ids])
+            for lengths, ids in zip(tokenizers.lengths, (self.a, self.b), strict=True)
+        )
         stops = ends_a[np.unique(self.of_a[self.of_a > 0]) - 1]
         self.a_ends, self.b_ends = shared_cuts(ends_a, ends_b, stops)
         self.of = np.searchsorted(self.a_ends, self.of_a, side="right")
 
 
-def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    ends = np.cumsum([len(x) for x in lists], dtype="int64")
-    arrays = [x for x in lists if isinstance(x, np.ndarray)]
-    if arrays:
-        return np.concatenate(arrays).astype("int64"), ends
-    return np.fromiter(chain.from_iterable(lists), "int64", count=int(ends[-1]) if len(ends) else 0), ends
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, "int64"), *lists]), np.cumsum([len(x) for x in lists], dtype="int64")
 
 
 # --- blocks -----------------------------------------------------------------------------
@@ -303,10 +341,10 @@ class Block:
         sequence = np.concatenate([np.zeros(0, "int32"), *self.sequences])
         n_groups = np.array([r[3] for r in self.rows])
         doc = np.repeat(np.arange(len(self.rows)), n_groups)
-        doc, used = np.divmod(np.unique(doc * max(1, len(self.numbers)) + sequence), max(1, len(self.numbers)))
+        doc, used = np.divmod(pd.unique(doc * max(1, len(self.numbers)) + sequence), max(1, len(self.numbers)))
         held = np.diff(group_ends, prepend=0)[used]
         at = np.repeat(_starts(group_ends)[used] if len(used) else used, held) + _within(held)
-        linked = np.unique(np.repeat(doc, held) * max(1, len(pairs)) + place[at])
+        linked = pd.unique(np.repeat(doc, held) * max(1, len(pairs)) + place[at])
         documents = np.bincount(linked % max(1, len(pairs)), minlength=len(pairs))
         doc_id, n_a, n_b, n_groups, n_links, digests = zip(*self.rows, strict=True)
         return {
@@ -377,8 +415,8 @@ def blocks(docs: DataFrame, one: str, other: str, block_bytes: int = BLOCK_BYTES
         from pyspark.sql.pandas.types import to_arrow_schema
 
         shape = to_arrow_schema(kinds)
-        a, b = _tokenizers(one, other)
-        size = max(len(a.bytes), len(b.bytes))
+        tokenizers = _tokenizers(one, other)
+        size = max(len(model.bytes) for model in tokenizers.both)
         number = TaskContext.get().partitionId() << 32
 
         def made(block: Block) -> pa.RecordBatch:
@@ -389,7 +427,7 @@ def blocks(docs: DataFrame, one: str, other: str, block_bytes: int = BLOCK_BYTES
         for batch in small(batches):
             said, ids = texts(batch, "text"), batch.column("doc_id").to_pylist()
             for x, y in _stretches([len(t) for t in said], block_bytes // 8):
-                block.add(ids[x:y], said[x:y], Aligned(said[x:y], a, b))
+                block.add(ids[x:y], said[x:y], Aligned(said[x:y], tokenizers))
                 if block.bytes >= block_bytes:
                     yield made(block)
                     block, number = Block(size), number + 1
@@ -433,10 +471,10 @@ def align(docs: DataFrame, one: str, other: str) -> DataFrame:
     """
 
     def work():
-        a, b = _tokenizers(one, other)
+        tokenizers = _tokenizers(one, other)
 
         def each(batch: pa.RecordBatch) -> dict:
-            made = Aligned(texts(batch, "text"), a, b)
+            made = Aligned(texts(batch, "text"), tokenizers)
             counts = np.diff(made.of, prepend=0)
             a_ends = made.a_ends - np.repeat(_starts(made.of_a), counts)
             b_ends = made.b_ends - np.repeat(_starts(made.of_b), counts)

@@ -22,6 +22,11 @@ def models():
     return align.ByteLevel(queries.BYTES), align.Pieces(queries.PIECES)
 
 
+@pytest.fixture
+def tokenizers(models):
+    return align.Tokenizers(*models)
+
+
 @pytest.mark.parametrize("steps", [1, align.STEPS])
 def test_cuts_are_all_shared_ends(monkeypatch, steps):
     monkeypatch.setattr(align, "STEPS", steps)
@@ -44,15 +49,21 @@ def test_long_interval_without_cuts():
     assert [x.tolist() for x in got] == [[50_000], [50_001]]
 
 
-def test_chunks_change_no_ids(models):
+@pytest.mark.parametrize("most", [align.MOST_REMEMBERED, 20])
+def test_chunks_change_no_ids(models, tokenizers, monkeypatch, most):
+    monkeypatch.setattr(align, "MOST_REMEMBERED", most)
     r = random.Random(6)
-    whole = Tokenizer.from_file(queries.BYTES)
-    whole.encode_special_tokens = True
-    parts = ["a", "Bc", " ", "  ", "\n", "\t", ".", ",", "!", "'s", "7", "é", "\x1c", "\x85", "\xa0", "　", "漢", "🙂", "<|endoftext|>", "_"]
-    said = ["".join(r.choices(parts, k=r.randint(0, 12))) for _ in range(4000)]
-    made = models[0].encode(said)
-    for text, ids in zip(said, made, strict=True):
-        assert ids.tolist() == whole.encode(" " + text, add_special_tokens=False).ids
+    parts = ["a", "Bc", " ", "  ", "\n", "\t", ".", ",", "!", "'s", "7", "é", "\x1c", "\x85", "\xa0", "　", "漢", "🙂", "<|endoftext|>", "_", "▁"]
+    said = ["".join(r.choices(parts, k=r.randint(0, 12))) for _ in range(6000)]
+    for at in range(0, len(said), 500):
+        made = tokenizers.encode(said[at : at + 500])
+        for text, ids in zip(said[at : at + 500], made, strict=True):
+            assert tuple(x.tolist() for x in ids) == _tokens(text, models)
+    tokenizers.both[1].separable = False
+    try:
+        assert [x.tolist() for x in tokenizers.encode(["a b"])[0]] == list(_tokens("a b", models))
+    finally:
+        tokenizers.both[1].separable = True
 
 
 def _tokens(text: str | None, models) -> tuple[list[int], list[int]]:
@@ -121,10 +132,10 @@ def test_links_within_large_groups(spark, models, monkeypatch):
     """Every group counts as large, so its ids are reduced before they are paired."""
     block, plain = align.Block(60_000), align.Block(60_000)
     said = ["abab" * 50 + " unbelievably odd é漢字", "abab abc"]
-    plain.add([1, 2], said, align.Aligned(said, *models))
+    plain.add([1, 2], said, align.Aligned(said, align.Tokenizers(*models)))
     whole = plain.row(0)
     monkeypatch.setattr(align, "LARGE_GROUP", 0)
-    block.add([1, 2], said, align.Aligned(said, *models))
+    block.add([1, 2], said, align.Aligned(said, align.Tokenizers(*models)))
     assert str(block.row(0)) == str(whole)
 
 
