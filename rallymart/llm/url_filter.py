@@ -140,13 +140,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return lower_ascii(host), path
 
 
-def asked_keys(host: Column, path: Column, path_lengths: Iterable[int]) -> Column:
-    """All keys under which a rule for this url can be listed."""
-    labels = F.split(host, "\\.")
-    hosts = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+def asked_keys(host: Column, path: Column, host_labels: Iterable[int], path_lengths: Iterable[int]) -> Column:
+    """All keys under which a rule for this url can be listed, of as many labels and characters as rules have.
+
+    A host of fewer labels stands for itself; so keys are few and short, however long the url is.
+    """
+    hosts = F.array_distinct(F.array(*[F.substring_index(host, ".", -n) for n in host_labels]))
     starts = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in path_lengths])
     starts = F.array_compact(starts)
     return F.flatten(F.transform(hosts, lambda h: F.transform(starts, lambda p: F.concat(h, p))))
@@ -162,9 +161,10 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES)
     spark = pages.sparkSession
     rules = list(rules)
     lengths = sorted({len(path) for _, _, path in rules})
+    labels = sorted({host.count(".") + 1 for _, host, _ in rules})
     host, path = host_and_path(F.col("url"))
     asked = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn(
-        "keys", asked_keys(F.col("host"), F.col("path"), lengths)
+        "keys", asked_keys(F.col("host"), F.col("path"), labels, lengths)
     )
     h1, h2 = _hashes(F.col("key"))
     universe = stage(

@@ -556,3 +556,18 @@ def test_cascade_is_exact_for_its_universe(spark):
     h1, h2 = (np.array([r[n] for r in rows], "int64").view("uint64") for n in ("h1", "h2"))
     assert url_filter.cascade_has(levels, h1, h2).tolist() == [r.id % 37 == 5 for r in rows]
     assert len(levels) > 1 and sum(level.bits for level in levels) < 20 * 811
+
+
+def test_hosts_of_very_many_labels(spark):
+    long = "a." * 20_000
+    urls = [f"http://{long}{end}" for end in ("example.net/en/x", "net", "org/fr/", "example.org/de/", "example.com/de/")]
+    rows = [(i, u) for i, u in enumerate(urls)]
+    found = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    rules = {r.page_id: (r.rule, r.verdict) for r in found}
+    assert rules == {
+        0: ("example.net/en/", "allow"),
+        1: (None, "allow"),
+        2: ("org/fr/", "allow"),
+        3: (None, "allow"),
+        4: ("example.com/de/", "block"),
+    }
