@@ -327,6 +327,12 @@ UNION ALL SELECT 'fct_aggregation', country_naipe_id, row_number() OVER (ORDER B
         "SELECT country_code, country_name, country_logo FROM countries", "countries"
     ),
     "silver_team_stats": with_views("SELECT * FROM team_stats", "team_stats"),
+    "clustered_matches": with_views(
+        f"""SELECT country_name, league_season, count(*) AS n_matches, min(match_id) AS first_id,
+  max(match_id) AS last_id, sum(current_home_team_score)::BIGINT AS home_sets
+FROM matches WHERE {DOMESTIC} GROUP BY ALL""",
+        "matches",
+    ),
     "export": MART_SQL["dim_teams"],
     "stats_of_league": with_views(
         """SELECT team_id, league_id, league_season, '2' AS asked_league FROM team_stats

@@ -647,6 +647,24 @@ def silver_team_stats(views: Views) -> DataFrame:
     return through_files(documents, "team_stats").select(*views["team_stats"].columns)
 
 
+def clustered_matches(views: Views) -> DataFrame:
+    """Domestic matches of each country and season, from the silver layout written and read back."""
+    matches = views["matches"]
+    spark, folder = matches.sparkSession, staging_path(matches.sparkSession, "clustered")
+    tables.write_table(matches, folder, "matches", layout=tables.SILVER_LAYOUT["matches"])
+    stored = tables.read_table(spark, folder, "matches", matches.schema)
+    return (
+        stored.filter(rules.domestic_scope())
+        .groupBy("country_name", "league_season")
+        .agg(
+            F.count("*").alias("n_matches"),
+            F.min("match_id").alias("first_id"),
+            F.max("match_id").alias("last_id"),
+            F.sum("current_home_team_score").alias("home_sets"),
+        )
+    )
+
+
 def export(views: Views) -> DataFrame:
     """A mart stored, exported and read back."""
     mart = registry.build(views["matches"].sparkSession, "dim_teams", views)

@@ -14,7 +14,7 @@ from rallymart.plans.registry import MARTS, run_gold
 from rallymart.sources.landing import ENTITIES, landed_entities, read_landed
 from rallymart.sources.schemas import SILVER_SCHEMAS
 from rallymart.sources.staging import discard_staged
-from rallymart.sources.tables import export_tables, read_table, write_table
+from rallymart.sources.tables import SILVER_LAYOUT, export_tables, read_table, write_table
 
 # Names before -> names after, where the general renaming is not enough.
 RENAMES = {
@@ -104,10 +104,6 @@ TO_SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "countries": _plain("countries"),
 }
 
-# Matches are read by season range, so they are laid out by season.
-SILVER_LAYOUT = {"matches": ("league_season",)}
-
-
 def run_bronze(
     spark: SparkSession,
     landed: str,
@@ -136,7 +132,7 @@ def run_silver(
         needed = T._parse_datatype_string(SILVER_SCHEMAS[entity]).names if entity != "standings" else []
         if missing := set(needed) - set(table.columns):
             raise ValueError(f"{entity} lacks {', '.join(sorted(missing))}, which the marts read")
-        rows[entity] = write_table(table, root, entity, SILVER_LAYOUT.get(entity, ()))
+        rows[entity] = write_table(table, root, entity, layout=SILVER_LAYOUT.get(entity))
     return rows
 
 

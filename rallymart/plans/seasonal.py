@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rallymart.plans.parts import season_of
 from rallymart.plans.registry import build
-from rallymart.sources.tables import read_table, table_path, write_table
+from rallymart.sources.tables import SILVER_LAYOUT, Layout, read_table, table_path, write_table
 from rallymart.sources.versions import Files
 
 # Mart -> the column that ends in the season.
@@ -39,16 +39,17 @@ def write_seasons(
     silver: DataFrame, root: str, name: str, seasons: Iterable[int] | None = None
 ) -> None:
     """Write the rows of these seasons, all if none are named, into a table laid out by league_season."""
-    _replace(silver, root, name, "league_season", seasons)
+    _replace(silver, root, name, SILVER_LAYOUT.get(name, Layout(("league_season",))), seasons)
 
 
-def _replace(df: DataFrame, root: str, name: str, column: str, seasons: Iterable[int] | None) -> None:
+def _replace(df: DataFrame, root: str, name: str, layout: Layout, seasons: Iterable[int] | None) -> None:
     spark, path = df.sparkSession, table_path(root, name)
+    (column,) = layout.partition_by
     if seasons is None:
-        write_table(df, root, name, (column,))
+        write_table(df, root, name, layout=layout)
         return
-    rows = df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    rows.partitionBy(column).parquet(path)
+    rows = layout.arranged(df).write.mode("overwrite").options(**layout.options())
+    rows.option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     # A season that has lost all its rows is not written, so its folder is still the old one.
     wanted = [str(s) for s in seasons]
     kept = {str(r[0]) for r in df.select(column).distinct().collect()}
@@ -72,7 +73,7 @@ def refresh_marts(
         tables["matches"] = silver["matches"].filter(F.col("league_season").isin(seasons))
     for name, key in SEASONAL.items():
         mart = build(spark, name, tables)
-        _replace(mart.select("*", season_of(key)), root, name, "season", seasons)
+        _replace(mart.select("*", season_of(key)), root, name, Layout(("season",)), seasons)
 
 
 def stored_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
