@@ -73,6 +73,24 @@ def test_filters_skip_row_groups(matches, stored, scope, part):
     assert len(kept) <= scanned <= part * 24_000
 
 
+@pytest.mark.parametrize("name", ["match_id", "homeTeam_id", "awayTeam_id"])
+def test_lookups_skip_row_groups(spark, matches, stored, name):
+    """An id within the bounds of many row groups that none of them has.
+
+    Columns of few values in a row group have a dictionary, which serves as well as a Bloom filter;
+    Parquet writes the filter where there is none.
+    """
+    def scanned(*without):
+        reader = spark.read.schema(matches.schema)
+        for kind in without:
+            reader = reader.option(f"parquet.filter.{kind}.enabled", "false")
+        table = reader.parquet(tables.table_path(str(stored[0]), "matches"))
+        return _scanned(table.filter(F.col(name) == "123x").select("match_id"))
+
+    assert scanned("bloom", "dictionary")[1] > 1000
+    assert scanned() == ([], 0)
+
+
 def test_row_groups_hold_few_values(stored):
     groups = _row_groups(stored[0])
     assert len(groups) > 40
