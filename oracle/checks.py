@@ -301,6 +301,9 @@ UNION ALL SELECT 'broken', max(stop)::BIGINT, NULL, 'no end' FROM kept""",
         "matches",
     ),
     "seasonal_standings": MART_SQL["fct_national_standings"],
+    "recency_from_sides": MART_SQL["fct_national_matches_melted_by_team"],
+    "team_stats_from_sides": MART_SQL["fct_national_team_stats"],
+    "world_standings_from_sides": MART_SQL["fct_intern_standings"],
     "aggregation_from_parts": MART_SQL["fct_aggregation"],
     "display_places": f"""
 WITH seasons AS ({MART_SQL["dim_season"]}), facts AS ({MART_SQL["fct_national_matches"]}),

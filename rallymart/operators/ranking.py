@@ -68,11 +68,16 @@ def by_group_size(
     """
     if hot is None:
         return work(df, 0)
-    ordinary = join_null_safe(df, _sent(hot.keys, hot.groups), keys, "left_anti")
-    large = join_null_safe(df, _sent(hot.keys, hot.groups), keys, "left_semi")
+    ordinary, large = without_and_with(df, keys, hot)
     return work(ordinary, 0).unionByName(work(large, hot.blocks))
 
 
+def without_and_with(df: DataFrame, keys: list[str], hot: HotGroups) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary groups, and those of hot ones."""
+    sent = _sent(hot.keys, hot.groups)
+    return join_null_safe(df, sent, keys, "left_anti"), join_null_safe(df, sent, keys, "left_semi")
+
+
 def _sent(df: DataFrame, rows: int) -> DataFrame:
     """With a hint to send it to every task, if it is known to be small."""
     return F.broadcast(df) if rows <= MOST_SENT else df

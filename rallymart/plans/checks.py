@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rallymart.functions import rules
 from rallymart.operators import ingest, reshape
 from rallymart.operators.sides import melt_sides, side_name, team_id, team_name, with_gaps
-from rallymart.plans import dims, layers, parts, registry, seasonal, standings
+from rallymart.plans import dims, layers, parts, registry, seasonal, side_table, standings
 from rallymart.sources import landing, tables
 from rallymart.sources.staging import staging_path
 from rallymart.plans.matches import hot_teams, numbered_sides, team_seasons
@@ -564,6 +564,30 @@ def seasonal_standings(views: Views) -> DataFrame:
     return seasonal.stored_mart(spark, folder, "fct_national_standings")
 
 
+def _from_sides(views: Views, name: str) -> DataFrame:
+    """A mart on the sides of all matches, stored in buckets by team beside the team statistics."""
+    sides = side_table.store_sides(views["matches"])
+    given = {**views, "matches": sides}
+    if "team_stats" in registry.inputs_of(name):
+        given["team_stats"] = side_table.beside(sides, views["team_stats"])
+    return registry.build(views["matches"].sparkSession, name, given)
+
+
+def recency_from_sides(views: Views) -> DataFrame:
+    """Recency orders of all teams from stored sides."""
+    return _from_sides(views, "fct_national_matches_melted_by_team")
+
+
+def team_stats_from_sides(views: Views) -> DataFrame:
+    """Statistics of all teams from stored sides."""
+    return _from_sides(views, "fct_national_team_stats")
+
+
+def world_standings_from_sides(views: Views) -> DataFrame:
+    """World standings from stored sides, and from the matches that these give back."""
+    return _from_sides(views, "fct_intern_standings")
+
+
 def display_places(views: Views) -> DataFrame:
     """Rows of four marts with their places in the orders they are shown in."""
     spark = views["matches"].sparkSession

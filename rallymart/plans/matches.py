@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators.ranking import HotGroups, by_group_size, hot_groups, hot_limit, row_numbers
 from rallymart.operators.sides import (
+    StoredSides,
     has_few_sides,
     melt_sides,
     side_name,
@@ -76,42 +79,49 @@ def team_seasons(matches: DataFrame, scope: str) -> DataFrame:
 
 
 def _side_facts(
-    matches: DataFrame, scope: str, tight_name: str, country: tuple[str, ...] = ()
+    matches: DataFrame | StoredSides, scope: str, tight_name: str, country: tuple[str, ...] = ()
 ) -> DataFrame:
     set_scores = {
         f"{short}_set_score": (lambda side, name=name: rules.set_score(name, side))
         for short, name in zip(SIDE_SET_SCORES, rules.SETS)
     }
-    sides = melt_sides(
-        with_gaps(matches.filter(scope)),
-        keep={
-            "match_id": "match_id",
-            "league_id": "league_id",
-            "league_season": "league_season",
-            "match_week": "match_week",
-            **{name: name for name in country},
-            "champ_phase": rules.phase_of("match_week"),
-            "match_date": rules.minute_text("match_date"),
-            "match_status": "description",
-        },
-        per_side={
-            "team_id": team_id,
-            "team_side": side_name,
-            "current_score": rules.current_score,
-            **set_scores,
-            "team_result": rules.result_letter,
-            "sets_won": rules.sets_won,
-            "sets_lost": rules.sets_lost,
-            tight_name: rules.tight_sets_won,
-        },
-    )
+    keep = {
+        "match_id": "match_id",
+        "league_id": "league_id",
+        "league_season": "league_season",
+        "match_week": "match_week",
+        **{name: name for name in country},
+        "champ_phase": rules.phase_of("match_week"),
+        "match_date": rules.minute_text("match_date"),
+        "match_status": "description",
+    }
+    per_side = {
+        "team_id": team_id,
+        "team_side": side_name,
+        "current_score": rules.current_score,
+        **set_scores,
+        "team_result": rules.result_letter,
+        "sets_won": rules.sets_won,
+        "sets_lost": rules.sets_lost,
+        tight_name: rules.tight_sets_won,
+    }
     season = ["team_id", "league_id", "league_season"]
     numbers = {
         "match_order_general": ["team_id"],
         "match_order_champ": season,
         "order_in_phase": [*season, "champ_phase"],
     }
-    ranked = numbered_sides(sides, numbers, hot_teams(matches, scope))
+    if isinstance(matches, StoredSides):
+        parts = [
+            row_numbers(
+                melt_sides(with_gaps(part), keep, per_side), recency_order(), numbers, ["team_id"], blocks
+            )
+            for part, blocks in matches.filter(scope).parts()
+        ]
+        ranked = reduce(DataFrame.unionByName, parts)
+    else:
+        sides = melt_sides(with_gaps(matches.filter(scope)), keep, per_side)
+        ranked = numbered_sides(sides, numbers, hot_teams(matches, scope))
     return ranked.selectExpr(
         "team_id AS Team_id",
         f"{rules.key_of('league_id', 'league_season')} AS league_season_id",
@@ -134,9 +144,9 @@ def _side_facts(
     )
 
 
-def fct_intern_matches_melted_by_team(matches: DataFrame) -> DataFrame:
+def fct_intern_matches_melted_by_team(matches: DataFrame | StoredSides) -> DataFrame:
     return _side_facts(matches, rules.world_scope(), "n_tight_sets")
 
 
-def fct_national_matches_melted_by_team(matches: DataFrame) -> DataFrame:
+def fct_national_matches_melted_by_team(matches: DataFrame | StoredSides) -> DataFrame:
     return _side_facts(matches, rules.domestic_scope(), "n_tight_sets_won", COUNTRY)

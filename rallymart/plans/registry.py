@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rallymart.operators.ranking import with_ordinals
-from rallymart.plans import aggregation, dims, matches, standings, team_stats
+from rallymart.plans import aggregation, dims, matches, side_table, standings, team_stats
 from rallymart.sources.tables import read_table, write_table
 
 SILVER = ("leagues", "matches", "teams", "team_stats", "standings", "countries")
@@ -124,9 +124,20 @@ def run_gold(
     root: str,
     names: Iterable[str] | None = None,
 ) -> dict[str, int]:
-    """Write the marts in dependency order; a mart on marts reads the stored ones."""
-    tables, rows = dict(silver), {}
-    for name in run_order(names):
-        rows[name] = write_table(build(spark, name, tables), root, name)
+    """Write the marts in dependency order; a mart on marts reads the stored ones.
+
+    Matches are read once, to store their sides by team; every mart reads those.
+    """
+    tables, rows, order = dict(silver), {}, run_order(names)
+    of_sides: dict[str, object] = {}
+    if any("matches" in inputs_of(name) for name in order):
+        sides = side_table.store_sides(silver["matches"])
+        tables["matches"], of_sides["matches"] = sides.matches(), sides
+        if any("team_stats" in inputs_of(name) for name in order):
+            of_sides["team_stats"] = side_table.beside(sides, silver["team_stats"])
+    for name in order:
+        given = {**tables, **of_sides} if name in side_table.READERS else tables
+        with side_table.placed_by_team(spark, given.get("matches")):
+            rows[name] = write_table(build(spark, name, given), root, name)
         tables[name] = read_table(spark, root, name)
     return rows

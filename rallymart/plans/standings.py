@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from rallymart.functions import rules
 from rallymart.operators.ranking import by_group_size, group_totals, hot_groups, hot_limit, row_numbers
 from rallymart.operators.sides import (
+    StoredSides,
     has_few_sides,
     melt_sides,
+    of_teams,
     team_id,
     team_name,
     with_gaps,
@@ -86,7 +88,10 @@ FINALS_STAGE = {
 
 
 def _ranked(
-    teams: DataFrame, matches: DataFrame, name: str, rank: Callable[[DataFrame, int], DataFrame]
+    teams: DataFrame,
+    matches: DataFrame | StoredSides,
+    name: str,
+    rank: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
     """The team rows ranked per league-season; where these could outgrow a task, by their sizes."""
     if has_few_sides(matches, hot_limit(matches.sparkSession)):
@@ -110,17 +115,17 @@ def table_order(names: tuple[str, ...] = ()) -> list[Column]:
 # What tells the rows of a team apart that plays one league-season under several names.
 TEAM_NAMES = ("league_id", "league_name", "country_code")
 
-def domestic_teams(matches: DataFrame) -> DataFrame:
+def domestic_teams(matches: DataFrame | StoredSides) -> DataFrame:
     """Group-stage and series totals per team, league-season and league and country name."""
     league = ("league_id", "league_name", "country_code", "league_season")
-    sides = standing_sides(matches.filter(rules.country_scope()), league)
     series = {f"own_{name}": text for name, text in FINALS_STAGE.items()}
     totals = {**GROUP_STAGE, **series, "side_rows": "count(1)"}
-    return (
-        sides.groupBy("team_id", *league, SEASON)
-        .agg(*_aggregates(totals))
-        .withColumn("set_ratio", F.expr(rules.ratio("sets_won", "sets_lost")))
-    )
+
+    def per_team(part: DataFrame) -> DataFrame:
+        sides = standing_sides(part.filter(rules.country_scope()), league)
+        return sides.groupBy("team_id", *league, SEASON).agg(*_aggregates(totals))
+
+    return of_teams(matches, per_team).withColumn("set_ratio", F.expr(rules.ratio("sets_won", "sets_lost")))
 
 
 def _series_order(name: str) -> list[Column]:
@@ -180,11 +185,11 @@ def rank_domestic(teams: DataFrame, blocks: int) -> DataFrame:
     return row_numbers(teams, order, {"final_rank": [SEASON]}, [SEASON], blocks)
 
 
-def ranked_domestic(matches: DataFrame) -> DataFrame:
+def ranked_domestic(matches: DataFrame | StoredSides) -> DataFrame:
     return _ranked(domestic_teams(matches), matches, "domestic-teams", rank_domestic)
 
 
-def fct_national_standings(matches: DataFrame) -> DataFrame:
+def fct_national_standings(matches: DataFrame | StoredSides) -> DataFrame:
     return ranked_domestic(matches).selectExpr(
         f"{SEASON} AS League_season_id",
         "league_id",
@@ -209,7 +214,7 @@ def fct_national_standings(matches: DataFrame) -> DataFrame:
 # --- world competitions -----------------------------------------------------------------
 
 
-def world_teams(matches: DataFrame) -> DataFrame:
+def world_teams(matches: DataFrame | StoredSides) -> DataFrame:
     """Group-stage totals and medal counts per team and edition."""
     totals = {
         **GROUP_STAGE,
@@ -220,12 +225,12 @@ def world_teams(matches: DataFrame) -> DataFrame:
         "bronzes_lost": "count_if(for_bronze AND has_won = 0)",
         "quarter_games": "count_if(quarter)",
     }
-    return (
-        standing_sides(matches.filter(rules.world_scope()))
-        .groupBy(SEASON, "team_id")
-        .agg(*_aggregates(totals))
-        .withColumn("set_ratio", F.expr(rules.ratio("sets_won", "sets_lost")))
-    )
+
+    def per_team(part: DataFrame) -> DataFrame:
+        sides = standing_sides(part.filter(rules.world_scope()))
+        return sides.groupBy(SEASON, "team_id").agg(*_aggregates(totals))
+
+    return of_teams(matches, per_team).withColumn("set_ratio", F.expr(rules.ratio("sets_won", "sets_lost")))
 
 
 # 1 gold to 7, on the columns of `rank_world`. The top half of n teams is the integer half.
@@ -250,7 +255,7 @@ def rank_world(teams: DataFrame, blocks: int) -> DataFrame:
     return teams.withColumn("strength_level", F.expr(MEDAL_LEVEL))
 
 
-def ranked_world(matches: DataFrame) -> DataFrame:
+def ranked_world(matches: DataFrame | StoredSides) -> DataFrame:
     return _ranked(world_teams(matches), matches, "world-teams", rank_world)
 
 
@@ -299,8 +304,10 @@ def expected_entries(teams: DataFrame, tournaments: DataFrame) -> DataFrame:
     return spread.join(repeated, ["naipe", "slot"]).select("team_id", SEASON)
 
 
-def fct_intern_standings(matches: DataFrame, countries: DataFrame) -> DataFrame:
+def fct_intern_standings(matches: DataFrame | StoredSides, countries: DataFrame) -> DataFrame:
     ranked = ranked_world(matches)
+    if isinstance(matches, StoredSides):
+        matches = matches.matches()
     entries = expected_entries(eligible_teams(matches, countries), editions(matches))
     level = "coalesce(strength_level, 8L)"
     return entries.join(ranked, ["team_id", SEASON], "left").selectExpr(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.sides import melt_sides, team_id, with_gaps
+from rallymart.operators.sides import StoredSides, melt_sides, of_teams, team_id, with_gaps
 
 # Stage counted by exact name -> output column.
 STAGE_COLUMNS = {
@@ -51,15 +51,13 @@ def _team_sides(matches: DataFrame) -> DataFrame:
 
 
 def _team_stats(
-    in_scope: DataFrame, leagues: DataFrame, team_stats: DataFrame, scope_join: str
+    in_scope: DataFrame | StoredSides, leagues: DataFrame, team_stats: DataFrame, scope_join: str
 ) -> DataFrame:
     if scope_join not in ("inner", "semi"):
         raise ValueError(f"scope_join is inner or semi, not {scope_join!r}")
-    per_league = (
-        _team_sides(in_scope)
-        .groupBy("league_id", "team_id", "league_season")
-        .agg(*[F.expr(f"sum({text}) AS {name}") for name, text in SIDE_COUNTS.items()])
-    )
+    counts = [F.expr(f"sum({text}) AS {name}") for name, text in SIDE_COUNTS.items()]
+    key = ("league_id", "team_id", "league_season")
+    per_league = of_teams(in_scope, lambda matches: _team_sides(matches).groupBy(*key).agg(*counts))
     # A match meets every catalogue row of its league. Multiplying sums by the number of
     # rows gives the same counts without repeating the matches.
     times = "count(1)" if scope_join == "inner" else "1L"
@@ -86,7 +84,7 @@ def _team_stats(
 
 
 def fct_intern_team_stats(
-    matches: DataFrame, leagues: DataFrame, team_stats: DataFrame, scope_join: str = "inner"
+    matches: DataFrame | StoredSides, leagues: DataFrame, team_stats: DataFrame, scope_join: str = "inner"
 ) -> DataFrame:
     """World-competition counts beside every row of `team_stats`.
 
@@ -97,7 +95,7 @@ def fct_intern_team_stats(
 
 
 def fct_national_team_stats(
-    matches: DataFrame, leagues: DataFrame, team_stats: DataFrame, scope_join: str = "inner"
+    matches: DataFrame | StoredSides, leagues: DataFrame, team_stats: DataFrame, scope_join: str = "inner"
 ) -> DataFrame:
     """As above, with the scope tested on the country of the catalogue row."""
     domestic = leagues.filter(rules.real_country("country_name"))
