@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rallymart.functions import rules
 from rallymart.operators.ranking import with_ordinals
-from rallymart.plans.aggregation import MEAN
+from rallymart.plans.aggregation import mean_of
 from rallymart.sources.staging import stage
 from rallymart.sources.tables import table_path
 from rallymart.sources.versions import Files
@@ -122,21 +122,16 @@ def merged_parts(spark: SparkSession, root: str) -> DataFrame:
         F.expr("sum(part_rows) AS part_rows"),
     )
 
-    def mean(kind: str) -> str:
-        return MEAN.replace("sum(part_total)", f"sum(part_total) FILTER (WHERE kind = '{kind}')").replace(
-            "sum(part_rows)", f"sum(part_rows) FILTER (WHERE kind = '{kind}')"
-        )
-
     # What has no country or category meets nothing of the other facts.
     met = " AND ".join(f"{k} IS NOT NULL" for k in KEY)
     return (
         merged.groupBy(*KEY)
         .agg(
             F.expr("count_if(kind = 'club') AS club_rows"),
-            F.expr(f"{mean('strength')} AS strength"),
+            F.expr(f"{mean_of('strength')} AS strength"),
             F.expr("sum(seen) FILTER (WHERE kind = 'league') AS qtd_national_leagues"),
             F.expr("sum(seen) FILTER (WHERE kind = 'club') AS qtd_clubs"),
-            F.expr(f"{mean('tight')} AS tight"),
+            F.expr(f"{mean_of('tight')} AS tight"),
         )
         .filter("club_rows > 0")
         .selectExpr(

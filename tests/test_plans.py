@@ -12,7 +12,9 @@ import __spark_entry__ as entry
 from compare import differences, duck
 from rallymart.functions import rules
 from rallymart.plans.matches import hot_teams, team_seasons
-from rallymart.sources import derived
+from rallymart.plans.registry import build, inputs_of
+from rallymart.sources import derived, staging
+from rallymart.sources.tables import read_table, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -57,6 +59,16 @@ def test_number_of_shuffles(spark, name, exchanges):
     assert plan.count("Exchange hashpartitioning") == exchanges
 
 
+def test_aggregation_reads_each_mart_once(spark, tmp_path):
+    views, marts = derived.stored_views(spark, SF_DIR), {}
+    for name in inputs_of("fct_aggregation"):
+        write_table(build(spark, name, views), str(tmp_path), name)
+        marts[name] = read_table(spark, str(tmp_path), name)
+    before = list(staging._staged)
+    plan = plan_of(build(spark, "fct_aggregation", marts))
+    assert plan.count("FileScan") == 6 and staging._staged == before
+
+
 @pytest.mark.parametrize("name", ["dim_leagues", "dim_teams"])
 def test_text_maxima_sort_distinct_rows_only(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))

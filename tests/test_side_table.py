@@ -30,7 +30,7 @@ def views(spark):
 HOT = ("fct_national_matches_melted_by_team", "fct_national_team_stats", "fct_intern_standings")
 
 
-@pytest.mark.parametrize("name, limit", [*[(n, None) for n in side_table.READERS], *[(n, 60) for n in HOT]])
+@pytest.mark.parametrize("name, limit", [*[(n, None) for n in side_table.READERS], *[(n, 15) for n in HOT]])
 def test_same_rows(spark, views, hot_limit, name, limit):
     whole = rows(build(spark, name, views))
     if limit:
