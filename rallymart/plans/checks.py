@@ -519,18 +519,32 @@ def ledger_loads(views: Views) -> DataFrame:
     )
 
 
+def _placed(documents: DataFrame, block: int = 1000) -> DataFrame:
+    """The pages with their offsets, from the sizes of the pages and of blocks of them before."""
+    pages = _pages(documents)
+    sizes = documents.groupBy(F.expr("CAST(id AS BIGINT) DIV 400").alias("page")).count()
+    sizes = sizes.withColumn("block", F.expr(f"page DIV {block}"))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sizes.groupBy("block").agg(F.sum("count").alias("size"))
+    before = blocks.select("block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy("block").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.col("before") + F.coalesce(F.sum("count").over(within), F.lit(0))
+    return pages.join(sizes.join(before, "block").select("page", offset.alias("offset")), "page")
+
+
 def page_faults(views: Views) -> DataFrame:
     """Faults of two requests over the matches: one whole, one without some pages and without an end."""
-    pages = _pages(match_documents(views)).select("page", F.transform("data", lambda d: d["id"]).alias("data"))
-    so_far = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    placed = pages.withColumn("offset", F.coalesce(F.sum(F.size("data")).over(so_far), F.lit(0)))
-    end = placed.agg(F.max(F.col("offset") + F.size("data")).alias("offset"))
+    documents = match_documents(views).select("id")
+    placed = _placed(documents).withColumn("data", F.transform("data", lambda d: d["id"]))
+    end = documents.agg(F.count("*").alias("offset"))
     ended = end.select("offset", F.array().cast("array<string>").alias("data"))
     whole = placed.select("offset", "data").unionByName(ended).withColumn("request", F.lit("whole"))
     broken = placed.filter("page % 5 <> 2").select("offset", "data").withColumn("request", F.lit("broken"))
-    folder = staging_path(pages.sparkSession, "page-faults")
-    _write_pages(whole.unionByName(broken), folder)
-    return landing.page_faults(pages.sparkSession, folder, ("request",))
+    folder = staging_path(documents.sparkSession, "page-faults")
+    # Many files of little data: not as few tasks as the data alone would ask for.
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _write_pages(whole.unionByName(broken).repartition(tasks, "offset"), folder)
+    return landing.page_faults(documents.sparkSession, folder, ("request",))
 
 
 def aggregation_from_parts(views: Views) -> DataFrame:

@@ -21,6 +21,8 @@ ENTITIES = ("leagues", "matches", "teams", "team_stats", "standings", "countries
 BUCKETS_SETTING = "spark.rallymart.landedBuckets"
 BUCKETS_DEFAULT = 32
 _BUCKET = "_landed_bucket"
+# A character that JSON text holds only escaped.
+_IN_NO_JSON = "\0"
 
 
 def read_landed(
@@ -205,6 +207,18 @@ def upsert_landed(
 LEDGER = "path string, length bigint, modificationTime timestamp, entity string"
 
 
+def _page_files(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Many small files that hold one JSON text each.
+
+    Spark infers the schema of such files in few tasks, one file after the other. Taken for lines that
+    end where no JSON text can, they are spread over tasks as all files are, and give the same schema.
+    """
+    reader = spark.read.option("mode", "FAILFAST")
+    if schema is None:
+        schema = reader.option("lineSep", _IN_NO_JSON).json(paths).schema
+    return spark.read.option("mode", "FAILFAST").option("multiLine", True).schema(schema).json(paths)
+
+
 def new_files(spark: SparkSession, folder: str, root: str, entity: str) -> DataFrame:
     """path, length and modificationTime of the files that no load of the entity has noted.
 
@@ -258,11 +272,8 @@ def page_faults(
     apart. Faults are `missing`, `repeated` (a page that begins before the end of another one) and
     `no end`; found is NULL there.
     """
-    sizes = (
-        spark.read.option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .json(folder)
-        .select(*of, F.col(offset).cast("bigint").alias("found"), F.coalesce(F.size(field), F.lit(0)).alias("size"))
+    sizes = _page_files(spark, folder).select(
+        *of, F.col(offset).cast("bigint").alias("found"), F.coalesce(F.size(field), F.lit(0)).alias("size")
     )
     so_far = Window.partitionBy(*of or [F.lit(0)]).orderBy("found", "size")
     whole = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -297,11 +308,8 @@ def read_pages(
         faults = page_faults(spark, folder, of, field).limit(5).collect()
         if faults:
             raise ValueError(f"page files do not join: {', '.join(str(f.asDict()) for f in faults)}")
-    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
-    if schema is not None:
-        reader = reader.schema(T.StructType([T.StructField(field, T.ArrayType(schema))]))
-    pages = reader.json(folder)
-    return pages.select(
+    page = None if schema is None else T.StructType([T.StructField(field, T.ArrayType(schema))])
+    return _page_files(spark, folder, page).select(
         F.col("_metadata.file_path").alias("_page"),
         F.posexplode(F.col(field)).alias("_place", "_document"),
     ).select("_page", "_place", "_document.*")

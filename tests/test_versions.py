@@ -7,8 +7,8 @@ import os
 
 import pytest
 
-from rallymart.plans import layers, registry
-from rallymart.sources import landing, tables, versions
+from rallymart.plans import checks, layers, registry
+from rallymart.sources import derived, landing, tables, versions
 
 BUCKETS = landing.BUCKETS_SETTING
 
@@ -186,6 +186,42 @@ def test_pages_must_join(spark, tmp_path):
     assert faults() == [(2, 1, "repeated")]
 
 
+def test_the_schema_of_many_pages_is_inferred_by_many_tasks(spark, tmp_path):
+    for i in range(70):
+        _page(tmp_path, f"{i}.json", i, [str(i)])
+    (tmp_path / "lines.json").write_text('\n{"offset": 70,\n "data": [{"id": "x",\n "name": null, "rank": 1.5}]}\n')
+    (tmp_path / "empty.json").write_text("")
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    for number, build in enumerate((landing.read_pages, landing.page_faults)):
+        context.setJobGroup(f"pages-{number}", "")
+        found = build(spark, str(tmp_path))
+        jobs = tracker.getJobIdsForGroup(f"pages-{number}")
+        stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+        assert tracker.getStageInfo(max(stages)).numTasks > 1
+        assert found.count() == (71, 1)[number]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert landing.read_pages(spark, str(tmp_path)).schema["rank"].dataType.typeName() == "double"
+    (tmp_path / "broken.json").write_text('{"data": [')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        landing.read_pages(spark, str(tmp_path)).collect()
+
+
+def test_offsets_of_pages(spark):
+    ids = [i for i in range(0, 12_000, 7) if i // 400 % 6 != 2]
+    found = checks._placed(spark.createDataFrame([(str(i),) for i in ids], "id string"), 4).collect()
+    assert {r.page: r.offset for r in found} == {i // 400: sum(j // 400 < i // 400 for j in ids) for i in ids}
+    assert all(len(r.data) == sum(i // 400 == r.page for i in ids) for r in found)
+
+
+def test_pages_of_little_data_are_written_by_many_tasks(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(checks, "_write_pages", lambda pages, folder: written.append(pages) or stop())
+    matches = derived.stored_views(spark, "/root/testdata/sf0.001")
+    with pytest.raises(Stopped):
+        checks.page_faults(matches)
+    assert "REPARTITION_BY_NUM" in written[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_export_in_display_order(spark, tmp_path):
     gold = spark.createDataFrame([("b", 1), ("a", 2), (None, 3)], "Match_id string, n int")
     tables.write_table(gold, f"{tmp_path}/gold", "fct_national_matches")
