@@ -24,6 +24,7 @@ from rallymart.sources.staging import stage
 HOT_ROWS_SETTING = "spark.rallymart.hotGroupRows"
 HOT_ROWS_DEFAULT = 5_000_000
 MOST_BLOCKS = 20_000  # blocks only grow beyond this
+PARTITION_ROWS = 500_000  # of ordinary groups in one task, near enough
 MOST_SENT = 100_000  # rows of keys or offsets that are sent to every task
 
 _BLOCK = "_block"
@@ -83,6 +84,18 @@ def _sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MOST_SENT else df
 
 
+def spread(df: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """The rows by keys, in partitions that fit a task's sorts where `most` rows would need several.
+
+    Spark joins small partitions by their bytes in the shuffle. Rows that repeat few values are much
+    larger in a sort, and windows of several orders hold two sorts at a time.
+    """
+    if most <= PARTITION_ROWS:
+        return df
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(max(least, math.ceil(most / PARTITION_ROWS)), MOST_BLOCKS), *keys)
+
+
 def row_numbers(
     df: DataFrame,
     order: list[Column],

@@ -233,7 +233,7 @@ def win_recency(views: Views) -> DataFrame:
         "order_general": ["team_id"],
         "order_season": ["team_id", "league_id", "league_season"],
     }
-    ranked = numbered_sides(sides, numbers, hot_teams(views["matches"]))
+    ranked = numbered_sides(sides, numbers, hot_teams(views["matches"]), 2 * views["matches"].count())
     return ranked.select("team_id", "match_id", "team_side", *numbers)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rallymart.functions import rules
-from rallymart.operators.ranking import HotGroups, by_group_size, hot_groups, hot_limit, row_numbers
+from rallymart.operators.ranking import HotGroups, by_group_size, hot_groups, hot_limit, row_numbers, spread
 from rallymart.operators.sides import (
     StoredSides,
     has_few_sides,
@@ -63,9 +63,16 @@ def hot_teams(matches: DataFrame, scope: str = "true") -> HotGroups | None:
     return hot_groups(melt_sides(matches.filter(scope), {}, {"team_id": team_id}), ["team_id"])
 
 
-def numbered_sides(sides: DataFrame, numbers: dict[str, list[str]], hot: HotGroups | None) -> DataFrame:
-    """Recency orders of the sides of each team, and within what else `numbers` names."""
+def numbered_sides(
+    sides: DataFrame, numbers: dict[str, list[str]], hot: HotGroups | None, most: int = 0
+) -> DataFrame:
+    """Recency orders of the sides of each team, and within what else `numbers` names.
+
+    `most` is what the sides are at most; with it they lie in enough partitions for the sorts.
+    """
     def work(rows: DataFrame, blocks: int) -> DataFrame:
+        if not blocks:
+            rows = spread(rows, ["team_id"], most)
         return row_numbers(rows, recency_order(), numbers, ["team_id"], blocks)
 
     return by_group_size(sides, ["team_id"], hot, work)
@@ -121,7 +128,7 @@ def _side_facts(
         ranked = reduce(DataFrame.unionByName, parts)
     else:
         sides = melt_sides(with_gaps(matches.filter(scope)), keep, per_side)
-        ranked = numbered_sides(sides, numbers, hot_teams(matches, scope))
+        ranked = numbered_sides(sides, numbers, hot_teams(matches, scope), 2 * matches.count())
     return ranked.selectExpr(
         "team_id AS Team_id",
         f"{rules.key_of('league_id', 'league_season')} AS league_season_id",

@@ -11,6 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import differences, duck
 from rallymart.functions import rules
+from rallymart.operators import ranking
 from rallymart.plans.matches import hot_teams, team_seasons
 from rallymart.plans.registry import build, inputs_of
 from rallymart.sources import derived, staging
@@ -91,6 +92,15 @@ def test_results_hold_without_broadcasts(spark, name):
         spark.conf.unset(setting)
 
 
+@pytest.mark.parametrize("name", ["fct_national_matches_melted_by_team", "win_recency"])
+def test_many_sides_lie_in_many_partitions(spark, monkeypatch, name):
+    monkeypatch.setattr(ranking, "PARTITION_ROWS", 100)
+    result = entry.queries()[name](spark, SF_DIR)
+    plan = plan_of(result)
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert differences(result, duck(SF_DIR), entry.oracle_sql()[name]) is None
+
+
 @pytest.mark.parametrize("name", ["fct_national_matches_melted_by_team", "fct_intern_matches_melted_by_team"])
 def test_hot_teams_move_once(spark, hot_limit, name):
     """Without broadcasts by size: one exchange of all sides and one of those of hot teams."""
