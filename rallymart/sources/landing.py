@@ -21,6 +21,8 @@ ENTITIES = ("leagues", "matches", "teams", "team_stats", "standings", "countries
 BUCKETS_SETTING = "spark.rallymart.landedBuckets"
 BUCKETS_DEFAULT = 32
 _BUCKET = "_landed_bucket"
+# Lines that repeat every name are some ten times their size without compression.
+_WRITTEN = {"ignoreNullFields": False, "compression": "gzip"}
 # A character that JSON text holds only escaped.
 _IN_NO_JSON = "\0"
 
@@ -124,11 +126,11 @@ def _write_version(
     path = f"{base}/{version}"
     if keys:
         dealt = df.withColumn(_BUCKET, _bucket(keys, buckets)).hint("rebalance", _BUCKET)
-        dealt.write.option("ignoreNullFields", False).partitionBy(_BUCKET).json(path)
+        dealt.write.options(**_WRITTEN).partitionBy(_BUCKET).json(path)
         names = [n for n in Files(spark, base).names(path) if n.startswith(f"{_BUCKET}=")]
         written = {n.split("=")[1]: f"{version}/{n}" for n in names}
     else:
-        df.write.option("ignoreNullFields", False).json(path)
+        df.write.options(**_WRITTEN).json(path)
         written = {"": version}
     commit = Commit(
         begun.number + 1, False, keys, buckets, _noted_schema(df.schema),

@@ -206,6 +206,16 @@ def test_the_schema_of_many_pages_is_inferred_by_many_tasks(spark, tmp_path):
         landing.read_pages(spark, str(tmp_path)).collect()
 
 
+def test_versions_are_compressed(spark, folder, tmp_path):
+    rows = spark.range(5000).selectExpr("CAST(id AS STRING) AS id", "'one and the same name' AS name")
+    landing.write_landed(rows, folder, "teams")
+    landing.upsert_landed(spark, folder, "teams", rows.where("id < 50").selectExpr("id", "'new' AS name"))
+    files = [f for f in (tmp_path / ".teams.versions").rglob("part-*")]
+    assert sum(f.stat().st_size for f in files) < 5000 * len('{"id":"1000","name":"one and the same name"}') / 2
+    found = names(spark, folder)
+    assert len(found) == 5000 and found["49"] == "new" and found["50"] == "one and the same name"
+
+
 def test_offsets_of_pages(spark):
     ids = [i for i in range(0, 12_000, 7) if i // 400 % 6 != 2]
     found = checks._placed(spark.createDataFrame([(str(i),) for i in ids], "id string"), 4).collect()
