@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 from rallymart.operators.ingest import UPSERT_KEYS, upsert
 from rallymart.operators.reshape import column
 from rallymart.sources import versions
+from rallymart.sources.staging import stage
 from rallymart.sources.tables import table_path
 from rallymart.sources.versions import Commit, Files
 
@@ -206,6 +209,8 @@ def upsert_landed(
 
 # --- page files -------------------------------------------------------------------------
 
+# Files that are listed one by one without a job.
+FEW_PATHS = 32
 LEDGER = "path string, length bigint, modificationTime timestamp, entity string"
 
 
@@ -235,6 +240,22 @@ def new_files(spark: SparkSession, folder: str, root: str, entity: str) -> DataF
     return listed.join(done, ["path", "length", "modificationTime"], "left_anti")
 
 
+def _in_folders(spark: SparkSession, pages: str, paths: list[str]) -> list[str]:
+    """Folders in place of their files, where all of a folder is asked for.
+
+    Spark lists a folder at once, but many single files by jobs with a task for each. A file that
+    lands in such a folder meanwhile is merged by this load, and again by the next one.
+    """
+    if len(paths) <= FEW_PATHS:
+        return paths
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pages)
+    listed = files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).count().collect()
+    above = {"/".join(r.folder.split("/")[:i]) for r in listed for i in range(1, r.folder.count("/") + 1)}
+    asked = Counter(p.rsplit("/", 1)[0] for p in paths)
+    whole = {r.folder for r in listed if r.folder not in above and asked[r.folder] == r["count"]}
+    return sorted(whole) + [p for p in paths if p.rsplit("/", 1)[0] not in whole]
+
+
 def load_new_pages(
     spark: SparkSession,
     pages: str,
@@ -253,7 +274,8 @@ def load_new_pages(
     found = new_files(spark, pages, root, entity).collect()
     if not found:
         return 0
-    documents = read_pages(spark, [f.path for f in found], schema)
+    # A merge reads its load more than once.
+    documents = stage(read_pages(spark, _in_folders(spark, pages, [f.path for f in found]), schema), "new-pages")
     upsert_landed(spark, folder, entity, documents, load_order)
     _note_files(spark, root, [(*f, entity) for f in found])
     return len(found)

@@ -206,6 +206,45 @@ def test_the_schema_of_many_pages_is_inferred_by_many_tasks(spark, tmp_path):
         landing.read_pages(spark, str(tmp_path)).collect()
 
 
+def test_a_load_reads_its_pages_once(spark, folder, tmp_path, monkeypatch):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    _page(pages, "a.json", 0, ["1", "2"])
+    read, upsert = [], landing.upsert_landed
+
+    def noted(spark, folder, entity, new, *rest):
+        read.extend(new.inputFiles())
+        upsert(spark, folder, entity, new, *rest)
+
+    monkeypatch.setattr(landing, "upsert_landed", noted)
+    assert landing.load_new_pages(spark, str(pages), folder, "teams", f"{folder}/lake") == 1
+    assert read and all(f.endswith(".parquet") for f in read)
+    assert set(names(spark, folder)) == {"1", "2"}
+
+
+def test_new_pages_of_whole_folders_are_read_as_folders(spark, folder, tmp_path, monkeypatch):
+    pages, asked, read = tmp_path / "pages", [], landing.read_pages
+    for number in range(3):
+        (pages / str(number) / "more").mkdir(parents=True)
+    monkeypatch.setattr(landing, "FEW_PATHS", 2)
+    monkeypatch.setattr(landing, "read_pages", lambda s, paths, *a: asked.append(paths) or read(s, paths, *a))
+
+    def load():
+        return landing.load_new_pages(spark, str(pages), folder, "teams", f"{folder}/lake")
+
+    _page(pages / "0", "old.json", 0, ["0"])
+    assert load() == 1
+    for name in ("a.json", "b.json"):
+        _page(pages / "0", name, 0, [f"0{name}"])  # beside one that is not new
+        _page(pages / "1", name, 0, [f"1{name}"])
+        _page(pages / "2", name, 0, [f"2{name}"])
+    _page(pages / "2" / "more", "c.json", 0, ["2c"])  # a folder within a folder
+    assert [load(), load()] == [7, 0]
+    made = sorted(p.split("/pages/")[1] for p in asked[1])
+    assert made == ["0/a.json", "0/b.json", "1", "2/a.json", "2/b.json", "2/more"]
+    assert set(names(spark, folder)) == {"0", "2c", *(f"{i}{n}.json" for i in range(3) for n in "ab")}
+
+
 def test_versions_are_compressed(spark, folder, tmp_path):
     rows = spark.range(5000).selectExpr("CAST(id AS STRING) AS id", "'one and the same name' AS name")
     landing.write_landed(rows, folder, "teams")
