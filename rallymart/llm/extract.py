@@ -1,12 +1,20 @@
 """Main text of web pages, by markup and by suffix arrays over the pages of a host.
 
 A page is cut into blocks, each in one of three zones: the marked article, page furniture (menus,
-forms, adverts and so on, by tag, role, class or id), or neither. What the article holds is text,
-also where another page quotes it, and furniture goes. The token streams beside the articles are
-joined, and suffix arrays find the token runs that several pages of the host share. A single class
-word drops a part of an article only if the host repeats it, and an article may be in a form or a
-named wrapper. On a page that does not mark its article, the runs shared with other pages go as
-well, and the unique runs are its text.
+forms, adverts and so on, by tag, role, class or id), or neither. Suffix arrays over all pages find
+the token runs that pages of a host share, beside the articles and within them, and every page is
+judged by these:
+
+- Beside the articles the token streams are joined. A single class word drops a part of an article
+  only if the host repeats it, and an article may be in a form or a named wrapper. On a page that
+  does not mark its article, the runs shared with other pages go, and the unique runs are its text.
+- A block of an article that more than half of the host's articles repeat is a notice without a
+  mark and goes, unless such blocks are half of the article or more: then the pages are versions of
+  one text. What fewer articles share, as a quotation or a licence, is text. These arrays are
+  sparse: they hold the suffixes at every `RUN` tokens of a block and the last whole one, as a block
+  that is repeated repeats these.
+
+The zones are the check that follows: furniture goes, repeated or not.
 
 A host may have any number of pages: each task builds arrays over the pages it holds and says of
 every run how many of them have it; these counts are added up for the whole host. A run has `RUN`
@@ -17,6 +25,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +42,8 @@ OTHER, ARTICLE, FURNITURE = 0, 1, 2
 NAMED, WRAPPER = 3, 4
 #: Tokens of a run (a power of two), and pages that share it from which it counts.
 RUN, SHARED_BY = 8, 3
+#: Articles of a host from which a block that most of them repeat counts as a notice.
+NOTICE_ON = 10
 #: Tokens that one suffix array covers, but for a page that alone has more. Only a matter of memory.
 ARRAY_TOKENS = 2**19
 
@@ -170,22 +182,45 @@ def suffix_ranks(tokens: np.ndarray, length: int = RUN) -> np.ndarray:
     return ranks
 
 
-def run_names(tokens: list[str], host: str, known: dict[str, int]) -> np.ndarray:
-    """A 64-bit name of the run that starts at each token but the last ones, for this host.
+def sparse_ranks(tokens: np.ndarray, starts: np.ndarray, length: int = RUN) -> np.ndarray:
+    """`suffix_ranks` of the suffixes at `starts` alone, by those ranks that they are made of."""
+    ranks = tokens[starts[:, None] + np.arange(length)]
+    while ranks.shape[1] > 1:
+        pairs = ranks[:, ::2] * (ranks.max(initial=0) + 1) + ranks[:, 1::2]
+        ranks = np.unique(pairs, return_inverse=True)[1].reshape(pairs.shape).astype("int64")
+    return ranks[:, 0]
 
-    Names double in length as ranks do. `known` remembers the hashes of tokens.
-    """
-    found = np.array([known.get(t) or known.setdefault(t, xxhash.xxh3_64_intdigest(t)) for t in tokens], "uint64")
+
+def _run_hashes(found: np.ndarray) -> np.ndarray:
+    """A hash of the run that starts at each token but the last ones; they double in length as ranks do."""
     step, factor = 1, np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
         while step < RUN:
             found = found[:-step] * factor + found[step:]
             factor *= factor
             step *= 2
-        found = (found ^ np.uint64(xxhash.xxh3_64_intdigest(host))) * np.uint64(0xD6E8FEB86659FD93)
+    return found
+
+
+def _named(hashes: np.ndarray, hosts: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        found = (hashes ^ hosts) * np.uint64(0xD6E8FEB86659FD93)
     return (found ^ found >> np.uint64(32)).view("int64")
 
 
+def _hashed(words: Iterable[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], "uint64")
+
+
+def run_names(tokens: list[str], host: str, known: dict[str, int]) -> np.ndarray:
+    """A 64-bit name of the run that starts at each token but the last ones, for this host.
+
+    `known` remembers the hashes of tokens.
+    """
+    found = np.array([known.get(t) or known.setdefault(t, xxhash.xxh3_64_intdigest(t)) for t in tokens], "uint64")
+    return _named(_run_hashes(found), _hashed([host]))
+
+
 def streams(blocks: list[str], zones: list[int]) -> list[tuple[list[str], list[int]]]:
     """The tokens between articles, with the number of the block of each."""
     made: list[tuple[list[str], list[int]]] = [([], [])]
@@ -199,48 +234,115 @@ def streams(blocks: list[str], zones: list[int]) -> list[tuple[list[str], list[i
     return [m for m in made if m[0]]
 
 
-def counted_runs(pages: list[tuple[str, list[list[str]]]]) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of some pages, each a host and its streams, and how many of these pages have each.
+def article_blocks(blocks: list[str], zones: list[int]) -> list[tuple[list[str], int]]:
+    """The tokens of each block of an article that has a run, with the number of the block."""
+    found = ((block.split(" "), n) for n, (block, z) in enumerate(zip(blocks, zones, strict=True)) if z == ARTICLE)
+    return [(tokens, number) for tokens, number in found if len(tokens) >= RUN]
+
+
+def article_space(host: str) -> str:
+    """What runs of a host's articles are named by: no host, as these hold no slash."""
+    return "/" + host
+
 
-    One suffix array over all streams, with a token of its own after each. Suffixes of equal rank
-    and host are one run; within it the pages lie in order, as the sort is stable.
+def run_starts(sizes: np.ndarray, sparse: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Where streams of these sizes, one after another, have runs, and the number of the stream of each.
+
+    A sparse array has those at every `RUN` tokens of a stream, and its last one.
     """
-    numbers: dict[str, int] = {}
+    every = RUN if sparse else 1
+    count = -(-(sizes - RUN) // every) + 1
+    number = np.repeat(np.arange(len(sizes)), count)
+    place = np.arange(len(number)) - np.repeat(np.cumsum(count) - count, count)
+    return (np.cumsum(sizes) - sizes)[number] + np.minimum(place * every, (sizes - RUN)[number]), number
+
+
+def sparse_starts(tokens: int) -> np.ndarray:
+    """The starts of a single stream in a sparse array."""
+    return run_starts(np.array([tokens]), sparse=True)[0]
+
+
+@dataclass
+class Runs:
+    """The runs of some pages: start, name, number of the page and of the host of each."""
+
+    tokens: np.ndarray
+    starts: np.ndarray
+    names: np.ndarray
+    page: np.ndarray
+    host: np.ndarray
+
+
+def runs_of(pages: list[tuple[str, list[list[str]]]], sparse: bool = False) -> Runs:
+    """The runs in the streams of some pages, each a host and its streams, in page order."""
     hosts: dict[str, int] = {}
-    known: dict[str, int] = {}
-    joined, names, whole, owner, home, ends = [], [], [], [], [], 0
-    for page, (host, parts) in enumerate(pages):
-        host_number = hosts.setdefault(host, len(hosts))
-        for tokens in parts:
-            if len(tokens) < RUN:
-                continue
-            ends += 1
-            joined.append(np.array([*(numbers.setdefault(t, len(numbers)) for t in tokens), -ends], "int64"))
-            size, starts = len(joined[-1]), len(tokens) - RUN + 1
-            names.append(np.append(run_names(tokens, host, known), np.zeros(size - starts, "int64")))
-            whole.append(np.arange(size) < starts)
-            owner.append(np.full(size, page))
-            home.append(np.full(size, host_number))
-    if not joined:
-        return np.zeros(0, "int64"), np.zeros(0, "int32")
-    ranks = suffix_ranks(np.concatenate(joined)) * len(hosts) + np.concatenate(home)
-    starts = np.flatnonzero(np.concatenate(whole))
-    array = starts[np.argsort(ranks[starts], kind="stable")]
-    by_rank, by_page = ranks[array], np.concatenate(owner)[array]
+    parts = [
+        (page, hosts.setdefault(host, len(hosts)), tokens)
+        for page, (host, streams) in enumerate(pages)
+        for tokens in streams
+        if len(tokens) >= RUN
+    ]
+    if not parts:
+        return Runs(*(np.zeros(0, "int64") for _ in range(5)))
+    page, home, streams = zip(*parts, strict=True)
+    words = pa.array([t for tokens in streams for t in tokens], "string").dictionary_encode()
+    tokens = words.indices.to_numpy().astype("int64")
+    starts, number = run_starts(np.array([len(t) for t in streams]), sparse)
+    home = np.array(home)[number]
+    hashes = _run_hashes(_hashed(words.dictionary.to_pylist())[tokens])[starts]
+    return Runs(tokens, starts, _named(hashes, _hashed(hosts)[home]), np.array(page)[number], home)
+
+
+def counted_runs(pages: list[tuple[str, list[list[str]]]]) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of some pages, each a host and its streams, and how many of these pages have each."""
+    names, counts, _ = owned_runs(pages)
+    return names, counts
+
+
+def owned_runs(
+    pages: list[tuple[str, list[list[str]]]], sparse: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of some pages, how many of these pages have each, and the number of one that has it.
+
+    One suffix array over all streams. Suffixes of equal rank and host are one run; within it the
+    pages lie in order, as the sort is stable.
+    """
+    runs = runs_of(pages, sparse)
+    if not len(runs.starts):
+        return np.zeros(0, "int64"), np.zeros(0, "int32"), np.zeros(0, "int64")
+    ranks = sparse_ranks(runs.tokens, runs.starts) if sparse else suffix_ranks(runs.tokens)[runs.starts]
+    ranks = ranks * (runs.host.max() + 1) + runs.host
+    array = np.argsort(ranks, kind="stable")
+    by_rank, by_page = ranks[array], runs.page[array]
     first = np.ones(len(array), bool)
     first[1:] = by_rank[1:] != by_rank[:-1]
     new = first.copy()
     new[1:] |= by_page[1:] != by_page[:-1]
     at = np.flatnonzero(first)
-    return np.concatenate(names)[array[at]], np.add.reduceat(new, at, dtype="int32")
-
-
-def unique_text(host: str, blocks: list[str], zones: list[int], shared: np.ndarray) -> str:
-    """The text of a page whose host shares the runs named in `shared`."""
+    return runs.names[array[at]], np.add.reduceat(new, at, dtype="int32"), by_page[at]
+
+
+def notices(host: str, blocks: list[str], zones: list[int], common: np.ndarray) -> set[int]:
+    """The numbers of the article's blocks that are made of `common` runs; none if they are half of it."""
+    parts = article_blocks(blocks, zones)
+    if not parts or not len(common):
+        return set()
+    runs = runs_of([(article_space(host), [tokens for tokens, _ in parts])], sparse=True)
+    sizes = [len(tokens) for tokens, _ in parts]
+    gone = np.ones(len(parts), bool)
+    gone[run_starts(np.array(sizes), sparse=True)[1][~np.isin(runs.names, common)]] = False
+    whole = sum(block.count(" ") + 1 for block, zone in zip(blocks, zones, strict=True) if zone == ARTICLE)
+    if 2 * np.dot(gone, sizes) >= whole:
+        return set()
+    return {number for (_, number), g in zip(parts, gone, strict=True) if g}
+
+
+def unique_text(host: str, blocks: list[str], zones: list[int], shared: np.ndarray, common: np.ndarray) -> str:
+    """The text of a page whose host shares the runs named in `shared`, and its articles those in `common`."""
     covered = [np.zeros(0, bool)] * len(blocks)
     for tokens, numbers in streams(blocks, zones):
         deltas = np.zeros(len(tokens) + 1, int)
-        if len(tokens) >= RUN:
+        if len(tokens) >= RUN and len(shared):
             starts = np.flatnonzero(np.isin(run_names(tokens, host, {}), shared))
             np.add.at(deltas, starts, 1)
             np.add.at(deltas, starts + RUN, -1)
@@ -249,10 +351,11 @@ def unique_text(host: str, blocks: list[str], zones: list[int], shared: np.ndarr
         for number, flag in zip(numbers[[0, *edges]], np.split(flags, edges), strict=True):
             covered[number] = flag
     marked = ARTICLE in zones or NAMED in zones
+    gone = notices(host, blocks, zones, common)
     kept: list[str] = []
-    for block, zone, flag in zip(blocks, zones, covered, strict=True):
+    for number, (block, zone, flag) in enumerate(zip(blocks, zones, covered, strict=True)):
         # What a class word hints at goes if most of it is repeated on the host as well.
-        if zone == ARTICLE or zone == NAMED and 2 * flag.sum() <= len(flag):
+        if zone == ARTICLE and number not in gone or zone == NAMED and 2 * flag.sum() <= len(flag):
             kept.append(block)
         elif zone == OTHER and not marked:
             kept += [t for t, s in zip(block.split(" "), flag, strict=True) if not s]
@@ -271,33 +374,42 @@ def _parsed(batch: pa.RecordBatch) -> dict:
     }
 
 
-def _counted(batch: pa.RecordBatch) -> dict:
-    names, pages = [np.zeros(0, "int64")], [np.zeros(0, "int32")]
-    held, size = [], 0
-    for host, found, zones in _rows(batch, "host", "blocks", "zones"):
-        held.append((host, [tokens for tokens, _ in streams(found, zones)]))
-        size += sum(map(len, held[-1][1]))
+def _in_arrays(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[list, list, list]]:
+    """Pages for one array: their streams beside the articles, those within, and other columns."""
+    beside, within, others, size = [], [], [], 0
+    for host, found, zones, *other in _rows(batch, "host", "blocks", "zones", *names):
+        beside.append((host, [tokens for tokens, _ in streams(found, zones)]))
+        within.append((article_space(host), [tokens for tokens, _ in article_blocks(found, zones)]))
+        others.append(other)
+        size += sum(len(tokens) for page in (beside, within) for tokens in page[-1][1])
         if size >= ARRAY_TOKENS:
-            counted = counted_runs(held)
-            names.append(counted[0])
-            pages.append(counted[1])
-            held, size = [], 0
-    counted = counted_runs(held)
-    return {"run": np.concatenate([*names, counted[0]]), "pages": np.concatenate([*pages, counted[1]])}
+            yield beside, within, others
+            beside, within, others, size = [], [], [], 0
+    if others:
+        yield beside, within, others
+
+
+def _counted(batch: pa.RecordBatch) -> dict:
+    found = [(np.zeros(0, "int64"), np.zeros(0, "int32"), np.zeros(0, "int64"))]
+    for beside, within, homes in _in_arrays(batch, "home", "space"):
+        for pages, sparse, home in zip((beside, within), (False, True), np.array(homes, "int64").T, strict=True):
+            names, counts, owner = owned_runs(pages, sparse)
+            found.append((names, counts, home[owner]))
+    return dict(zip(("run", "pages", "home"), map(np.concatenate, zip(*found, strict=True)), strict=True))
 
 
 def _asked(batch: pa.RecordBatch) -> dict:
-    rows, names = [np.zeros(0, "int64")], [np.zeros(0, "int64")]
-    for row, host, found, zones in _rows(batch, "row", "host", "blocks", "zones"):
-        names.append(counted_runs([(host, [tokens for tokens, _ in streams(found, zones)])])[0])
-        rows.append(np.full(len(names[-1]), row))
-    return {"row": np.concatenate(rows), "run": np.concatenate(names)}
+    found = [(np.zeros(0, "int64"), np.zeros(0, "int64"))]
+    for beside, _, rows in _in_arrays(batch, "row"):
+        runs = runs_of(beside)
+        found.append((np.array(rows, "int64")[:, 0][runs.page], runs.names))
+    return dict(zip(("row", "run"), map(np.concatenate, zip(*found, strict=True)), strict=True))
 
 
 def _judged(batch: pa.RecordBatch) -> dict:
-    rows = _rows(batch, "host", "blocks", "zones", "shared")
+    rows = _rows(batch, "host", "blocks", "zones", "shared", "common")
     return {n: batch.column(n) for n in ("page_id", "url")} | {
-        "text": [unique_text(h, b, z, np.array(s or [], "int64")) for h, b, z, s in rows]
+        "text": [unique_text(h, b, z, np.array(s or [], "int64"), np.array(c or [], "int64")) for h, b, z, s, c in rows]
     }
 
 
@@ -311,7 +423,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     host = host_and_path(F.col("url"))[0]
     source = pages.select(host.alias("host"), F.col("page_id").cast("long"), "url", "html")
     schema = "host string, page_id long, url string, blocks array<string>, zones array<tinyint>"
-    # Of whatever markup leaves open the host's repeats decide.
+    # Of whatever markup leaves open beside the articles the host's repeats decide.
     marked = F.array_contains("zones", ARTICLE)
     opened = F.array_contains("zones", NAMED) | F.array_contains("zones", OTHER) & ~marked
     parsed = stage(
@@ -319,30 +431,44 @@ def main_texts(pages: DataFrame) -> DataFrame:
             "*",
             F.monotonically_increasing_id().alias("row"),
             F.xxhash64("host", "blocks").alias("page"),
+            marked.alias("marked"),
             opened.alias("open"),
         ),
         "parsed",
+        compression="zstd",
     )
-    unsettled = parsed.where("open")
     repeated = parsed.groupBy("page").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = parsed.select("page", "row").join(repeated, "page").where("row <> first").select("row")
     # Small tables are written first, so that Spark knows their sizes before it moves pages or runs.
-    beside = F.zip_with("blocks", "zones", lambda b, z: F.when(z == ARTICLE, "").otherwise(b)).alias("blocks")
-    once = (
-        parsed.select("row", "host", beside, "zones")
-        .join(stage(unsettled.select("host").distinct(), "hosts"), "host", "left_semi")
-        .join(stage(copies, "copies"), "row", "left_anti")
+    once = parsed.join(stage(copies, "copies"), "row", "left_anti")
+    # From how many pages a run counts, beside articles (as far as some page asks) and within them.
+    home, space = F.xxhash64("host").alias("home"), F.xxhash64(F.concat(F.lit("/"), "host")).alias("home")
+    most = F.greatest(F.lit(NOTICE_ON), F.floor(F.count("*") / 2) + 1)
+    some = F.lit(SHARED_BY).cast("long")
+    beside = parsed.where("open").select(home, some.alias("least"), F.lit(False).alias("within"))
+    within = once.where("marked").groupBy(space).agg(most.alias("least"), F.lit(True).alias("within"))
+    limits = stage(beside.distinct().union(within), "limits")
+    counted = arrow_pass(
+        once.select("host", home, space.alias("space"), "blocks", "zones"),
+        lambda: _counted,
+        "run long, home long, pages int",
+    )
+    often = counted.groupBy("run", "home").agg(F.sum("pages").alias("n")).where(F.col("n") >= SHARED_BY)
+    shared = stage(often.join(limits, "home").where("n >= least").select("run", "home", "within"), "shared")
+    # Runs beside articles may be many, so pages ask for theirs. Of runs that most articles of a host have there
+    # are at most twice as many as one article has on average, so every page gets them all.
+    asked = arrow_pass(
+        parsed.where("open").select("row", "host", "blocks", "zones"), lambda: _asked, "row long, run long"
     )
-    counted = arrow_pass(once, lambda: _counted, "run long, pages int")
-    shared = counted.groupBy("run").agg(F.sum("pages").alias("n")).where(F.col("n") >= SHARED_BY).select("run")
-    shared = stage(shared, "shared")
-    asked = arrow_pass(unsettled.select("row", "host", "blocks", "zones"), lambda: _asked, "row long, run long")
-    found = asked.join(shared, "run").groupBy("row").agg(F.collect_list("run").alias("shared"))
+    found = asked.join(shared.where("not within").select("run"), "run").groupBy("row")
+    found = stage(found.agg(F.collect_set("run").alias("shared")), "found")
+    common = shared.where("within").groupBy("home").agg(F.collect_set("run").alias("common"))
     judged = arrow_pass(
-        unsettled.join(found, "row", "left").select("page_id", "url", "host", "blocks", "zones", "shared"),
+        parsed.select("*", space)
+        .join(found, "row", "left")
+        .join(stage(common, "common"), "home", "left")
+        .select("page_id", "url", "host", "blocks", "zones", "shared", "common"),
         lambda: _judged,
         "page_id long, url string, text string",
     )
-    article = F.filter(F.arrays_zip("blocks", "zones"), lambda x: x["zones"] == ARTICLE)
-    settled = parsed.where("not open").select("page_id", "url", F.array_join(article["blocks"], " ").alias("text"))
-    return settled.union(judged).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    return judged.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -27,15 +27,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet and read it back.
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write `df` once as Parquet and read it back, with the session's compression or the one named.
 
     Cuts the lineage, so a lost executor costs no recomputation of what came before, and
     later readers still get column pruning and pushed filters.
     """
     path = staging_path(df.sparkSession, name)
     _staged.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
