@@ -16,9 +16,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -70,6 +69,8 @@ def byte_letters() -> dict[str, int]:
 _CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 #: Characters of chunks that are worth remembering.
 LONG_CHUNK = 64
+#: Characters of new chunks that are encoded as one text.
+TOGETHER = 2**13
 
 
 class ByteLevel:
@@ -86,6 +87,9 @@ class ByteLevel:
         #: Without a normalizer, and with a token for each byte, its tokens spell every text.
         self.spells = self.model.normalizer is None and len({t for t in self.bytes if len(t) == 1}) == 256
 
+    def spelt(self, text: str, ids: list[int]) -> bool:
+        return self.spells or _spelling(self, ids) == text.encode()
+
     def encode(self, chunks: list[str]) -> list[list[int]]:
         # The faster form leaves out character offsets, which nobody asks for.
         return [e.ids for e in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -101,68 +105,155 @@ class Pieces:
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.spells = False
         #: Whether no piece goes on from another character to a space, and none has a line break, so
         #: that none crosses chunks.
         self.separable = not any("\n" in p or re.search("[^▁]▁", p) for p in pieces)
 
+    def spelt(self, text: str, ids: list[int]) -> bool:
+        return _spelling(self, ids) == text.encode()
+
     def encode(self, chunks: list[str]) -> list[list[int]]:
         made = self.model.encode([c.removeprefix(" ") for c in chunks], num_threads=1)
         # Before a line break the space is a piece by itself.
         return [ids if c[0] == " " else ids[1:] for c, ids in zip(chunks, made, strict=True)]
 
 
+def _spelling(model: ByteLevel | Pieces, ids: list[int]) -> bytes:
+    return b"".join(map(model.bytes.__getitem__, ids))
+
+
+class Numbers(dict):
+    """Numbers from 0, in the order in which keys are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 class Tokenizers:
     """Both tokenizers, and the ids of chunks they have met.
 
     A chunk begins with a space or line break behind something that is no white space. The byte-level
     pattern has no match that goes on from there to white space, and no piece goes over to either, so
-    chunks can be encoded one by one; a model with pieces that do gets whole texts.
+    chunks can be encoded one by one, or in any order many at once if none ends in white space; a
+    model with pieces that do gets whole texts.
     """
 
     def __init__(self, one: ByteLevel, other: Pieces) -> None:
         self.both = one, other
         self.lengths = [np.array([len(t) for t in model.bytes]) for model in self.both]
-        #: Ids of chunks as bytes, and those of the chunks before, of which what is met again is kept.
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        #: Chunks that the tokens of one of them do not spell.
-        self.unspelt: set[str] = set()
+        self._remember(Numbers(), [np.zeros(0, "int32")] * 2, [np.zeros(1, "int64")] * 2, np.zeros(0, bool), np.zeros(0, "int64"))
+
+    def _remember(self, known: Numbers, ids: list, starts: list, spelt: np.ndarray, uses: np.ndarray) -> None:
+        #: The number of each chunk, also its place among the keys.
+        self.known = known
+        #: For each tokenizer the ids of all chunks by number, and where each begins, with the end.
+        self.ids, self.starts = ids, starts
+        #: Whether the tokens of both spell the chunk, and how often it was met.
+        self.spelt, self.uses = spelt, uses
+
+    def _of(self, model: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One tokenizer's ids of some chunks, one after another, and how many each has."""
+        start = self.starts[model][numbers]
+        counts = self.starts[model][numbers + 1] - start
+        return self.ids[model][np.repeat(start, counts) + _within(counts)], counts
+
+    def _keep(self, numbers: np.ndarray) -> None:
+        """Forgets all chunks but these."""
+        chunks, known = list(self.known), Numbers()
+        for i in numbers.tolist():
+            known[chunks[i]] = len(known)
+        kept_ids, counts = zip(*(self._of(model, numbers) for model in range(2)), strict=True)
+        starts = [np.append(0, np.cumsum(n)) for n in counts]
+        self._remember(known, list(kept_ids), starts, self.spelt[numbers], self.uses[numbers])
 
     def encode(self, said: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of a space and each text; none for an empty text or where they do not spell it."""
+        if len(self.known) > MOST_REMEMBERED:
+            # The half that was met most stays, and counts less than before.
+            self._keep(np.sort(np.argsort(-self.uses, kind="stable")[: MOST_REMEMBERED // 2]))
+            self.uses //= 2
         # A space at the end would be a chunk that is nothing without the space put before it.
         whole = not self.both[1].separable
-        chunks = [[" " + t] if whole or t.endswith(" ") else _CHUNK.findall(" " + t) for t in said]
-        if len(self.known[0]) > MOST_REMEMBERED // 2:
-            self.older, self.known = self.known, ({}, {})
-            self.unspelt &= self.older[0].keys()
-        met = set(chain.from_iterable(chunks))
-        missing = []
-        for chunk in met.difference(self.known[0]):
-            if chunk in self.older[0]:
-                for known, older in zip(self.known, self.older, strict=True):
-                    known[chunk] = older[chunk]
-            else:
-                missing.append(chunk)
-        for model, known in zip(self.both, self.known, strict=True):
-            token = model.bytes.__getitem__
-            for chunk, ids in zip(missing, model.encode(missing), strict=True):
-                known[chunk] = array("i", ids).tobytes()
-                if not model.spells and b"".join(map(token, ids)) != chunk.encode():
-                    self.unspelt.add(chunk)
-        wrong, made = self.unspelt & met, []
-        of_a, of_b = (known.__getitem__ for known in self.known)
-        for text, each in zip(said, chunks, strict=True):
-            if not text or wrong and not wrong.isdisjoint(each):
-                each = ()
-            made.append((np.frombuffer(b"".join(map(of_a, each)), "i4"), np.frombuffer(b"".join(map(of_b, each)), "i4")))
-        for chunk in missing:
-            if len(chunk) > LONG_CHUNK:
-                for known in self.known:
-                    del known[chunk]
-                self.unspelt.discard(chunk)
-        return made
+        chunks = [
+            [] if not t else [" " + t] if whole or t.endswith(" ") else _CHUNK.findall(" " + t) for t in said
+        ]
+        n_chunks = np.array([len(each) for each in chunks], "int64")
+        before, met = len(self.known), chain.from_iterable(chunks)
+        numbers = np.fromiter(map(self.known.__getitem__, met), "int64", n_chunks.sum())
+        new = list(islice(reversed(self.known), len(self.known) - before))[::-1]
+        long = np.fromiter(map(len, new), "int64", len(new)) > LONG_CHUNK
+        if long.any():
+            # They get the last numbers and are forgotten below.
+            order = np.argsort(long, kind="stable")
+            numbers = np.append(np.arange(before), before + np.argsort(order))[numbers]
+            new = [new[i] for i in order.tolist()]
+            self.known.update(zip(new, range(before, len(self.known)), strict=True))
+        self._learn(new, whole)
+        self.uses = self.uses + np.bincount(numbers, minlength=len(self.known))
+        texts_of = np.repeat(np.arange(len(said)), n_chunks)
+        wrong = np.bincount(texts_of[~self.spelt[numbers]], minlength=len(said)) > 0
+        if wrong.any():
+            numbers, texts_of = (x[~wrong[texts_of]] for x in (numbers, texts_of))
+        made = []
+        for model in range(2):
+            ids, counts = self._of(model, numbers)
+            upto = np.append(0, np.cumsum(counts))
+            made.append(np.split(ids, upto[np.searchsorted(texts_of, np.arange(1, len(said)))] if said else []))
+        if long.any():
+            self._forget_last(new[len(new) - int(long.sum()) :])
+        return list(zip(*made, strict=True))[: len(said)]
+
+    def _forget_last(self, chunks: list[str]) -> None:
+        for chunk in chunks:
+            del self.known[chunk]
+        n = len(self.known)
+        self.ids = [ids[: starts[n]].copy() for ids, starts in zip(self.ids, self.starts, strict=True)]
+        self.starts = [starts[: n + 1] for starts in self.starts]
+        self.spelt, self.uses = self.spelt[:n], self.uses[:n]
+
+    def _learn(self, new: list[str], whole: bool) -> None:
+        """Puts the ids of new chunks behind the others."""
+        sizes = np.array([len(c.encode()) for c in new], "int64")
+        spelt, stretches = np.ones(len(new), bool), list(_encoded_together(new, whole))
+        joined = ["".join(new[x:y]) for x, y in stretches]
+        for i, model in enumerate(self.both):
+            ids, counts = [self.ids[i]], np.zeros(len(new), "int64")
+            for (x, y), said, made in zip(stretches, joined, model.encode(joined), strict=True):
+                n = self._counts(i, said, sizes[x:y], made)
+                if n is None:
+                    # One of them is not spelt, so they are encoded one by one.
+                    each = model.encode(new[x:y]) if y - x > 1 else [made]
+                    n, made = [len(one) for one in each], list(chain.from_iterable(each))
+                    spelt[x:y] &= [model.spelt(c, one) for c, one in zip(new[x:y], each, strict=True)]
+                counts[x:y] = n
+                ids.append(np.array(made, "int32"))
+            self.ids[i] = np.concatenate(ids)
+            self.starts[i] = np.append(self.starts[i], self.starts[i][-1] + np.cumsum(counts))
+        self.spelt = np.append(self.spelt, spelt)
+        self.uses = np.append(self.uses, np.zeros(len(new), "int64"))
+
+    def _counts(self, model: int, said: str, sizes: np.ndarray, ids: list[int]) -> np.ndarray | None:
+        """How many of the ids lie in each part of so many bytes; none if the ids do not spell the parts."""
+        ends = np.cumsum(self.lengths[model][np.array(ids, "int64")])
+        stops = np.cumsum(sizes)
+        if not len(ends) or ends[-1] != stops[-1] or not self.both[model].spelt(said, ids):
+            return None
+        at = np.searchsorted(ends, stops)
+        return np.diff(at, prepend=-1) if (ends[at] == stops).all() else None
+
+
+def _encoded_together(chunks: list[str], whole: bool) -> Iterator[tuple[int, int]]:
+    """Stretches of some `TOGETHER` characters; a chunk that ends in white space is one by itself."""
+    start, held = 0, 0
+    for i, chunk in enumerate(chunks):
+        alone = whole or chunk[-1].isspace()
+        if i > start and (alone or held >= TOGETHER):
+            yield start, i
+            start, held = i, 0
+        held += TOGETHER if alone else len(chunk)
+    if chunks:
+        yield start, len(chunks)
 
 
 def _tokenizers(one: str, other: str) -> Tokenizers:
@@ -194,11 +285,16 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, stops: np.ndarray) -> tu
         leaves_b.append(b_hi[leaf])
         a_lo, a_hi, b_lo, b_hi, cut = (x[~leaf] for x in (a_lo, a_hi, b_lo, b_hi, cut))
         at_a, at_b = cut + 1, np.searchsorted(ends_b, ends_a[cut]) + 1
-        a_lo, a_hi = np.concatenate([a_lo, at_a]), np.concatenate([at_a, a_hi])
-        b_lo, b_hi = np.concatenate([b_lo, at_b]), np.concatenate([at_b, b_hi])
+        # The halves stay in the order of the stream, as ascending ends are found sooner.
+        a_lo, a_hi = _in_turn(a_lo, at_a), _in_turn(at_a, a_hi)
+        b_lo, b_hi = _in_turn(b_lo, at_b), _in_turn(at_b, b_hi)
     return np.sort(np.concatenate(leaves_a)), np.sort(np.concatenate(leaves_b))
 
 
+def _in_turn(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.stack([one, other], axis=1).ravel()
+
+
 def _near_middle(ends_a, ends_b, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """For each interval `lo` to `hi` of tokens the shared end inside nearest to its middle, or -1."""
     found = np.full(len(lo), -1)

@@ -66,6 +66,51 @@ def test_chunks_change_no_ids(models, tokenizers, monkeypatch, most):
         tokenizers.both[1].separable = True
 
 
+class _Counting:
+    """A model that notes what it is asked to encode."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def __getattr__(self, name):
+        return getattr(self.model, name)
+
+    def encode(self, chunks):
+        self.asked += chunks
+        return self.model.encode(chunks)
+
+
+def test_new_chunks_are_encoded_together(models):
+    """Many chunks make one text to encode, with one that is not spelt and one that ends in white space too."""
+    both = [_Counting(m) for m in models]
+    tokenizers = align.Tokenizers(*both)
+    said = [" ".join(f"{x}{i}y" for i in range(500)) for x in "abcdefgh"]
+    for texts in (said, said[::-1], ["new a ▁b words", "an end\t", *said]):
+        for text, ids in zip(texts, tokenizers.encode(texts), strict=True):
+            assert tuple(x.tolist() for x in ids) == _tokens(text, models)
+    assert all(len(m.asked) < 20 for m in both)
+
+
+def test_frequent_chunks_stay_known(models, monkeypatch):
+    monkeypatch.setattr(align, "MOST_REMEMBERED", 40)
+    both = [_Counting(m) for m in models]
+    tokenizers = align.Tokenizers(*both)
+    for i in range(30):
+        tokenizers.encode(["often often"] + [f"rare{i}x{j}" for j in range(30)])
+    assert all(sum("often" in text for text in m.asked) == 1 for m in both)
+    assert len(tokenizers.known) <= 40 + 31
+
+
+def test_long_chunks_are_not_remembered(models, tokenizers):
+    long = "x" * (align.LONG_CHUNK + 1)
+    said = [f"one {long} two", f"two{long} three", "three one"]
+    for _ in range(2):
+        for text, ids in zip(said, tokenizers.encode(said), strict=True):
+            assert tuple(x.tolist() for x in ids) == _tokens(text, models)
+    assert list(tokenizers.known.items()) == [(" one", 0), (" two", 1), (" three", 2)]
+    assert [len(x) for x in tokenizers.ids] == [starts[-1] for starts in tokenizers.starts]
+
+
 def _tokens(text: str | None, models) -> tuple[list[int], list[int]]:
     """By the libraries themselves; none if they do not spell the text."""
     whole = Tokenizer.from_file(queries.BYTES) if not hasattr(_tokens, "a") else _tokens.a
