@@ -406,27 +406,31 @@ class Block:
             keys[here] = keys[here] * len(shapes) + shape
         large = np.flatnonzero(n_a + n_b > 3)
         spans = [x[large].tolist() for x in (at_a, at_b, n_a, n_b)]
+        bytes_a, bytes_b, wide, known = a.tobytes(), b.tobytes(), a.itemsize, self.numbers.get
         for i, p, q, x, y in zip(large.tolist(), *spans, strict=True):
-            known = (a[p : p + x].tobytes(), b[q : q + y].tobytes())
+            key = bytes_a[p * wide : (p + x) * wide], bytes_b[q * wide : (q + y) * wide]
+            number = known(key)
+            if number is None:
+                number = self._described(key, a[p : p + x], b[q : q + y])
             # Negative keys are the numbers that these groups have.
-            keys[i] = -1 - self._number(known, a[p : p + x], b[q : q + y])
+            keys[i] = -1 - number
         codes, different = pd.factorize(keys)
         first = np.zeros(len(different), "int64")
         first[codes[::-1]] = np.arange(len(codes))[::-1]
         numbers = np.empty(len(different), "int64")
         spans = [x[first].tolist() for x in (at_a, at_b, n_a, n_b)]
         for i, (key, p, q, x, y) in enumerate(zip(different.tolist(), *spans, strict=True)):
-            numbers[i] = -1 - key if key < 0 else self._number(key, a[p : p + x], b[q : q + y])
+            number = -1 - key if key < 0 else known(key)
+            numbers[i] = self._described(key, a[p : p + x], b[q : q + y]) if number is None else number
         return numbers[codes]
 
-    def _number(self, key: int | tuple, a: np.ndarray, b: np.ndarray) -> int:
-        number = self.numbers.get(key)
-        if number is None:
-            number = self.numbers[key] = len(self.numbers)
-            self.tokens.append(np.concatenate([a, b]))
-            self.of_a.append(len(a))
-            both = ",".join(map(str, a.tolist())), ",".join(map(str, b.tolist()))
-            self.texts.append("|".join(both).encode() + b";")
+    def _described(self, key: int | tuple, a: np.ndarray, b: np.ndarray) -> int:
+        """The number of a new group."""
+        number = self.numbers[key] = len(self.numbers)
+        self.tokens.append(np.concatenate([a, b]))
+        self.of_a.append(len(a))
+        both = ",".join(map(str, a.tolist())), ",".join(map(str, b.tolist()))
+        self.texts.append("|".join(both).encode() + b";")
         return number
 
     def row(self, number: int) -> dict:
